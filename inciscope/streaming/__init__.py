@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch only and has no streaming operator."""
