@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from inciscope.bindings import raw
+from inciscope.bindings import events, numbers, orders, parts, raw
 
-MODULES = [raw]
+MODULES = [raw, orders, events, parts, numbers]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

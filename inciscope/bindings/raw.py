@@ -554,6 +554,7 @@ ORACLE = {
         ]
     ),
     "pad_code": f"WITH {DIMS} SELECT dist_num, lpad(trim(dist_num), 3, '0') AS padded FROM districts_raw",
-    "csv_roundtrip": f"""WITH {RAW} SELECT {', '.join(TEXT_COLUMNS)}, CAST(NULL AS VARCHAR) AS _corrupt_record,
+    # Delimited text has no empty string apart from NULL, so empty fields land as NULL.
+    "csv_roundtrip": f"""WITH {RAW} SELECT {', '.join(f"nullif({c}, '') AS {c}" for c in TEXT_COLUMNS)}, CAST(NULL AS VARCHAR) AS _corrupt_record,
         'bronze.incidents' AS _bronze_table, {BUCKET} AS yr_range FROM raw""",
 }
