@@ -33,7 +33,8 @@ def segment(
     sweep: Sequence[int] = tuple(range(2, 11)),
 ) -> Segments:
     """Cluster entities on scaled features; without ``k`` the sweep's best silhouette decides."""
-    scaled = materialise(zscore(impute_median(features, cols), cols).select(id_col, *cols), "scaled")
+    filled = materialise(impute_median(features.select(id_col, *cols), cols), "filled")
+    scaled = materialise(zscore(filled, cols), "scaled")
     scores = None
     if k is None:
         scores = clustering.sweep_k(scaled, id_col, cols, sweep, n_init=sweep_restarts)

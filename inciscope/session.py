@@ -13,6 +13,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode. Wide projections pass that in one fused
+    # stage and then run interpreted; with this limit Spark generates them in smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_scratch: str | None = None
