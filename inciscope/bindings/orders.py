@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inciscope import config
 from inciscope.bindings.common import as_text, read, sql_count, sql_pct, sql_signed_pct, sql_sum, sql_text
+from inciscope.functions.metrics import distinct_codes
 from inciscope.functions.rules import classify, map_values
 from inciscope.functions.temporal import date_key, date_parts
 from inciscope.operators import dims, features, shaping, views
@@ -92,7 +93,7 @@ def profile(spark, sf_dir):
 
 def entity_features(spark, sf_dir):
     stored = materialise(profile(spark, sf_dir), "profile")
-    n_years = read(spark, sf_dir, "orders").agg(F.count_distinct(F.year("o_orderdate"))).scalar()
+    n_years = read(spark, sf_dir, "orders").agg(distinct_codes(F.year("o_orderdate"))).scalar()
     return features.entity_features(stored, n_years, f"yoy_pct_{YEARS[1]}_vs_{YEARS[0]}")
 
 

@@ -39,6 +39,11 @@ def mode_of(col: Column) -> Column:
     return F.mode(col, True)
 
 
+def distinct_codes(col: Column) -> Column:
+    """COUNT(DISTINCT) for a coded column: a set per task, where the general form would copy every row."""
+    return F.size(F.collect_set(col)).cast("bigint")
+
+
 def avg_of_rates(col: Column, digits: int = 2) -> Column:
     """Average of already rounded rates, in decimal so that halves round up exactly."""
     return F.round(F.avg(col.cast("decimal(18,2)")), digits).cast("double")

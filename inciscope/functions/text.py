@@ -32,6 +32,19 @@ def pad_code(col: Column, width: int, fill: str = "0") -> Column:
     return F.lpad(F.trim(col), width, fill)
 
 
+INTEGER_TYPES = ("tinyint", "smallint", "int", "bigint")
+INTEGER_TEXT = r"^[\s\p{Cntrl}]*[+-]?[0-9]+[\s\p{Cntrl}]*$"
+
+
+def cast_or_null(col: Column, data_type: str) -> Column:
+    """``try_cast`` of text that does not raise and catch an error for each non-integer.
+
+    Columns such as "1.0" fail an integer cast on every row, so text without integer form skips the attempt.
+    """
+    attempt = col.try_cast(data_type)
+    return F.when(col.rlike(INTEGER_TEXT), attempt) if data_type in INTEGER_TYPES else attempt
+
+
 def numeric_text_to_int(col: Column) -> Column:
     """Integers stored as decimal text ("1.0"); a direct cast to int would give NULL."""
     return F.trim(col).try_cast("double").try_cast("int")
@@ -39,7 +52,7 @@ def numeric_text_to_int(col: Column) -> Column:
 
 def is_uncastable(col: Column, data_type: str) -> Column:
     """Present, but not convertible to ``data_type``."""
-    return ~is_blank(col) & col.try_cast(data_type).isNull()
+    return ~is_blank(col) & cast_or_null(col, data_type).isNull()
 
 
 def coordinate_from_text(col: Column, pattern: str) -> Column:

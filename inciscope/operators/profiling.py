@@ -11,6 +11,7 @@ from inciscope import config
 from inciscope.functions.metrics import count_if
 from inciscope.functions.temporal import parse_timestamp
 from inciscope.functions.text import (
+    cast_or_null,
     is_bad_flag,
     is_blank,
     is_uncastable,
@@ -98,7 +99,7 @@ def range_profile(
     """Future dates, out-of-range years and the raw extremes of the year text."""
     now = F.current_timestamp() if now is None else now
     first, last = years
-    number = F.col(year).try_cast("int")
+    number = cast_or_null(F.col(year), "int")
     return df.agg(
         count_if(parse_timestamp(F.col(date), FIRST_FORMAT) > now).alias("future_dates"),
         count_if(number < first).alias(f"year_before_{first}"),
@@ -168,7 +169,7 @@ def redundancy_profile(df: DataFrame) -> DataFrame:
 
 def key_profile(df: DataFrame, key: str, label: str) -> DataFrame:
     """Rows, distinct, blank and non-integer keys, blank labels and the key range of a raw dimension."""
-    number = F.col(key).try_cast("int")
+    number = cast_or_null(F.col(key), "int")
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_distinct(key).alias("distinct_keys"),

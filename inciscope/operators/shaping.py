@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inciscope.functions.rules import first_like
+from inciscope.functions.text import cast_or_null
 
 
 def select_as(df: DataFrame, spec: Mapping[str, Column | str]) -> DataFrame:
@@ -18,7 +19,7 @@ def select_as(df: DataFrame, spec: Mapping[str, Column | str]) -> DataFrame:
 
 def keep_castable(df: DataFrame, col: str, data_type: str) -> DataFrame:
     """Drop rows whose value is NULL, blank or not convertible (stray header rows, for instance)."""
-    return df.filter(F.trim(F.col(col)).try_cast(data_type).isNotNull())
+    return df.filter(cast_or_null(F.trim(F.col(col)), data_type).isNotNull())
 
 
 def union_tagged(frames: Mapping[str, DataFrame], tag_col: str) -> DataFrame:

@@ -11,6 +11,7 @@ from inciscope import config
 from inciscope.functions.rules import first_like
 from inciscope.functions.temporal import date_parts, parse_timestamp
 from inciscope.functions.text import (
+    cast_or_null,
     latitude_from_text,
     longitude_from_text,
     numeric_text_to_int,
@@ -70,7 +71,7 @@ def to_typed(
         ]
     }
     columns: dict[str, Column] = {
-        "crime_id": F.trim(F.col("id")).try_cast("bigint"),
+        "crime_id": cast_or_null(F.trim(F.col("id")), "bigint"),
         "case_number": F.trim(F.col("case_number")),
         "incident_datetime": F.col("incident_datetime"),
         **parts,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inciscope import config
-from inciscope.functions.metrics import avg_of_rates, count_if, mode_of, rate_pct, ratio_pct, safe_pct
+from inciscope.functions.metrics import avg_of_rates, count_if, distinct_codes, mode_of, rate_pct, ratio_pct, safe_pct
 from inciscope.operators.windows import (
     moving_average,
     period_over_period,
@@ -231,11 +231,11 @@ def kpi_summary(fact: DataFrame) -> DataFrame:
     """One row of headline figures; the counted and modal columns are all coded, so their states stay small."""
     return fact.agg(
         F.count(F.lit(1)).alias("total_crimes"),
-        F.count_distinct("incident_year").alias("years_covered"),
+        distinct_codes(F.col("incident_year")).alias("years_covered"),
         F.min("incident_year").alias("first_year"),
         F.max("incident_year").alias("last_year"),
-        F.count_distinct("community_area_num").alias("communities_with_crime"),
-        F.count_distinct("district_code").alias("districts_covered"),
+        distinct_codes(F.col("community_area_num")).alias("communities_with_crime"),
+        distinct_codes(F.col("district_code")).alias("districts_covered"),
         rate_pct(F.col("is_arrest")).alias("overall_arrest_rate_pct"),
         rate_pct(F.col("is_domestic")).alias("domestic_crime_pct"),
         rate_pct(F.col("is_violent")).alias("violent_crime_pct"),
