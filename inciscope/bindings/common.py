@@ -39,3 +39,7 @@ def sql_count(condition: str) -> str:
 
 def sql_sum(expr: str) -> str:
     return f"CAST(sum({expr}) AS BIGINT)"
+
+
+def sql_round_even(expr: str, digits: int) -> str:
+    return f"(round_even(({expr}) * {10**digits}.0::DOUBLE, 0) / {10**digits})"

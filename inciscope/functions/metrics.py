@@ -44,6 +44,12 @@ def distinct_codes(col: Column) -> Column:
     return F.size(F.collect_set(col)).cast("bigint")
 
 
+def round_even(col: Column, digits: int) -> Column:
+    """Round halves to even after scaling, as numeric Python arrays do."""
+    scale = float(10**digits)
+    return F.rint(col * scale) / scale
+
+
 def avg_of_rates(col: Column, digits: int = 2) -> Column:
     """Average of already rounded rates, in decimal so that halves round up exactly."""
     return F.round(F.avg(col.cast("decimal(18,2)")), digits).cast("double")

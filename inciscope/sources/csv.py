@@ -32,6 +32,7 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # a row is only known to be malformed when it is parsed whole
         .csv(path)
     )
     return rows.select(*columns, CORRUPT, "_metadata")
