@@ -251,13 +251,13 @@ profile AS (SELECT p.*, {_mode('incident_hour', 'community_name')} AS peak_crime
     {sql_pct('total_arrests', 'total_crimes')} AS arrest_rate_pct, {sql_pct('violent_crimes', 'total_crimes')} AS violent_pct,
     {sql_pct('domestic_crimes', 'total_crimes')} AS domestic_pct,
     {sql_signed_pct(f'{NEW} - {OLD}', f'nullif({OLD}, 0)')} AS {CHANGE} FROM base p)"""
-PERFORMANCE = f"""performance AS (SELECT *, rank() OVER (PARTITION BY incident_year ORDER BY total_crimes DESC)
-    AS crime_volume_rank, rank() OVER (PARTITION BY incident_year ORDER BY arrest_rate_pct DESC) AS arrest_rate_rank
+PERFORMANCE = f"""performance AS (SELECT *, CAST(rank() OVER (PARTITION BY incident_year ORDER BY total_crimes DESC) AS INTEGER)
+    AS crime_volume_rank, CAST(rank() OVER (PARTITION BY incident_year ORDER BY arrest_rate_pct DESC) AS INTEGER) AS arrest_rate_rank
     FROM (SELECT district_code, district_name, incident_year, {COUNTS}, {ARREST_RATE}, {VIOLENT_RATE}
     FROM f GROUP BY 1, 2, 3))"""
 BREAKDOWN = f"""breakdown AS (SELECT y.*, fbi_description, crime_category,
     {sql_pct('total_crimes', 'CAST(sum(total_crimes) OVER (PARTITION BY incident_year) AS BIGINT)')} AS pct_of_year_total,
-    rank() OVER (PARTITION BY incident_year ORDER BY total_crimes DESC) AS rank_in_year
+    CAST(rank() OVER (PARTITION BY incident_year ORDER BY total_crimes DESC) AS INTEGER) AS rank_in_year
     FROM (SELECT primary_type, fbi_code, incident_year, {N} AS total_crimes, {ARRESTS} AS total_arrests, {ARREST_RATE}
     FROM f GROUP BY 1, 2, 3) y LEFT JOIN dim_type USING (primary_type, fbi_code))"""
 
@@ -319,7 +319,7 @@ ORACLE = {
     "type_by_area": f"""WITH {FACT}, g AS (SELECT community_name, primary_type, crime_category, {N} AS crime_count
         FROM f GROUP BY 1, 2, 3) SELECT *,
         {sql_pct('crime_count', 'CAST(sum(crime_count) OVER (PARTITION BY community_name) AS BIGINT)')} AS pct_of_community,
-        dense_rank() OVER (PARTITION BY community_name ORDER BY crime_count DESC) AS rank_in_community FROM g""",
+        CAST(dense_rank() OVER (PARTITION BY community_name ORDER BY crime_count DESC) AS INTEGER) AS rank_in_community FROM g""",
     "rate_vs_overall": f"""WITH {FACT}, g AS (SELECT primary_type, crime_category, district_name, community_name,
         incident_year, {N} AS total_crimes, {ARRESTS} AS total_arrests, {ARREST_RATE} FROM f GROUP BY 1, 2, 3, 4, 5),
         o AS (SELECT primary_type, {sql_pct(ARRESTS, N)} AS citywide_avg_arrest_rate FROM f GROUP BY 1)
@@ -329,7 +329,7 @@ ORACLE = {
         {sql_pct(DOMESTIC, N)} AS domestic_pct, {sql_count('is_domestic AND is_arrest')} AS domestic_arrests,
         {sql_pct(sql_count('is_domestic AND is_arrest'), f'nullif({DOMESTIC}, 0)')} AS domestic_arrest_rate_pct
         FROM f GROUP BY 1, 2, 3)
-        SELECT *, rank() OVER (PARTITION BY incident_year ORDER BY domestic_pct DESC) AS domestic_rate_rank FROM g""",
+        SELECT *, CAST(rank() OVER (PARTITION BY incident_year ORDER BY domestic_pct DESC) AS INTEGER) AS domestic_rate_rank FROM g""",
     "kpi_summary": f"""WITH {FACT} SELECT {N} AS total_crimes, count(DISTINCT incident_year) AS years_covered,
         min(incident_year) AS first_year, max(incident_year) AS last_year,
         count(DISTINCT community_area_num) AS communities_with_crime, count(DISTINCT district_code) AS districts_covered,
@@ -362,8 +362,8 @@ ORACLE = {
         dominant_crime_type FROM profile ORDER BY total_crimes DESC, community_name LIMIT 10""",
     "top_k": f"""WITH {FACT} SELECT district_name, {N} AS total_crimes FROM f GROUP BY 1
         ORDER BY total_crimes DESC, district_name LIMIT 10""",
-    "top_k_per_group": """SELECT * FROM (SELECT c_mktsegment, o_orderkey, o_totalprice, row_number() OVER
-        (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC, o_orderkey) AS rank_in_group
+    "top_k_per_group": """SELECT * FROM (SELECT c_mktsegment, o_orderkey, o_totalprice, CAST(row_number() OVER
+        (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank_in_group
         FROM orders JOIN customer ON o_custkey = c_custkey) WHERE rank_in_group <= 5""",
     "preview_ordered": f"""SELECT * REPLACE ({sql_text('o_orderdate')} AS o_orderdate) FROM orders
         ORDER BY orders.o_orderkey LIMIT 5""",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inciscope.functions.metrics import avg_per_period, safe_pct
+from inciscope.operators.stats import quantile_row, with_stats
 from inciscope.operators.windows import effectiveness
 
 # Flag -> (profile column, quantile, whether the flag means above it).
@@ -28,19 +29,18 @@ def entity_features(
 ) -> DataFrame:
     """One row per entity: raw and derived features and flags against quantiles over all entities.
 
-    All thresholds come from a single one-row aggregate. ``profile`` is read twice, so pass a stored table.
+    The thresholds are one row of exact quantiles. ``profile`` is read several times, so pass a stored table.
     """
-    thresholds = profile.agg(
-        F.struct(*[F.percentile(col, q).alias(flag) for flag, (col, q, _) in flags.items()])
-    ).scalar()
+    thresholds = quantile_row(profile, {flag: (col, q) for flag, (col, q, _) in flags.items()})
     total = F.col("total_crimes")
 
     def flagged(flag: str, col: str, above: bool) -> Column:
-        limit = thresholds.getField(flag)
+        limit = F.col(f"_stats.{flag}")
         hit = F.col(col) > limit if above else F.col(col) < limit
-        return F.coalesce(hit, F.lit(False)).alias(flag)
+        return F.coalesce(hit, F.lit(False))
 
-    return profile.dropna(subset=[key]).select(
+    tests = {flag: flagged(flag, col, above) for flag, (col, _, above) in flags.items()}
+    return with_stats(profile.dropna(subset=[key]), thresholds, tests).select(
         key,
         label,
         "total_crimes",
@@ -52,7 +52,7 @@ def entity_features(
         avg_per_period(total, n_periods).alias("avg_crimes_per_year"),
         safe_pct(F.col("violent_crimes"), total).alias("violent_share_pct"),
         safe_pct(F.col("property_crimes"), total).alias("property_share_pct"),
-        *[flagged(flag, col, above) for flag, (col, _, above) in flags.items()],
+        *flags,
     )
 
 

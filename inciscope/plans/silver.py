@@ -14,7 +14,7 @@ from inciscope.operators.quality import Gate, gate_summary, incident_failures, i
 from inciscope.operators.shaping import dedup_latest, delete_where, keep_castable, select_as, union_tagged
 from inciscope.operators.typing import clean_dim, to_typed
 from inciscope.sources import logs
-from inciscope.sources.tables import read_table, replace_table, write_audited, write_table
+from inciscope.sources.tables import read_table, replace_partitions, write_audited
 
 
 def clean_wards(raw: DataFrame) -> DataFrame:
@@ -77,7 +77,8 @@ def build_silver(
     """Run the layer from stored landings; returns the gate summary.
 
     ``landings`` maps a tag to each fact landing path, ``dims`` are the district, ward and area landing paths.
-    Typed and conformed records are the only fact tables stored; everything between them is one lazy chain.
+    Typed and conformed records are the only fact tables stored; everything between them is one lazy chain. Typed
+    records are written without a shuffle. Running again under the same ``run_id`` replaces that run's failures.
     """
     logs.log_run(spark, root, run_id, "silver_transform", "SILVER", "RUNNING")
     cleaners = zip(("dim_districts", "dim_wards", "dim_community_areas"), dims, (clean_districts, clean_wards, clean_areas))
@@ -96,7 +97,6 @@ def build_silver(
             lambda rows: to_typed(keep_castable(rows, "id", "bigint"), carry=["_ingest_ts"]),
             f"{root}/silver/crimes_typed",
             "STEP4_TYPE_CAST_STANDARDISE",
-            ["incident_year"],
         )
     )
     typed = read_table(spark, f"{root}/silver/crimes_typed")
@@ -104,16 +104,14 @@ def build_silver(
     failures = incident_failures(typed, districts, gates or incident_gates()).withColumns(
         {"run_id": F.lit(run_id), "zone": F.lit("SILVER"), "detected_at": F.current_timestamp()}
     )
-    rejected = write_table(failures, f"{root}/{logs.FAILURE_LOG}")
+    rejected = replace_partitions(failures, f"{root}/{logs.FAILURE_LOG}", ["run_id"])
 
     def conformed(rows: DataFrame) -> DataFrame:
         kept = delete_where(rows, deleted_places())
         newest = [F.desc("_ingest_ts"), F.desc("source_year_range")]
         return conform_incidents(latest_incidents(kept, newest), districts, wards, areas)
 
-    audits.append(
-        write_audited(typed, conformed, f"{root}/silver/crimes_conformed", "STEP7_DIMENSION_JOIN", ["incident_year"])
-    )
+    audits.append(write_audited(typed, conformed, f"{root}/silver/crimes_conformed", "STEP7_DIMENSION_JOIN"))
     logs.log_steps(spark, root, run_id, audits)
     logs.log_run(spark, root, run_id, "silver_transform", "SILVER", "SUCCESS", audits[-1].rows_out, rejected)
     logged = read_table(spark, f"{root}/{logs.FAILURE_LOG}").filter(F.col("run_id") == run_id)

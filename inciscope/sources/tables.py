@@ -14,9 +14,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
-    """Write and return the rows written, counted by the same job."""
+    """Write and return the rows written, counted by the same job.
+
+    A partitioned table is rebalanced by its partition columns first: otherwise each of many tasks would leave a
+    small file in every partition. Rebalancing also splits a partition that holds a large part of the rows.
+    """
     counted = Observation()
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        observed = observed.hint("rebalance", *[F.col(c) for c in partition_by])
     observed.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return counted.get["rows"]
 
@@ -26,7 +32,10 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
-    """Replace only the partitions present in ``df``, so a replay does not add rows twice."""
+    """Replace only the partitions present in ``df``, so a replay does not add rows twice.
+
+    Meant for columns that are constant over the rows of a task (a source file, a run).
+    """
     counted = Observation()
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     (
@@ -50,11 +59,9 @@ class AuditRow:
         return self.rows_in - self.rows_out
 
 
-def write_audited(
-    source: DataFrame, transform, path: str, step: str, partition_by: Sequence[str] = ()
-) -> AuditRow:
+def write_audited(source: DataFrame, transform, path: str, step: str) -> AuditRow:
     """Write ``transform(source)``, counting rows in and out within the one write job."""
     taken = Observation()
     rows = transform(source.observe(taken, F.count(F.lit(1)).alias("rows")))
-    rows_out = replace_table(rows, path, partition_by)
+    rows_out = replace_table(rows, path)
     return AuditRow(step, path.rstrip("/").rsplit("/", 1)[-1], taken.get["rows"], rows_out)
