@@ -111,7 +111,8 @@ def build_silver(
         newest = [F.desc("_ingest_ts"), F.desc("source_year_range")]
         return conform_incidents(latest_incidents(kept, newest), districts, wards, areas)
 
-    audits.append(write_audited(typed, conformed, f"{root}/silver/crimes_conformed", "STEP7_DIMENSION_JOIN"))
+    path, rows_in = f"{root}/silver/crimes_conformed", audits[-1].rows_out
+    audits.append(write_audited(typed, conformed, path, "STEP7_DIMENSION_JOIN", rows_in))
     logs.log_steps(spark, root, run_id, audits)
     logs.log_run(spark, root, run_id, "silver_transform", "SILVER", "SUCCESS", audits[-1].rows_out, rejected)
     logged = read_table(spark, f"{root}/{logs.FAILURE_LOG}").filter(F.col("run_id") == run_id)

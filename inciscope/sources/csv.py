@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def _ingest_one(spark: SparkSession, spec: FileSpec, root: str) -> FileOutcome:
         rows = land_csv(spark, spec.path, spec.headers, spec.target)
         written = tables.replace_partitions(rows, f"{root}/{spec.target}", ["_source_file"])
         return FileOutcome(spec, "SUCCESS", written)
-    except (PySparkException, ValueError) as error:
+    except (PySparkException, Py4JJavaError, ValueError) as error:
         return FileOutcome(spec, "FAILED", 0, str(error).splitlines()[0])
 
 

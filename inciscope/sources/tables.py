@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +14,27 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _rows(counted: Observation, uncounted) -> int:
+    """Observed rows; ``uncounted()`` where the optimizer proved the branch empty and dropped the observation."""
+    try:
+        return counted.get["rows"]
+    except Py4JJavaError:
+        return uncounted()
+
+
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
     """Write and return the rows written, counted by the same job.
 
     A partitioned table is rebalanced by its partition columns first: otherwise each of many tasks would leave a
-    small file in every partition. Rebalancing also splits a partition that holds a large part of the rows.
+    small file in every partition. Rebalancing also splits a partition that holds a large part of the rows. Rows are
+    counted after the last shuffle, where a task that runs again after an executor is lost counts once.
     """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     counted = Observation()
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        observed = observed.hint("rebalance", *[F.col(c) for c in partition_by])
     observed.write.mode(mode).partitionBy(*partition_by).parquet(path)
-    return counted.get["rows"]
+    return _rows(counted, int)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
@@ -44,7 +54,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    return counted.get["rows"]
+    return _rows(counted, int)
 
 
 @dataclass(frozen=True)
@@ -59,9 +69,14 @@ class AuditRow:
         return self.rows_in - self.rows_out
 
 
-def write_audited(source: DataFrame, transform, path: str, step: str) -> AuditRow:
-    """Write ``transform(source)``, counting rows in and out within the one write job."""
+def write_audited(source: DataFrame, transform, path: str, step: str, rows_in: int | None = None) -> AuditRow:
+    """Write ``transform(source)``, counting rows in and out within the one write job.
+
+    Give ``rows_in`` where it is known and the transform shuffles: below a shuffle, rows read again after an
+    executor is lost would be counted again.
+    """
     taken = Observation()
-    rows = transform(source.observe(taken, F.count(F.lit(1)).alias("rows")))
-    rows_out = replace_table(rows, path)
-    return AuditRow(step, path.rstrip("/").rsplit("/", 1)[-1], taken.get["rows"], rows_out)
+    watched = source if rows_in is not None else source.observe(taken, F.count(F.lit(1)).alias("rows"))
+    rows_out = replace_table(transform(watched), path)
+    rows_in = _rows(taken, source.count) if rows_in is None else rows_in
+    return AuditRow(step, path.rstrip("/").rsplit("/", 1)[-1], rows_in, rows_out)

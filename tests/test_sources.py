@@ -43,10 +43,11 @@ def test_one_failing_file_does_not_stop_the_others_and_reruns_add_nothing(spark,
     ]
     absent = csv.FileSpec(str(tmp_path / "absent.csv"), "bronze/incidents", HEADERS)
     wrong = csv.FileSpec(write_text(tmp_path / "wrong.csv", "X,Y", "1,2"), "bronze/incidents", HEADERS)
-    report = csv.ingest_files(spark, [good[0], absent, wrong, good[1]], root, "r1")
+    broken = csv.FileSpec(write_text(tmp_path / "broken.csv.gz", "not compressed"), "bronze/incidents", HEADERS)
+    report = csv.ingest_files(spark, [good[0], absent, wrong, broken, good[1]], root, "r1")
     assert report.status == "PARTIAL_SUCCESS" and report.rows_processed == 5
-    assert [o.status for o in report.outcomes] == ["SUCCESS", "FAILED", "FAILED", "SUCCESS"]
-    assert all(o.error for o in report.outcomes[1:3])
+    assert [o.status for o in report.outcomes] == ["SUCCESS", "FAILED", "FAILED", "FAILED", "SUCCESS"]
+    assert all(o.error for o in report.outcomes[1:4])
 
     again = csv.ingest_files(spark, good, root, "r2")
     assert again.status == "SUCCESS" and [o.status for o in again.outcomes] == ["SKIPPED", "SKIPPED"]
@@ -58,9 +59,11 @@ def test_one_failing_file_does_not_stop_the_others_and_reruns_add_nothing(spark,
     assert log.count() == 4  # RUNNING and a closing row per run
     latest = {r["run_id"]: r for r in logs.latest_status(log).collect()}
     assert (latest["r1"]["status"], latest["r2"]["status"]) == ("PARTIAL_SUCCESS", "SUCCESS")
-    assert latest["r1"]["error_message"] == "2 file(s) failed to load" and latest["r1"]["run_by"]
+    assert latest["r1"]["error_message"] == "3 file(s) failed to load" and latest["r1"]["run_by"]
     files = tables.read_table(spark, f"{root}/{logs.FILE_LOG}").filter("run_id = 'r1'")
-    assert {r["source_file_name"]: r["row_count"] for r in files.collect()} == {"2.csv": 2, "3.csv": 3, "absent.csv": 0, "wrong.csv": 0}
+    assert {r["source_file_name"]: r["row_count"] for r in files.collect()} == {
+        "2.csv": 2, "3.csv": 3, "absent.csv": 0, "wrong.csv": 0, "broken.csv.gz": 0,
+    }
 
 
 def test_writes_report_their_rows(spark, tmp_path, rows):
@@ -76,6 +79,15 @@ def test_writes_report_their_rows(spark, tmp_path, rows):
     assert (audit.target_table, audit.rows_in, audit.rows_out, audit.rows_dropped) == ("u", 10, 4, 6)
 
 
+def test_empty_writes_report_zero(spark, tmp_path):
+    empty = spark.createDataFrame([], "v int, p int")
+    assert tables.write_table(empty, str(tmp_path / "a")) == 0
+    assert tables.write_table(spark.range(5).filter("id > 9"), str(tmp_path / "b")) == 0
+    assert tables.write_table(spark.range(5).filter("false"), str(tmp_path / "c")) == 0
+    audit = tables.write_audited(spark.range(5), lambda d: d.filter("false"), str(tmp_path / "d"), "STEP")
+    assert (audit.rows_in, audit.rows_out) == (5, 0)
+
+
 def test_scratch_follows_the_session_setting(spark, rows):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     frame = spark.range(5).withColumn("v", F.col("id") * 2)
