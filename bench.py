@@ -60,7 +60,7 @@ def run(spark: SparkSession, sf_dir: str, name: str) -> float:
 def main(names: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("inciscope-bench")

@@ -97,6 +97,17 @@ def entity_features(spark, sf_dir):
     return features.entity_features(stored, n_years, f"yoy_pct_{YEARS[1]}_vs_{YEARS[0]}")
 
 
+FEATURE_PREVIEW = [
+    "community_name", "total_crimes", "arrest_rate_pct", "violent_pct", "domestic_pct", "is_high_volume_area",
+    "is_low_arrest_area",
+]
+
+
+def feature_preview(spark, sf_dir):
+    rows = entity_features(spark, sf_dir).select(*FEATURE_PREVIEW)
+    return shaping.top_k(rows, [F.desc("total_crimes"), F.asc("community_name")], 10)
+
+
 def published(spark, sf_dir):
     built = star(spark, sf_dir)
     stored = gold.Star(**{**vars(built), "fact": materialise(built.fact, "fact")})
@@ -166,6 +177,7 @@ QUERIES = {
     "domestic_style_rates": lambda s, d: views.flag_analysis(fact(s, d)),
     "kpi_summary": lambda s, d: views.kpi_summary(fact(s, d)),
     "feature_table_entity": entity_features,
+    "feature_preview": feature_preview,
     "feature_table_group_year": lambda s, d: features.group_year_features(views.group_performance(fact(s, d))),
     "type_rollup": lambda s, d: views.type_rollup(views.type_breakdown(fact(s, d), dim_type(s, d))),
     "year_distribution": conformed_by_year,
@@ -378,3 +390,5 @@ ORACLE = {
         for name, rows in _OBJECTS.items()
     ),
 }
+ORACLE["feature_preview"] = f"""SELECT {', '.join(FEATURE_PREVIEW)} FROM ({ORACLE['feature_table_entity']})
+    ORDER BY total_crimes DESC, community_name LIMIT 10"""

@@ -193,6 +193,15 @@ def coord_source_share(spark, sf_dir):
     return share_by(conformed(spark, sf_dir), "coord_source", "record_count", "pct_of_total")
 
 
+def value_distribution_numeric(spark, sf_dir):
+    counts = profiling.value_distribution(raw(spark, sf_dir), "district", F.trim)
+    return profiling.numeric_order(counts.select("raw_value", "frequency"), "raw_value")
+
+
+def conformed_unmatched(spark, sf_dir):
+    return joins.unmatched_after_join(conformed(spark, sf_dir), "community_area_num", "community_name", "crime_count")
+
+
 def key_profile(spark, sf_dir):
     named = {
         "districts": (districts_raw(spark, sf_dir), "dist_num", "dist_label"),
@@ -290,6 +299,7 @@ QUERIES = {
         raw(s, d), "date", "year", F.lit(NOW).cast("timestamp"), YEARS
     ),
     "value_distribution": lambda s, d: profiling.value_distribution(raw(s, d), "primary_type", standardise),
+    "value_distribution_numeric": value_distribution_numeric,
     "source_bucket": source_bucket,
     "union_tagged": union_tagged,
     "typed_records": lambda s, d: comparable(typed(s, d)),
@@ -308,6 +318,7 @@ QUERIES = {
     "unmatched_keys": unmatched_keys,
     "join_key_validation": join_key_validation,
     "conform_dims": lambda s, d: comparable(conformed(s, d)),
+    "conformed_unmatched": conformed_unmatched,
     "clean_dim": lambda s, d: silver.clean_wards(wards_raw(s, d)),
     "clean_dim_districts": lambda s, d: silver.clean_districts(districts_raw(s, d)),
     "clean_dim_areas": lambda s, d: silver.clean_areas(areas_raw(s, d)),
@@ -506,6 +517,7 @@ ORACLE = {
     "value_distribution": f"""WITH {RAW} SELECT primary_type AS raw_value, upper(trim(primary_type)) AS cleaned_value,
         count(*) AS frequency, CASE WHEN primary_type <> upper(trim(primary_type)) THEN 'NEEDS_CLEAN' ELSE 'OK' END
         AS needs_cleaning FROM raw GROUP BY primary_type""",
+    "value_distribution_numeric": f"WITH {RAW} SELECT district AS raw_value, count(*) AS frequency FROM raw GROUP BY 1",
     "source_bucket": f"WITH {RAW} SELECT {BUCKET} AS source_year_range, count(*) AS n FROM raw GROUP BY 1",
     "union_tagged": f"WITH {RAW} SELECT id, case_number, date, {BUCKET} AS yr_range FROM raw",
     "typed_records": f"WITH {RAW}, {TYPED} SELECT {_TEXT_TIME} FROM typed",
@@ -542,6 +554,8 @@ ORACLE = {
         ]
     ),
     "conform_dims": f"WITH {RAW}, {DIMS}, {TYPED}, {KEPT}, {LATEST}, {CONFORMED} SELECT {_TEXT_TIME} FROM conformed",
+    "conformed_unmatched": f"""WITH {RAW}, {DIMS}, {TYPED}, {KEPT}, {LATEST}, {CONFORMED} SELECT community_area_num,
+        count(*) AS crime_count FROM conformed WHERE community_name IS NULL AND community_area_num IS NOT NULL GROUP BY 1""",
     "clean_dim": f"WITH {DIMS} SELECT * FROM wards",
     "clean_dim_districts": f"WITH {DIMS} SELECT * FROM districts",
     "clean_dim_areas": f"WITH {DIMS} SELECT * FROM areas",

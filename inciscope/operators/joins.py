@@ -63,6 +63,12 @@ def unmatched_keys(df: DataFrame, key_expr: Column, dim: DataFrame, key: str, ou
     return counts.join(dim.select(F.col(key).alias(out)).distinct(), [out], "left_anti")
 
 
+def unmatched_after_join(df: DataFrame, code: str, name: str, count_name: str) -> DataFrame:
+    """Codes of a conformed table whose lookup gave no name, with their row counts."""
+    unnamed = df.filter(F.col(name).isNull() & F.col(code).isNotNull())
+    return unnamed.groupBy(code).agg(F.count(F.lit(1)).alias(count_name))
+
+
 def join_key_validation(df: DataFrame, dims: Mapping[str, DimSpec]) -> DataFrame:
     """One row: for each named dimension, how many distinct keys of ``df`` it lacks.
 

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from check import TABLES, canonical
 
 SF = entry.SMOKE_DIR
-ROWS_ONLY = {"kmeans_clusters", "pca_projection"}
+ROWS_ONLY = {"kmeans_clusters", "kmeans_sweep", "pca_projection"}
 
 
 @pytest.fixture(scope="module")
