@@ -33,9 +33,13 @@ def with_share(df: DataFrame, value: str, out: str, by: Sequence[str] = (), digi
 
 
 def share_by(df: DataFrame, key: str, count_name: str, share_name: str, digits: int = 2) -> DataFrame:
-    """Row count per key and its share of all rows; the base is counted apart, so no window is needed."""
-    base = df.agg(F.count(F.lit(1))).scalar()
+    """Row count per key and its share of all rows.
+
+    The base is the sum of the counts as a scalar subquery: it reuses their shuffle, so rows are read once, and no
+    window has to gather the keys in one task.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
+    base = counts.agg(F.sum(count_name)).scalar()
     return counts.withColumn(share_name, F.round(F.lit(100.0) * F.col(count_name) / base, digits))
 
 
