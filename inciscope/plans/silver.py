@@ -102,7 +102,13 @@ def build_silver(
     typed = read_table(spark, f"{root}/silver/crimes_typed")
 
     failures = incident_failures(typed, districts, gates or incident_gates()).withColumns(
-        {"run_id": F.lit(run_id), "zone": F.lit("SILVER"), "detected_at": F.current_timestamp()}
+        {
+            "run_id": F.lit(run_id),
+            "source_table": F.lit("silver.crimes_typed"),
+            "target_table": F.lit("silver.crimes_deduped"),
+            "zone": F.lit("SILVER"),
+            "detected_at": F.current_timestamp(),
+        }
     )
     rejected = replace_partitions(failures, f"{root}/{logs.FAILURE_LOG}", ["run_id"])
 

@@ -74,6 +74,19 @@ def latest_status(log: DataFrame, run: str = "run_id", order_by: Sequence[Column
     return dedup_latest(log, [run], order_by or [F.desc("logged_at")])
 
 
+def run_history(log: DataFrame) -> DataFrame:
+    """One row per run: when it started and ended, its current status, counts and error."""
+    last = ["status", "rows_processed", "rows_rejected", "error_message"]
+    newest = F.max_by(F.struct(*last), F.struct("logged_at", F.col("status") != "RUNNING"))
+    history = log.groupBy("run_id", "pipeline_name", "zone", "run_by").agg(
+        F.min("logged_at").alias("start_ts"), F.max("logged_at").alias("_last_ts"), newest.alias("_last")
+    )
+    ended = F.when(F.col("_last.status") != "RUNNING", F.col("_last_ts"))
+    return history.select(
+        "run_id", "pipeline_name", "zone", "run_by", "start_ts", ended.alias("end_ts"), *[f"_last.{c}" for c in last]
+    )
+
+
 def publication_log(objects: Mapping[str, DataFrame], run_id: str, types: Mapping[str, str] | None = None) -> DataFrame:
     """One audit row with the row count of every published object."""
     kinds = types or {}

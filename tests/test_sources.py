@@ -60,6 +60,11 @@ def test_one_failing_file_does_not_stop_the_others_and_reruns_add_nothing(spark,
     latest = {r["run_id"]: r for r in logs.latest_status(log).collect()}
     assert (latest["r1"]["status"], latest["r2"]["status"]) == ("PARTIAL_SUCCESS", "SUCCESS")
     assert latest["r1"]["error_message"] == "3 file(s) failed to load" and latest["r1"]["run_by"]
+    logs.log_run(spark, root, "r3", "bronze_bulk_ingest", "BRONZE", "RUNNING")
+    history = {r["run_id"]: r for r in logs.run_history(tables.read_table(spark, f"{root}/{logs.RUN_LOG}")).collect()}
+    assert history["r1"]["status"] == "PARTIAL_SUCCESS" and history["r1"]["end_ts"] > history["r1"]["start_ts"]
+    assert history["r1"]["rows_processed"] == 5
+    assert history["r3"]["status"] == "RUNNING" and history["r3"]["end_ts"] is None
     files = tables.read_table(spark, f"{root}/{logs.FILE_LOG}").filter("run_id = 'r1'")
     assert {r["source_file_name"]: r["row_count"] for r in files.collect()} == {
         "2.csv": 2, "3.csv": 3, "absent.csv": 0, "wrong.csv": 0, "broken.csv.gz": 0,

@@ -144,6 +144,40 @@ def test_views_shuffle_counts_not_records(spark, plan, tmp_path):
     assert "HashAggregate" in below_exchange and "partial_count" in below_exchange
 
 
+def test_views_with_one_group_holding_a_third_of_the_rows(spark):
+    n = 60_000
+    frame = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50 + 2).cast("int").alias("community_area_num"),
+        (F.xxhash64("id") % 12).alias("h"),
+        (F.col("id") % 4 + 2014).cast("int").alias("incident_year"),
+    ).select(
+        "community_area_num",
+        F.concat(F.lit("A"), F.col("community_area_num").cast("string")).alias("community_name"),
+        F.col("community_area_num").cast("string").alias("district_code"),
+        F.concat(F.lit("D"), F.col("community_area_num").cast("string")).alias("district_name"),
+        (F.abs("h") % 24).cast("int").alias("incident_hour"),
+        F.concat(F.lit("T"), (F.abs("h") % 5).cast("string")).alias("primary_type"),
+        F.when(F.col("h") == 0, None).otherwise(F.col("h") > 0).alias("is_arrest"),
+        (F.col("h") % 2 == 0).alias("is_domestic"),
+        (F.col("h") == 3).alias("is_violent"),
+        F.when(F.col("h") > 5, "PROPERTY").otherwise("OTHER").alias("crime_category"),
+        "incident_year",
+    )
+    data = frame.toPandas()
+    profile = views.entity_profile(frame.repartition(7), (2016, 2017)).toPandas().set_index("community_name")
+    for name, part in data.groupby("community_name"):
+        row = profile.loc[name]
+        assert row["total_crimes"] == len(part)
+        assert row["total_arrests"] == (part["is_arrest"] == True).sum()  # noqa: E712
+        assert row["peak_crime_hour"] == part["incident_hour"].mode().min()
+        assert row["dominant_crime_type"] == part["primary_type"].mode().min()
+        assert row["crimes_2017"] == (part["incident_year"] == 2017).sum()
+    assert profile["total_crimes"].sum() == n and profile.loc["A1", "total_crimes"] == n // 3
+    ranked = views.group_performance(frame).toPandas()
+    assert set(ranked.loc[ranked["district_name"] == "D1", "crime_volume_rank"]) == {1}
+    assert ranked["total_crimes"].sum() == n
+
+
 def test_first_list_decides_for_overlapping_codes():
     assert len(config.OFFENCE_CODES) == 24
     assert "ROBBERY" in config.CATEGORY_RULES[0][1] and "ROBBERY" in config.CATEGORY_RULES[1][1]
