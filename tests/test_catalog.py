@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, canonical
+from inciscope.bindings import catalog
 
 SF = entry.SMOKE_DIR
 ROWS_ONLY = {"kmeans_clusters", "kmeans_sweep", "pca_projection"}
@@ -23,11 +24,11 @@ def test_flagship(spark):
 
 
 def test_every_query_but_the_iterative_ones_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == ROWS_ONLY
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, SF)
     found = [tuple(r) for r in df.collect()]
