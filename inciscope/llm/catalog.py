@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inciscope.llm import bpe, fingerprints, packing, urls
+from inciscope.llm import bpe, fingerprints, packing, pii, urls
 from inciscope.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op2_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)).drop("ids")
 
 
+def op5_checked_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read(spark, sf_dir, "documents")))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -30,6 +34,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_concatenate_and_cut, op8_bpe, op10_url_filter)
+    f.__name__: f for f in (op1_order_minhash, op2_concatenate_and_cut, op5_checked_patterns, op8_bpe, op10_url_filter)
 }
 ORACLE = {"op10_url_filter": urls.oracle()}
