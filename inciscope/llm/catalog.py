@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inciscope.llm import bpe, fingerprints, packing, pii, secret_scan, urls
+from inciscope.llm import bpe, fingerprints, packing, pii, secret_scan, toxicity, urls
 from inciscope.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op2_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)).drop("ids")
 
 
+def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read(spark, sf_dir, "documents")))
 
@@ -38,6 +42,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_concatenate_and_cut, op4_zstd_novelty, op5_checked_patterns, op8_bpe, op10_url_filter)
+    f.__name__: f for f in (op1_order_minhash, op2_concatenate_and_cut, op3_weak_supervision, op4_zstd_novelty, op5_checked_patterns, op8_bpe, op10_url_filter)
 }
 ORACLE = {"op10_url_filter": urls.oracle()}
