@@ -1,0 +1,399 @@
+"""Hidden Markov language model of words.
+
+The most frequent training words are symbols of their own; every other word is one of two rare symbols (with or without
+letters beyond ASCII) times the word's own smoothed share of that symbol, so a text's probability is that of its words.
+Baum-Welch: each partition adds up the expected counts of its training texts, the counts are summed by blocks, and the
+driver only sees the model. The first model comes from a bounded sample of texts; all training texts are used in each of
+the following rounds. The scaled forward recursion then gives every text's exact likelihood.
+
+Word counts cover all training texts. The counts of frequent words go to every task (a fixed number); a rare word meets
+its count by a join on the word.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from inciscope.llm.common import crc_mod, keyed_text
+from inciscope.llm.shingles import text_slices, words
+from inciscope.session import materialise
+
+FOLDS, HELD_OUT_FOLD = 7, 2
+STATES = 8
+#: Frequent words that are symbols, and those whose counts every task gets.
+SYMBOLS, KNOWN_COUNTS = 8192, 65_536
+#: Baum-Welch rounds over all training texts, and those on the sample that the first model comes from.
+ROUNDS, SAMPLE_ROUNDS, SAMPLE_TEXTS = 2, 12, 512
+#: Training cuts texts into stretches of so many tokens; scoring does not.
+TRAIN_TOKENS = 512
+#: Tokens worked on together in training and in scoring.
+TRAIN_GROUP, SCORE_GROUP = 200_000, 2_000_000
+#: Numbers of a model that are summed as one row.
+BLOCK = 8192
+#: The end of a text; word hashes are even or odd by their letters, so this even one is as unlikely as any other.
+END = np.int64(-2)
+
+
+@dataclass
+class Vocabulary:
+    """Counts of all training tokens, and the frequent words by hash."""
+
+    total: int
+    distinct: int
+    known: np.ndarray  # sorted hashes
+    known_count: np.ndarray
+    known_symbol: np.ndarray  # -1: a rare word of known count
+    symbols: int  # number of frequent words; then come the end, the rare and the rare with wide letters
+    rare_size: tuple[int, int]  # N + V + 1 of either rare symbol
+    end_count: int
+
+    @property
+    def end(self) -> int:
+        return self.symbols
+
+
+def word_counts(training: DataFrame) -> DataFrame:
+    """(word, count) over the training texts, the end included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, borders in text_slices(batches):
+            hashes, _ = words(data, borders, mark_wide=True)
+            found, counts = np.unique(hashes.view(np.int64), return_counts=True)
+            found, counts = np.append(found, END), np.append(counts, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["word", "count"])
+
+    counted = training.mapInArrow(run, "word long, count long")
+    return counted.groupBy("word").agg(F.sum("count").alias("count"))
+
+
+def vocabulary(counts: DataFrame) -> Vocabulary:
+    wide = (F.col("word").bitwiseAND(F.lit(1)) == 1) & (F.col("word") != int(END))
+    sums = counts.agg(
+        F.sum("count"), F.count("*"), F.sum(F.when(wide, F.col("count"))), F.count_if(wide),
+        F.max(F.when(F.col("word") == int(END), F.col("count"))),
+    ).first()
+    total, distinct, wide_total, wide_distinct, end_count = (int(x or 0) for x in sums)
+    common = counts.where(F.col("word") != int(END)).orderBy(F.desc("count"), "word").limit(KNOWN_COUNTS).collect()
+    top = common[:SYMBOLS]
+    top_wide = [r for r in top if r["word"] & 1]
+    rare_wide = (wide_total - sum(r["count"] for r in top_wide), wide_distinct - len(top_wide))
+    rare_all = (total - end_count - sum(r["count"] for r in top), distinct - bool(end_count) - len(top))
+    order = np.argsort([r["word"] for r in common], kind="stable") if common else np.empty(0, np.int64)
+    known = np.array([r["word"] for r in common], dtype=np.int64)
+    symbol = np.where(np.arange(len(common)) < len(top), np.arange(len(common)), -1)
+    return Vocabulary(
+        total, distinct, known[order], np.array([r["count"] for r in common], dtype=np.int64)[order], symbol[order],
+        len(top), (sum(rare_all) - sum(rare_wide) + 1, sum(rare_wide) + 1), end_count,
+    )
+
+
+ENCODED = (
+    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, rare_log_counts double,"
+    " rare_plain long, rare_wide long, symbols binary, tail_words binary, tail_times binary"
+)
+
+
+def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Symbols of each text, what the frequent words' counts tell, and the words that must be looked up."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)  # KNOWN_COUNTS words at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        base, n_rows = TaskContext.get().partitionId() << 40, 0
+        names = [f.strip().split(" ")[0] for f in ENCODED.split(",")]
+        for batch, data, borders in text_slices(batches):
+            hashes, ends = words(data, borders, mark_wide=True)
+            word, at = np.unique(hashes.view(np.int64), return_inverse=True)
+            place = np.minimum(np.searchsorted(v.known, word), max(len(v.known) - 1, 0))
+            is_known = v.known[place] == word if len(v.known) else np.zeros(len(word), bool)
+            count = np.where(is_known, v.known_count[place], 0) if len(v.known) else np.zeros(len(word), np.int64)
+            symbol = np.where(is_known, v.known_symbol[place], -1) if len(v.known) else np.full(len(word), -1)
+            rare = symbol < 0
+            wide = (word & 1).astype(bool)
+            symbol = np.where(rare, v.end + 1 + wide, symbol).astype("<u2")
+            log_count = np.log10(count + 1.0)
+            starts = np.concatenate([[0], ends[:-1]])
+            text_of = np.repeat(np.arange(batch.num_rows), ends - starts)
+
+            def per_text(values: np.ndarray) -> np.ndarray:
+                return np.bincount(text_of, weights=values[at], minlength=batch.num_rows)
+
+            tokens, end_log = symbol[at], np.log10(v.end_count + 1.0)
+            tail = np.flatnonzero(~is_known[at])
+            key = np.lexsort((at[tail], text_of[tail]))
+            tail_text, tail_word = text_of[tail][key], word[at[tail]][key]
+            new = np.concatenate([[True], (tail_text[1:] != tail_text[:-1]) | (tail_word[1:] != tail_word[:-1])])[: len(tail)]
+            firsts = np.flatnonzero(new)
+            times = np.diff(np.append(firsts, len(tail))).astype("<u4")
+            tail_ends = np.searchsorted(tail_text[firsts], np.arange(batch.num_rows), side="right")
+            tail_word = tail_word[firsts].astype("<i8")
+            tail_starts = np.concatenate([[0], tail_ends[:-1]])
+            last = np.array([v.end], dtype="<u2").tobytes()
+            spans, tail_spans = list(zip(starts.tolist(), ends.tolist())), list(zip(tail_starts.tolist(), tail_ends.tolist()))
+            columns = [
+                pa.array(base + n_rows + np.arange(batch.num_rows)), batch.column(0), batch.column(2),
+                pa.array(ends - starts + 1), pa.array(per_text(is_known).astype(np.int64) + (v.end_count > 0)),
+                pa.array(per_text(log_count) + end_log), pa.array(per_text(np.where(rare, log_count, 0.0))),
+                pa.array(per_text(rare & ~wide).astype(np.int64)), pa.array(per_text(rare & wide).astype(np.int64)),
+                pa.array([tokens[a:b].tobytes() + last for a, b in spans], pa.binary()),
+                pa.array([tail_word[a:b].tobytes() for a, b in tail_spans], pa.binary()),
+                pa.array([times[a:b].tobytes() for a, b in tail_spans], pa.binary()),
+            ]
+            n_rows += batch.num_rows
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.mapInArrow(run, ENCODED)
+
+
+def tail_counts(encoded: DataFrame, counts: DataFrame) -> DataFrame:
+    """(row, tail_known, tail_log): the rare words of each text that training has, and the logarithms of their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(b, "<i8") for b in batch.column(1).to_pylist()]
+            times = [np.frombuffer(b, "<u4") for b in batch.column(2).to_pylist()]
+            row = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
+            columns = (np.concatenate([np.empty(0, np.int64), *found]), row, np.concatenate([np.empty(0, np.int32), *times]))
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, (np.int64, np.int64, np.int32))], ["word", "row", "times"])
+
+    tail = encoded.select("row", "tail_words", "tail_times").mapInArrow(run, "word long, row long, times int")
+    met = tail.join(counts, "word")  # a word that training lacks has count 0 and logarithm 0
+    return met.groupBy("row").agg(
+        F.sum("times").alias("tail_known"), F.sum(F.col("times") * F.log10(F.col("count") + 1.0)).alias("tail_log")
+    )
+
+
+@dataclass
+class Hmm:
+    start: np.ndarray
+    move: np.ndarray
+    emit: np.ndarray  # symbol by state
+
+
+def blank(vocab: Vocabulary, share: np.ndarray, states: int = STATES, seed: int = 7) -> Hmm:
+    """States that tend to stay, each with the words' shares shaken at random."""
+    rng = np.random.default_rng(seed)
+    emit = share[:, None] * rng.gamma(1.0, 1.0, (len(share), states)) + 1e-3 * share[:, None]
+    move = np.full((states, states), 0.1 / max(1, states - 1))
+    np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
+    return Hmm(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
+
+
+def padded(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts from long to short as columns, and how many go on at each step."""
+    texts = sorted(texts, key=len, reverse=True)
+    lengths = np.array([len(t) for t in texts])
+    table = np.zeros((lengths[0], len(texts)), dtype=np.int64)
+    for k, t in enumerate(texts):
+        table[: len(t), k] = t
+    return table, (lengths[None, :] > np.arange(lengths[0])[:, None]).sum(axis=1)
+
+
+def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Hmm:
+    """Expected starts, moves and emissions of some texts, by the scaled forward and backward recursions."""
+    table, active = padded(texts)
+    steps, width = table.shape
+    states = len(model.start)
+    seen = np.zeros((steps, width, states))
+    scale = np.ones((steps, width))
+    for t in range(steps):
+        n = active[t]
+        forward = model.emit[table[t, :n]]
+        forward = forward * (model.start if t == 0 else seen[t - 1, :n] @ model.move)
+        scale[t, :n] = forward.sum(axis=1)
+        seen[t, :n] = forward / scale[t, :n, None]
+    move = np.zeros_like(model.move)
+    backward = np.ones((width, states))
+    for t in range(steps - 2, -1, -1):
+        n = active[t + 1]
+        after = model.emit[table[t + 1, :n]] * backward[:n] / scale[t + 1, :n, None]
+        move += seen[t, :n].T @ after
+        seen[t + 1, :n] *= backward[:n]
+        backward[:n] = after @ model.move.T
+    seen[0] *= backward
+    inside = np.arange(width)[None, :] < active[:, None]
+    symbol, weight = table[inside], seen[inside]
+    emit = np.stack([np.bincount(symbol, weight[:, k], len(model.emit)) for k in range(states)], axis=1)
+    return Hmm(seen[0].sum(axis=0), move * model.move, emit)
+
+
+def add(a: Hmm | None, b: Hmm) -> Hmm:
+    return b if a is None else Hmm(a.start + b.start, a.move + b.move, a.emit + b.emit)
+
+
+def estimate(counts: Hmm, share: np.ndarray) -> Hmm:
+    """The model that makes expected counts likeliest, smoothed by a word's share of all tokens."""
+    emit = counts.emit + share[:, None]
+    move, start = counts.move + 0.01, counts.start + 0.01
+    return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
+def stretches(texts: list[bytes], size: int = TRAIN_TOKENS) -> list[np.ndarray]:
+    found = [np.frombuffer(b, "<u2").astype(np.int64) for b in texts]
+    return [t[i : i + size] for t in found for i in range(0, len(t), size)]
+
+
+def grouped(texts: list[np.ndarray], limit: int) -> Iterator[list[np.ndarray]]:
+    texts = sorted(texts, key=len)
+    lo = total = 0
+    for k, t in enumerate(texts):
+        if total and total + len(t) > limit:
+            yield texts[lo:k]
+            lo, total = k, 0
+        total += len(t)
+    if texts[lo:]:
+        yield texts[lo:]
+
+
+def baum_welch_round(training: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
+    """One round over all training texts; partial counts are summed by blocks of ``BLOCK`` numbers."""
+    shared = training.sparkSession.sparkContext.broadcast(model)  # states times symbols
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, waiting, n = None, [], 0
+
+        def work() -> Hmm | None:
+            done = total
+            for group in grouped(stretches(waiting), TRAIN_GROUP):
+                done = add(done, expected_counts(shared.value, group))
+            return done
+
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            waiting += texts
+            n += sum(map(len, texts))
+            if n > 2 * SCORE_GROUP:
+                total, waiting, n = work(), [], 0
+        total = work()
+        if total is not None:
+            flat = np.concatenate([total.start, total.move.ravel(), total.emit.ravel()])
+            parts = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts)], ["block", "part"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(*(c.to_pylist() for c in batch.columns)):
+                totals[block] = totals.get(block, 0.0) + np.frombuffer(part)
+        parts = [totals[b].tobytes() for b in totals]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
+
+    kind = "block int, part binary"
+    partial = training.select("symbols").mapInArrow(run, kind)
+    rows = partial.repartition("block").mapInArrow(sums, kind).collect()
+    if not rows:
+        return model
+    flat = np.concatenate([np.frombuffer(r["part"]) for r in sorted(rows)])
+    k = len(model.start)
+    counts = Hmm(flat[:k], flat[k : k + k * k].reshape(k, k), flat[k + k * k :].reshape(-1, k))
+    return estimate(counts, share)
+
+
+def symbol_shares(vocab: Vocabulary) -> np.ndarray:
+    counts = np.zeros(vocab.symbols + 3)
+    own = vocab.known_symbol >= 0
+    counts[vocab.known_symbol[own]] = vocab.known_count[own]
+    counts[vocab.end] = vocab.end_count
+    counts[vocab.end + 1 :] = vocab.rare_size
+    return (counts + 1) / (counts + 1).sum()
+
+
+def train(training: DataFrame, vocab: Vocabulary, states: int = STATES) -> Hmm:
+    """``training`` has the symbols of the training texts."""
+    share = symbol_shares(vocab)
+    model = blank(vocab, share, states)
+    sample = training.select("row", "symbols").orderBy(F.xxhash64("row")).limit(SAMPLE_TEXTS)
+    first = stretches([r["symbols"] for r in sample.select("symbols").collect()])
+    if not first:
+        return model
+    for _ in range(SAMPLE_ROUNDS):
+        counts = None
+        for group in grouped(first, TRAIN_GROUP):
+            counts = add(counts, expected_counts(model, group))
+        model = estimate(counts, share)
+    for _ in range(ROUNDS):
+        model = baum_welch_round(training, model, share)
+    return model
+
+
+def log10_likelihood(model: Hmm, texts: list[np.ndarray]) -> np.ndarray:
+    """Of each text, by the scaled forward recursion; texts run side by side, each to its end."""
+    order = np.argsort([-len(t) for t in texts], kind="stable")
+    lengths = np.array([len(texts[i]) for i in order])
+    flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
+    offset = np.cumsum(lengths) - lengths
+    out = np.zeros(len(texts))
+    forward = model.start[None, :] * model.emit[flat[offset]]
+    n = len(texts)
+    for t in range(int(lengths[0])):
+        if t:
+            n = int(np.searchsorted(-lengths, -t, side="left"))  # longer than t
+            forward = (forward[:n] @ model.move) * model.emit[flat[offset[:n] + t]]
+        scale = forward.sum(axis=1)
+        forward /= scale[:, None]
+        out[:n] += np.log10(scale)
+    result = np.empty(len(texts))
+    result[order] = out
+    return result
+
+
+def likelihoods(encoded: DataFrame, model: Hmm) -> DataFrame:
+    """Columns of ``encoded`` but for the words, with ``symbol_log``: log10 likelihood of the symbols."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    narrow = [c for c in encoded.columns if c not in ("symbols", "tail_words", "tail_times")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def scored() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            texts = [np.frombuffer(b, "<u2") for b in table.column("symbols").to_pylist()]
+            found = log10_likelihood(shared.value, texts)
+            return table.select(narrow).append_column("symbol_log", pa.array(found)).to_batches()[0]
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.column(len(narrow)).nbytes // 2
+            if n > SCORE_GROUP:
+                yield scored()
+                held, n = [], 0
+        if held:
+            yield scored()
+
+    schema = ", ".join(f for f in map(str.strip, ENCODED.split(",")) if f.split(" ")[0] in narrow)
+    return encoded.select(*narrow, "symbols").mapInArrow(run, f"{schema}, symbol_log double")
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES) -> DataFrame:
+    """Token counts, the smoothed unigram score and the model's score (both log10) of each row.
+
+    A null or empty text is its end alone. Rows without doc_id belong to the training texts. Repeated rows are counted
+    and scored one by one. Without any training text all words are unknown and the model is its blank start. Other
+    columns are not read.
+    """
+    keyed = keyed_text(docs, id_col, text_col)
+    fold = crc_mod(F.col("doc_id"), FOLDS)
+    marked = keyed.select("doc_id", "text", (F.col("doc_id").isNotNull() & (fold == HELD_OUT_FOLD)).alias("held_out"))
+    counts = materialise(word_counts(marked.where("NOT held_out").select("doc_id", "text")), "hmm-counts")
+    vocab = vocabulary(counts)
+    encoded = materialise(encode(marked, vocab), "hmm-encoded")
+    model = train(encoded.where("NOT held_out"), vocab, states)
+    tail = tail_counts(encoded, counts)
+    each = likelihoods(encoded, model).join(tail, "row", "left")
+    tail_log, tail_known = F.coalesce("tail_log", F.lit(0.0)), F.coalesce("tail_known", F.lit(0))
+    plain, wide = (float(np.log10(n)) for n in vocab.rare_size)
+    base = F.col("log_counts") + tail_log - F.col("n_tokens") * float(np.log10(vocab.total + vocab.distinct + 1))
+    rare = F.col("rare_log_counts") + tail_log - F.col("rare_plain") * plain - F.col("rare_wide") * wide
+    return each.select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + tail_known).alias("n_known"),
+        F.lit(vocab.total).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (F.col("symbol_log") + rare).alias("score"),
+    )

@@ -50,8 +50,11 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ends, np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
 
 
-def words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of all texts, and for each text the end of its words."""
+def words(data: np.ndarray, borders: np.ndarray, mark_wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of all texts, and for each text the end of its words.
+
+    With ``mark_wide`` the last bit of a hash tells whether the word has a byte beyond ASCII.
+    """
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(borders) - 1, np.int64)
     inside = ~IS_SPACE[data]
@@ -67,7 +70,11 @@ def words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray
     place = np.arange(begins[0], len(data)) - np.repeat(begins, sizes)
     powers = np.cumprod(np.full(int(sizes.max()), ODD, dtype=np.uint64))
     value = np.where(inside[begins[0] :], BYTE_VALUES[data[begins[0] :]], np.uint64(0)) * powers[place]
-    return mix(np.add.reduceat(value, begins - begins[0])), np.searchsorted(begins, borders[1:])
+    hashes = mix(np.add.reduceat(value, begins - begins[0]))
+    if mark_wide:
+        wide = np.maximum.reduceat(data[begins[0] :], begins - begins[0]) >= 0x80
+        hashes = (hashes & ~np.uint64(1)) | wide
+    return hashes, np.searchsorted(begins, borders[1:])
 
 
 def shingle_sets(word_hashes: np.ndarray, ends: np.ndarray, size: int = SHINGLE_WORDS) -> list[np.ndarray]:
