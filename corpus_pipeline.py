@@ -5,19 +5,39 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inciscope.llm import packing
+from inciscope.llm import ngram_join, packing, secret_scan, toxicity
 from inciscope.llm.common import read
 from inciscope.session import materialise
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier trained on weak labels rejects go."""
+    return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked shingle sets stays."""
+    return ngram_join.representatives(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark."""
+    return secret_scan.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Concatenate and cut what is left into training sequences."""
+    """What is left is laid end to end and cut into training sequences."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("secret_scan", redact_secrets),
+    ("packing", pack),
+]
 
-#: No SQL: tokens are not expressible in it.
+#: No SQL: neither a trained classifier nor tokens can be had in it. Tested against a brute-force version.
 ORACLE_SQL = None
 
 

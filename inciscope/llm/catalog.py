@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inciscope.llm import bpe, fingerprints, hmm, ngram_join, packing, pii, secret_scan, toxicity, urls
+from inciscope.llm import bpe, fingerprints, hamming, hmm, ngram_join, packing, pii, secret_scan, toxicity, urls
 from inciscope.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -45,11 +45,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return hamming.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_concatenate_and_cut, op3_weak_supervision, op4_zstd_novelty, op5_checked_patterns, op6_t_occurrence, op7_hidden_markov, op8_bpe, op10_url_filter)
+    f.__name__: f for f in (op1_order_minhash, op2_concatenate_and_cut, op3_weak_supervision, op4_zstd_novelty, op5_checked_patterns, op6_t_occurrence, op7_hidden_markov, op8_bpe, op9_multi_index_hashing, op10_url_filter)
 }
-ORACLE = {"op10_url_filter": urls.oracle()}
+ORACLE = {"op9_multi_index_hashing": hamming.oracle(), "op10_url_filter": urls.oracle()}

@@ -23,8 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from inciscope.llm.common import keyed_text
 from inciscope.llm.components import components
@@ -445,19 +447,10 @@ def cluster_links(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, node, component_id): component_id is the least doc_id that links reach, its own included.
-
-    A null text is empty; texts without words have an empty set, link with nothing, not with each other, and have no
-    node. Rows are told apart by their sets, so repeated rows and rows without doc_id are grouped like others; a group of
-    rows without any doc_id has null. An empty table gives an empty result. Other columns are not read. Sets are told
-    apart by 64-bit hashes of their shingles' 64-bit hashes.
-    """
-    keyed = keyed_text(docs, id_col, text_col)
+def grouped(keyed: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, node, root): root names the group of linked nodes; it is null, like node, for empty sets."""
     rows = materialise(nodes_of(keyed), "ngram-nodes")
-    sizes = rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.min("doc_id").alias("least")
-    )
+    sizes = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n"))
     sizes = materialise(sizes, "ngram-sizes")
     enough = F.greatest(F.lit(1), F.ceil(F.ceil(F.col("n") * 75 / 100) / 10))
     shared = shared_counts(first_postings(keyed)).join(sizes, "node").where(F.col("shared") >= enough).select("node")
@@ -467,9 +460,51 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     pairs = materialise(cluster_pairs(members), "ngram-pairs")
     edges = hung.select(F.col("node").alias("a"), F.col("leader").alias("b")).union(cluster_links(pairs, members))
     roots = components(edges)
-    reached = sizes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    least = reached.groupBy("root").agg(F.min("least").alias("component"))
-    named = reached.join(least, "root").select("node", "component")
-    joined = rows.join(named, "node", "left")
+    named = sizes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    return rows.join(named, "node", "left").select("doc_id", "n_shingles", "node", "root")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, node, component_id): component_id is the least doc_id that links reach, its own included.
+
+    A null text is empty; texts without words have an empty set, link with nothing, not with each other, and have no
+    node. Rows are told apart by their sets, so repeated rows and rows without doc_id are grouped like others; a group of
+    rows without any doc_id has null. An empty table gives an empty result. Other columns are not read. Sets are told
+    apart by 64-bit hashes of their shingles' 64-bit hashes.
+    """
+    rows = grouped(keyed_text(docs, id_col, text_col))
+    rows = materialise(rows, "ngram-rows")
+    least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return joined.select("doc_id", "n_shingles", "node", own.alias("component_id"))
+    return rows.join(least, "root", "left").select("doc_id", "n_shingles", "node", own.alias("component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of which one stays for each group: that of the least doc_id.
+
+    Rows without doc_id come after all others, of rows with one doc_id the least set (by hash) stays, of repeated rows
+    one. Texts without words belong to no group and stay.
+    """
+    key, node = "_group_key", "_group_node"
+    rows = grouped(keyed_text(docs, id_col, text_col)).where("root IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("first")
+    chosen = rows.groupBy("root").agg(first).select(F.concat_ws(":", "first.node", "first.doc_id").alias(key))
+    at = docs.columns.index(text_col)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pyarrow.compute.fill_null(batch.column(at), "")
+            whole = pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "_text"])
+            for part, data, borders in text_slices([whole], whole.num_columns - 1):
+                nodes = [set_hash(s) if len(s) else None for s in shingle_sets(*words(data, borders))]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.array(nodes, pa.int64())], [*batch.schema.names, node]
+                )
+
+    schema = StructType([*docs.schema.fields, StructField(node, LongType())])
+    marked = docs.mapInArrow(mark, schema)
+    keyed = marked.where(F.col(node).isNotNull()).withColumn(key, F.concat_ws(":", node, F.col(id_col).cast("long")))
+    kept = keyed.join(chosen, key, "left_semi")
+    again = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*docs.columns)))
+    kept = kept.withColumn(node, again).where(F.col(node) == 1).drop(key, node)
+    return kept.select(*docs.columns).union(marked.where(F.col(node).isNull()).select(*docs.columns))

@@ -144,6 +144,18 @@ class Novelty:
         return whole - len(self.compressor.compress(around))
 
 
+def all_spans(text: str, novelty: Novelty) -> list[tuple[str, int, int, str, int | None]]:
+    """(kind, start, end, value, marginal bytes) by start, then kind; novel ones where no base span overlaps."""
+    spans = [(kind, start, end, text[start:end], None) for kind, start, end in base_spans(text)]
+    taken = merged([(start, end) for _, start, end, _, _ in spans])
+    for start, end in candidates(text):
+        if not overlaps(taken, start, end):
+            marginal = novelty.marginal(text, start, end)
+            if marginal >= NOVEL_RATIO * (end - start):
+                spans.append(("novel", start, end, text[start:end], marginal))
+    return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans): all spans of each row by start, then kind; ``marginal_bytes`` only of novel ones.
 
@@ -156,18 +168,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty(words)
         for batch in slices(batches):
-            out = []
-            for text in batch.column(1).to_pylist():
-                spans = [(kind, s, e, text[s:e], None) for kind, s, e in base_spans(text)]
-                taken = merged([(start, end) for _, start, end, _, _ in spans])
-                for start, end in candidates(text):
-                    if overlaps(taken, start, end):
-                        continue
-                    marginal = novelty.marginal(text, start, end)
-                    if marginal >= NOVEL_RATIO * (end - start):
-                        spans.append(("novel", start, end, text[start:end], marginal))
-                spans.sort(key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
-                out.append([dict(zip(("kind", "start", "end", "value", "marginal_bytes"), x)) for x in spans])
+            out = [
+                [dict(zip(("kind", "start", "end", "value", "marginal_bytes"), x)) for x in all_spans(text, novelty)]
+                for text in batch.column(1).to_pylist()
+            ]
             kind = pa.struct(
                 [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()),
                  ("marginal_bytes", pa.int32())]
@@ -201,3 +205,25 @@ def redacted(text: str, spans: list[tuple[int, int]], mark: str) -> str:
         out += [text[at:start], mark]
         at = end
     return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """All rows and columns of ``docs`` with each secret replaced by the mark, and the length of the text, if there is
+    such a column, set anew where the text changed. A null text stays null; rows stay where they are."""
+    words = identifiers(docs.select(F.lit(0).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")))
+    at = docs.columns.index(text_col)
+    length_at = docs.columns.index(length_col) if length_col in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        novelty = Novelty(words)
+        for batch in slices(batches):
+            columns, texts = list(batch.columns), batch.column(at).to_pylist()
+            found = [[(s, e) for _, s, e, _, _ in all_spans(t, novelty)] if t else [] for t in texts]
+            new = [redacted(t, spans, mark) if spans else t for t, spans in zip(texts, found)]
+            columns[at] = pa.array(new, columns[at].type)
+            if length_at is not None:
+                lengths = zip(new, found, columns[length_at].to_pylist())
+                columns[length_at] = pa.array([len(t) if s else n for t, s, n in lengths], columns[length_at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)

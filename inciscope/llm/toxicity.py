@@ -199,3 +199,19 @@ def score(
             )
 
     return keyed.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(run, SCORES)
+
+
+def keep_clean(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted toxic; the order of rows and partitions stays."""
+    model = fit(keyed_text(docs, id_col, text_col), labels, id_col, label_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            clean = [shared.value.score(t or "") < 0.5 for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
