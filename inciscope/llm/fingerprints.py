@@ -60,7 +60,7 @@ def numbered_kmers(text: str, k: int = K) -> np.ndarray:
     run = np.arange(len(at))
     number = np.empty(len(at), dtype=np.uint64)
     number[at] = (run - np.maximum.accumulate(np.where(same, 0, run))).astype(np.uint64)
-    return _mix(kmers + number * ODD)
+    return np.where(number > 0, _mix(kmers + number * ODD), kmers)
 
 
 def fingerprint(text: str, k: int = K, l: int = L, m: int = M) -> np.ndarray:

@@ -99,7 +99,7 @@ def judge(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = {rule: re.compile(rule.pattern, re.DOTALL) for rule in rules}
-        word_patterns = {w: re.compile(rf"(?:^|[.-]){re.escape(w)}(?:[.-]|$)") for w in words}
+        word_patterns = {w: re.compile(rf"(?:^|[.-]){re.escape(w)}(?:[.-]|\Z)") for w in words}
         for batch in slices(batches, 10_000):
             chosen, verdicts = [], []
             for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
