@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -148,35 +149,38 @@ def shared_counts(postings: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "node long, shared long").groupBy("node").agg(F.sum("shared").alias("shared"))
 
 
-def id_filter(nodes: DataFrame) -> dict[int, np.ndarray]:
-    """Bits set by the nodes: at most ``FILTER_BITS`` of them reach the driver, however many nodes there are."""
-    bit = F.pmod(F.col("node"), F.lit(FILTER_BITS))
-    built = nodes.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
-    )
-    return {r["bucket"]: np.frombuffer(r["bits"], dtype=np.uint8) for r in built.collect()}
+@dataclass(frozen=True)
+class IdFilter:
+    """Bits set by ids, in buckets as the SQL functions for bitmaps have them."""
 
+    size: int
+    buckets: dict[int, np.ndarray]
 
-def passes(bits: dict[int, np.ndarray], node: int) -> bool:
-    bucket, place = _bit(node % FILTER_BITS)
-    return bucket in bits and bool(bits[bucket][place >> 3] >> (place & 7) & 1)
+    def passes(self, value: int) -> bool:
+        bit = value % self.size
+        bucket, place = (1 + (bit - 1) // BUCKET_BITS, (bit - 1) % BUCKET_BITS) if bit else (0, 0)
+        return bucket in self.buckets and bool(self.buckets[bucket][place >> 3] >> (place & 7) & 1)
 
 
-def _bit(value: int) -> tuple[int, int]:
-    """Bucket and place as ``bitmap_bucket_number`` and ``bitmap_bit_position`` have them."""
-    return (1 + (value - 1) // BUCKET_BITS, (value - 1) % BUCKET_BITS) if value > 0 else (0, 0)
+def id_filter(nodes: DataFrame, size: int) -> IdFilter:
+    """At most ``size`` bits reach the driver, however many nodes there are."""
+    bit = F.pmod(F.col("node"), F.lit(size))
+    built = nodes.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    return IdFilter(size, {r["bucket"]: np.frombuffer(r["bits"], dtype=np.uint8) for r in built.collect()})
 
 
 # ---- step 2
 
 
-def all_postings(docs: DataFrame, bits: dict[int, np.ndarray]) -> DataFrame:
+def all_postings(docs: DataFrame, bits: IdFilter) -> DataFrame:
     """(shingle, node, n): all shingles of the nodes that pass the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS bits at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, borders in text_slices(batches):
-            sets = {k: s for k, s in distinct_sets(data, borders).items() if passes(shared.value, k)}
+            sets = {k: s for k, s in distinct_sets(data, borders).items() if shared.value.passes(k)}
             sizes = np.array([len(s) for s in sets.values()], dtype=np.int64)
             shingle = np.concatenate([*map(signed, sets.values()), np.empty(0, np.int64)])
             node, n = np.repeat(np.fromiter(sets, np.int64, len(sets)), sizes), np.repeat(sizes, sizes).astype(np.int32)
@@ -454,7 +458,7 @@ def grouped(keyed: DataFrame) -> DataFrame:
     sizes = materialise(sizes, "ngram-sizes")
     enough = F.greatest(F.lit(1), F.ceil(F.ceil(F.col("n") * 75 / 100) / 10))
     shared = shared_counts(first_postings(keyed)).join(sizes, "node").where(F.col("shared") >= enough).select("node")
-    bits = id_filter(shared)
+    bits = id_filter(shared, FILTER_BITS)
     found = materialise(rare_first(counted(all_postings(keyed, bits))), "ngram-sets")
     members, hung = clusters(found)
     pairs = materialise(cluster_pairs(members), "ngram-pairs")

@@ -32,7 +32,7 @@ class Rule:
 
     @property
     def pattern(self) -> str:
-        return rf"(?:[^\n]*\.)?{re.escape(self.host)}\n{re.escape(self.path)}"
+        return rf"(?:[^/]*\.)?{re.escape(self.host)}/{re.escape(self.path)}"
 
     @property
     def literals(self) -> list[str]:
@@ -105,7 +105,7 @@ def judge(
             for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 labels = host.split(".")
                 candidates = {r for t in {*labels, *path.split("/")} for r in index.get(t, ())}
-                text = f"{host}\n{path}"
+                text = f"{host}/{path}"  # a host has no slash
                 fits = [r for r in candidates if patterns[r].match(text)]
                 best = min(fits, key=lambda r: (-len(r.text), order[r]), default=None)
                 chosen.append(best.text if best else None)

@@ -1,0 +1,216 @@
+"""The toxicity classifier, the language model and the code search."""
+
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from inciscope.llm import hamming, hmm, toxicity
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# ---- toxicity
+
+
+def toxic_rows(n, seed=1):
+    """Prose with invented insults in the toxic texts; one label in fifty is wrong."""
+    rng = random.Random(seed)
+    prose, insults = [f"w{k}" for k in range(400)], ["zork", "blarg", "idiot"]
+    docs, labels, truth = [], [], {}
+    for k in range(n):
+        text = [rng.choice(prose) for _ in range(rng.randint(5, 60))]
+        truth[k] = int(rng.random() < 0.2)
+        for _ in range(2 * truth[k]):
+            text.insert(rng.randrange(len(text)), rng.choice(insults) + rng.choice(["", ",", "."]))
+        docs.append((k, " ".join(text), "en", 5))
+        if k % 3:
+            labels.append((k, truth[k] if rng.random() > 0.02 else 1 - truth[k], 1))
+    return docs, labels, truth
+
+
+def test_held_out_texts_are_told_apart(spark):
+    docs, labels, truth = toxic_rows(1500)
+    rows = docs + [(docs[7][0], docs[7][1], "de", 1), (None, None, None, None), (9001, "", "en", 0), (9002, "zork " * 50_000, "en", 0)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
+    known = spark.createDataFrame(labels + [(None, 1, 1), (1, None, 1), (2, 1, 0)], "doc_id long, toxic int, quality int")
+    found = toxicity.score(table, known).collect()
+    assert len(found) == len(rows)
+    wrong = 0
+    for r in found:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0)
+        if r.held_out and r.doc_id in truth:
+            wrong += r.predicted != truth[r.doc_id]
+    assert wrong <= 0.03 * sum(r.held_out for r in found)
+    by_id = {r.doc_id: r for r in found}
+    assert by_id[9002].predicted == 1 and by_id[9001].predicted == 0 and by_id[None].score == by_id[9001].score
+    assert len({r.score for r in found if r.doc_id == docs[7][0]}) == 1
+    kept = toxicity.keep_clean(table, known)
+    assert kept.schema == table.schema
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(
+        r.doc_id for r in found if not r.predicted and r.doc_id is not None
+    )
+
+
+def test_held_out_labels_are_not_looked_at(spark):
+    docs, labels, _ = toxic_rows(300)
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string, n int").coalesce(1)
+    turned = [(k, 1 - t if zlib.crc32(str(k).encode()) % 5 == 0 else t, q) for k, t, q in labels]
+    scores = [
+        [r.score for r in toxicity.score(table, spark.createDataFrame(x, "doc_id long, toxic int, q int")).collect()]
+        for x in (labels, turned)
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_without_labels_or_texts(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {round(r.score, 6) for r in toxicity.score(docs, labels).collect()} == {toxicity.PRIOR}
+    assert toxicity.score(docs.limit(0), labels).collect() == []
+
+
+def test_label_model_outvotes_single_wrong_labels_and_repeated_voters():
+    rng = np.random.default_rng(1)
+    truth = rng.random(2000) < 0.2
+    votes = np.stack([np.where(truth, rng.random(2000) < 0.8, rng.random(2000) < 0.01) for _ in range(4)], axis=1).astype(float)
+    votes = np.hstack([votes, np.repeat(votes[:, :1], 3, axis=1)])  # three copies of one voter
+    given = np.where(rng.random(2000) < 0.03, ~truth, truth).astype(float)
+    posterior = toxicity.label_model(votes, given)
+    assert ((posterior > 0.5) == truth).mean() > (given == truth).mean()
+
+
+# ---- language model
+
+
+def plain_tokens(text):
+    return [*re.findall(r"[^ \t-\r]+", (text or "").translate(LOWER)), None]
+
+
+def held_out(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+
+def word_rows():
+    rng = random.Random(3)
+    words = ["the", "The", "a", "É", "é", *[f"v{k}" for k in range(60)]]
+    rows = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40))), "x") for k in range(300)]
+    return rows + [(1, rows[1][1], "x"), (None, "the a", "x"), (None, None, "x"), (401, "", "x"), (402, "unseen " * 3000, "x"), (403, "A" * 100_000, "x")]
+
+
+@pytest.mark.parametrize("limits", [{}, {"SYMBOLS": 10, "KNOWN_COUNTS": 20, "SCORE_GROUP": 50, "TRAIN_GROUP": 100, "TRAIN_TOKENS": 16}])
+def test_counts_and_scores(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(hmm, name, value)
+    rows = word_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(4)
+    counts = Counter(t for r in rows if not held_out(r[0]) for t in plain_tokens(r[1]))
+    n, v = sum(counts.values()), len(counts)
+    want = sorted(
+        (str(r[0]), held_out(r[0]), len(t), sum(counts[x] > 0 for x in t), n, round(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in t), 6))
+        for r in rows for t in [plain_tokens(r[1])]
+    )
+    found = hmm.score(docs).collect()
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found) == want
+    assert all(r.score < 0 and math.isfinite(r.score) for r in found)
+    assert hmm.score(docs.limit(0)).collect() == []
+
+
+def brute_likelihood(model, symbols):
+    total = 0.0
+    for path in itertools.product(range(len(model.start)), repeat=len(symbols)):
+        p = model.start[path[0]] * model.emit[symbols[0], path[0]]
+        for a, b, s in zip(path, path[1:], symbols[1:]):
+            p *= model.move[a, b] * model.emit[s, b]
+        total += p
+    return math.log10(total)
+
+
+def small_model(states=3, symbols=5, seed=1):
+    rng = np.random.default_rng(seed)
+    model = hmm.Hmm(rng.random(states), rng.random((states, states)), rng.random((symbols, states)))
+    return hmm.Hmm(model.start / model.start.sum(), model.move / model.move.sum(axis=1, keepdims=True), model.emit / model.emit.sum(axis=0))
+
+
+def test_forward_recursion_is_exact():
+    model, rng = small_model(), random.Random(1)
+    texts = [np.array([rng.randrange(5) for _ in range(rng.randint(1, 6))], dtype="<u2") for _ in range(40)]
+    found = hmm.log10_likelihood(model, texts)
+    assert np.allclose(found, [brute_likelihood(model, t.tolist()) for t in texts])
+
+
+def test_expected_counts_are_those_of_all_paths():
+    model, texts = small_model(2, 3), [np.array(t) for t in ([0, 1, 2, 1], [2], [1, 1])]
+    found = hmm.expected_counts(model, texts)
+    start, move, emit = np.zeros(2), np.zeros((2, 2)), np.zeros((3, 2))
+    for t in texts:
+        paths = {}
+        for path in itertools.product(range(2), repeat=len(t)):
+            p = model.start[path[0]] * model.emit[t[0], path[0]]
+            for a, b, s in zip(path, path[1:], t[1:]):
+                p *= model.move[a, b] * model.emit[s, b]
+            paths[path] = p
+        whole = sum(paths.values())
+        for path, p in paths.items():
+            start[path[0]] += p / whole
+            for a, b in zip(path, path[1:]):
+                move[a, b] += p / whole
+            for s, k in zip(t, path):
+                emit[s, k] += p / whole
+    assert np.allclose(found.start, start) and np.allclose(found.move, move) and np.allclose(found.emit, emit)
+
+
+def test_rounds_raise_the_likelihood_and_held_out_texts_gain(spark):
+    rng = random.Random(2)
+    topics = [[f"{t}{k}" for k in range(30)] for t in "abc"]
+    rows = [(k, " ".join(rng.choice(topics[k % 3]) for _ in range(30))) for k in range(400)]
+    found = hmm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = [r for r in found if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out) + 0.2 * sum(r.n_tokens for r in out)
+    model, texts = small_model(3, 5), [np.array([rng.randrange(5) for _ in range(20)]) for _ in range(30)]
+    last = -math.inf
+    for _ in range(5):
+        total = hmm.log10_likelihood(model, texts).sum()
+        assert total >= last - 1e-9
+        last, counts = total, hmm.expected_counts(model, texts)
+        model = hmm.Hmm(counts.start / counts.start.sum(), counts.move / counts.move.sum(axis=1, keepdims=True), counts.emit / counts.emit.sum(axis=0))
+
+
+# ---- code search
+
+
+@pytest.mark.parametrize("width", [64, 20, 130])
+def test_nearest_as_brute_force(spark, monkeypatch, width):
+    monkeypatch.setattr(hamming, "BLOCK_CODES", 50)
+    monkeypatch.setattr(hamming, "CHUNK_QUERIES", 7)
+    rng = np.random.default_rng(width)
+    centres = rng.normal(size=(4, width))
+    rows = [(k, (centres[k % 4] + rng.normal(size=width) * rng.choice([0.1, 1])).tolist(), 1) for k in range(230)]
+    rows += [(1000 + k, centres[0].tolist(), 1) for k in range(40)] + [(300, None, 1), (None, rows[0][1], 1), (400, [], 1), (7, rows[7][1], 1)]
+    rows += [(500, [math.nan, None, 1.0], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, distance int").repartition(4)
+    found = hamming.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10).collect()
+
+    def bits(v):
+        out = [x is not None and not math.isnan(x) and x > 0 for x in v]
+        return out + [False] * (width - len(out))
+
+    codes = sorted({(r[0], tuple(bits(r[1]))) for r in rows if r[0] is not None and r[1] is not None})
+    want = []
+    for q, code in codes:
+        if q % 100 == 0:
+            near = sorted((sum(a != b for a, b in zip(code, c)), i) for i, c in codes)[:10]
+            want += [(q, k + 1, i, d) for k, (d, i) in enumerate(near)]
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_search_of_little(spark):
+    vectors = spark.createDataFrame([(100, [1.0]), (200, [-1.0])], "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, hamming.nearest(vectors, vectors).collect())) == [(100, 1, 100, 0), (100, 2, 200, 1), (200, 1, 200, 0), (200, 2, 100, 1)]
+    assert hamming.nearest(vectors.limit(0), vectors.limit(0)).collect() == []
