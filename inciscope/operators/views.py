@@ -202,10 +202,13 @@ def rate_vs_overall(fact: DataFrame) -> DataFrame:
         .groupBy("primary_type", "crime_category", "district_name", "community_name", "incident_year")
         .agg(F.count(F.lit(1)).alias("total_crimes"), count_if(F.col("is_arrest")).alias("total_arrests"))
     )
-    whole = Window.partitionBy("primary_type")
-    overall = ratio_pct(F.sum("total_arrests").over(whole), F.sum("total_crimes").over(whole))
-    rated = cells.withColumns(
-        {"arrest_rate_pct": _share_of_total("total_arrests"), "citywide_avg_arrest_rate": overall}
+    per_type = cells.groupBy(F.col("primary_type").alias("_type")).agg(
+        ratio_pct(F.sum("total_arrests"), F.sum("total_crimes")).alias("citywide_avg_arrest_rate")
+    )
+    rated = (
+        cells.withColumn("arrest_rate_pct", _share_of_total("total_arrests"))
+        .join(per_type, F.col("primary_type").eqNullSafe(F.col("_type")))
+        .drop("_type")
     )
     return rated.withColumn("below_citywide_avg", F.col("arrest_rate_pct") < F.col("citywide_avg_arrest_rate"))
 
@@ -228,22 +231,50 @@ def flag_analysis(fact: DataFrame) -> DataFrame:
 
 
 def kpi_summary(fact: DataFrame) -> DataFrame:
-    """One row of headline figures; the counted and modal columns are all coded, so their states stay small."""
-    return fact.agg(
+    """One row of headline figures.
+
+    Modes and distinct counts come from (column, value) counts taken by shuffle, so no task holds a column's values.
+    """
+    figures = fact.agg(
         F.count(F.lit(1)).alias("total_crimes"),
-        distinct_codes(F.col("incident_year")).alias("years_covered"),
         F.min("incident_year").alias("first_year"),
         F.max("incident_year").alias("last_year"),
-        distinct_codes(F.col("community_area_num")).alias("communities_with_crime"),
-        distinct_codes(F.col("district_code")).alias("districts_covered"),
         rate_pct(F.col("is_arrest")).alias("overall_arrest_rate_pct"),
         rate_pct(F.col("is_domestic")).alias("domestic_crime_pct"),
         rate_pct(F.col("is_violent")).alias("violent_crime_pct"),
-        mode_of(F.col("primary_type")).alias("most_common_crime"),
-        mode_of(F.col("community_name")).alias("highest_crime_community"),
-        mode_of(F.col("incident_hour")).alias("peak_crime_hour"),
-        mode_of(F.col("location_description")).alias("most_common_location_type"),
     )
+    distinct = {
+        "years_covered": "incident_year", "communities_with_crime": "community_area_num", "districts_covered": "district_code",
+    }
+    modes = {
+        "most_common_crime": "primary_type", "highest_crime_community": "community_name", "peak_crime_hour": "incident_hour",
+        "most_common_location_type": "location_description",
+    }
+    wanted = list(dict.fromkeys([*distinct.values(), *modes.values()]))
+    types = dict(fact.dtypes)
+    texts = fact.select(*[F.col(c).cast("string").alias(c) for c in wanted]).unpivot([], wanted, "column", "value")
+    counts = texts.dropna(subset=["value"]).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    def of(column: str) -> Column:
+        return F.col("column") == column
+
+    def mode(column: str) -> Column:
+        value = F.col("value").cast(types[column])
+        return F.min_by(value, F.when(of(column), F.struct(-F.col("n"), value)))
+
+    summed = counts.agg(
+        *[F.count_if(of(c)).alias(out) for out, c in distinct.items()], *[mode(c).alias(out) for out, c in modes.items()]
+    )
+    order = [
+        "total_crimes", "years_covered", "first_year", "last_year", "communities_with_crime", "districts_covered",
+        "overall_arrest_rate_pct", "domestic_crime_pct", "violent_crime_pct", *modes,
+    ]
+    return with_row(figures, summed).select(*order)
+
+
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Columns of a one-row table beside those of ``df``."""
+    return df.withColumn("_row", row.select(F.struct(*row.columns)).scalar()).select(*df.columns, "_row.*")
 
 
 def shift_rollup(shifts: DataFrame) -> DataFrame:

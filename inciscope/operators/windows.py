@@ -9,7 +9,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from inciscope.session import materialise
 
 
 def with_rank(df: DataFrame, by: Sequence[str], order_by: Sequence[Column], out: str) -> DataFrame:
@@ -48,10 +49,12 @@ def period_over_period(
 ) -> DataFrame:
     """Add each measure's value ``lag`` periods earlier as ``{measure: output}``.
 
-    Matches by period value, not by position: a missing period gives NULL.
+    Matches by period value, not by position: a missing period gives NULL, and so does a NULL one (whose frame would
+    hold the NULL periods themselves).
     """
     earlier = Window.partitionBy(*keys).orderBy(period).rangeBetween(-lag, -lag)
-    return df.withColumns({out: F.max(measure).over(earlier) for measure, out in measures.items()})
+    known = F.col(period).isNotNull()
+    return df.withColumns({out: F.when(known, F.max(measure).over(earlier)) for measure, out in measures.items()})
 
 
 def effectiveness(df: DataFrame, rate: str, rank: str, by: Sequence[str], out: str, digits: int = 2) -> DataFrame:
@@ -63,23 +66,18 @@ def effectiveness(df: DataFrame, rate: str, rank: str, by: Sequence[str], out: s
 def assign_surrogate_key(df: DataFrame, order_by: Sequence[str], out: str) -> DataFrame:
     """Dense rank over all rows as an int key, NULLs first.
 
-    Ranks are taken within buckets of the leading column and shifted by the size of the earlier buckets, so
-    only one row per bucket meets in a single task. Text is bucketed by its first two characters, which sort
-    as the text does.
+    Rows are range-partitioned by the ordering columns and stored with their partition number. Ranks are taken within
+    each partition and shifted by the sizes of the earlier ones, so a task holds one partition's rows and only one row
+    per partition meets in a single task, whatever prefix or leading value the keys share.
     """
-    lead = F.col(order_by[0])
-    is_text = isinstance(df.schema[order_by[0]].dataType, StringType)
-    bucketed = df.withColumn("_bucket", F.substring(lead, 1, 2) if is_text else lead)
-    within = Window.partitionBy("_bucket").orderBy(*order_by)
-    ranked = bucketed.withColumn("_local", F.dense_rank().over(within))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    order = [F.col(c).asc_nulls_first() for c in order_by]
+    dealt = materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked")
+    ranked = dealt.withColumn("_local", F.dense_rank().over(Window.partitionBy("_part").orderBy(*order)))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranked.groupBy("_bucket")
+        ranked.groupBy("_part")
         .agg(F.max("_local").alias("_size"))
-        .select(F.col("_bucket").alias("_offset_of"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    return (
-        ranked.join(offsets, F.col("_bucket").eqNullSafe(F.col("_offset_of")))
-        .withColumn(out, (F.col("_local") + F.col("_offset")).cast("int"))
-        .select(out, *df.columns)
+        .select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     )
+    keyed = ranked.join(F.broadcast(offsets), "_part")  # one row per partition
+    return keyed.withColumn(out, (F.col("_local") + F.col("_offset")).cast("int")).select(out, *df.columns)

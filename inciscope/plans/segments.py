@@ -39,7 +39,7 @@ def segment(
     if k is None:
         scores = clustering.sweep_k(scaled, id_col, cols, sweep, n_init=sweep_restarts)
         k = scores.filter("best_silhouette").first()["k"]
-    clustered = materialise(clustering.kmeans(scaled, cols, k, n_init=n_init), "clustered")
+    clustered = materialise(clustering.kmeans(scaled, cols, k, n_init=n_init)[0], "clustered")
     labelled = features.join(clustered.select(id_col, "cluster"), id_col)
     projected, explained = clustering.pca(clustered, cols)
     return Segments(

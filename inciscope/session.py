@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,27 +19,21 @@ SQL_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-_local_scratch: str | None = None
+_written: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set the SQL settings above on the caller's session, the time zone among them."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a local one only when running locally."""
-    global _local_scratch
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one inside the warehouse, which driver
+    and executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="inciscope-")
-    return _local_scratch
+    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -46,11 +41,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back.
+    """Write once to the shared folder and read back; the folder goes with ``release`` or the end of ``scratch``.
 
     Cuts the lineage in a way that outlives executors, and gives the planner the true file size, so a small
     result is broadcast by Spark's own threshold and a big one is not.
     """
     path = scratch_path(df.sparkSession, label)
+    _written.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the stored copies made since the ``since``-th; nothing may read them any more."""
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written[since:]:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(settings).delete(folder, True)
+    del _written[since:]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the stored copies made inside: they are deleted at the end, so results must be taken out before."""
+    since = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, since)
