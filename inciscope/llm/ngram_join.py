@@ -329,40 +329,48 @@ def clusters(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def cluster_pairs(members: DataFrame) -> DataFrame:
-    """(small, large): clusters that stand together in a short list and have sizes that may link."""
+    """(small, large): clusters that stand together in a short list and may link by their sizes.
+
+    If the first list that two nodes share is the i-th of one of them, they share at most the ``m - i`` lists from there
+    on. A link needs 3/7 of the sum of both sizes, so the other may have at most ``7/3 * (m - i) - n`` shingles (``most``).
+    """
 
     def short_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("n", "m", "shingles", "cluster", "members")))
-            shingle, info = [], []
+            shingle, most, info = [], [], []
             for n, m, shingles, cluster, size in rows:
                 # all but the T - 1 longest lists; the n - m lists of the node alone are the shortest
                 head = np.frombuffer(shingles, np.int64)[: max(0, n - least_overlap(n) + 1 - (n - m))]
                 shingle.append(head)
+                most.append((7 * (m - np.arange(len(head))) - 3 * n) // 3)
                 info.append((len(head), cluster, size, n))
             times, cluster, size, n = (np.array(c, dtype=np.int64) for c in zip(*info)) if info else [np.empty(0, np.int64)] * 4
-            columns = [np.concatenate([*shingle, np.empty(0, np.int64)]), *(np.repeat(c, times) for c in (cluster, size, n))]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["shingle", "cluster", "members", "n"])
+            columns = [
+                np.concatenate([*shingle, np.empty(0, np.int64)]), *(np.repeat(c, times) for c in (cluster, size, n)),
+                np.concatenate([*most, np.empty(0, np.int64)]),
+            ]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["shingle", "cluster", "members", "n", "most"])
 
-    lists = members.mapInArrow(short_lists, "shingle long, cluster long, members long, n long")
-    merged = lists.groupBy("shingle", "cluster", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    lists = members.mapInArrow(short_lists, "shingle long, cluster long, members long, n long, most long")
+    merged = lists.groupBy("shingle", "cluster", "members").agg(F.min("n").alias("low"), F.max("most").alias("most"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, there = None, []
         for batch in batches:
             pairs = set()
-            for shingle, cluster, size, low, high in zip(*(c.to_pylist() for c in batch.columns)):
+            for shingle, cluster, _, low, most in zip(*(c.to_pylist() for c in batch.columns)):
                 if shingle != last:
                     last, there = shingle, []
-                for other, low_2, high_2 in there:  # sorted by members: the others are smaller
-                    if 100 * high >= 75 * low_2 and 100 * high_2 >= 75 * low:
+                for other, other_low, other_most in there:  # sorted by members: the others are smaller
+                    if low <= other_most and other_low <= most:
                         pairs.add((other, cluster))
-                there.append((cluster, low, high))
+                there.append((cluster, low, most))
             columns = list(zip(*pairs)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["small", "large"])
 
     dealt = merged.repartition("shingle").sortWithinPartitions("shingle", "members", "cluster")
-    met = dealt.select("shingle", "cluster", "members", "low", "high").mapInArrow(meet, "small long, large long")
+    met = dealt.select("shingle", "cluster", "members", "low", "most").mapInArrow(meet, "small long, large long")
     return met.distinct()
 
 
