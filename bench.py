@@ -14,7 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from inciscope.bindings.catalog import QUERIES
-from inciscope.session import configure
+from inciscope.session import configure, scratch
 
 HEADLINE = [
     "district_performance",
@@ -52,9 +52,10 @@ HEADLINE = [
 
 
 def run(spark: SparkSession, sf_dir: str, name: str) -> float:
-    start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with scratch(spark):
+        start = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main(names: list[str]) -> None:

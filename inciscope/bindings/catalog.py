@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inciscope.bindings import events, numbers, orders, parts, raw, star
+from inciscope.bindings import events, numbers, orders, parts, raw, runs, star
 from inciscope.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,6 @@ def _configured(query: Query) -> Query:
     return run
 
 
-MODULES = [raw, orders, star, events, parts, numbers]
+MODULES = [raw, orders, star, events, parts, numbers, runs]
 QUERIES = {name: _configured(query) for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

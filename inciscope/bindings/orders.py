@@ -84,7 +84,7 @@ def dim_type(spark, sf_dir):
 
 
 def star(spark, sf_dir):
-    return gold.star(conformed(spark, sf_dir), code_map=CODES, category_rules=RULES)
+    return gold.star(materialise(conformed(spark, sf_dir), "conformed"), code_map=CODES, category_rules=RULES)
 
 
 def profile(spark, sf_dir):
@@ -113,7 +113,8 @@ def published(spark, sf_dir):
     stored = gold.Star(**{**vars(built), "fact": materialise(built.fact, "fact")})
     objects = {name: df for name, df in vars(stored).items()} | gold.all_views(stored, YEARS)
     kinds = {name: "VIEW" for name in objects if name.startswith("v_")}
-    return publication_log(objects, "run-1", kinds)
+    log = publication_log(objects, "run-1", kinds)
+    return log.withColumn("log_ts", F.col("log_ts").isNotNull())
 
 
 def date_parts_query(spark, sf_dir):
@@ -384,9 +385,10 @@ ORACLE = {
         GROUP BY 1, 2, 3""",
     "publication_log": f"WITH {FACT}, {DIM_TYPE}, {DIM_LOCATION}, {DIM_LOCATION_TYPE}, {YEARLY}, {PROFILE} "
     + " UNION ALL ".join(
-        f"""SELECT 'run-1' AS run_id, 'GOLD_STEP9_FINAL_PUBLICATION' AS step_name, '{name}' AS target_table,
+        f"""SELECT 'run-1' AS run_id, 'GOLD_STEP9_FINAL_PUBLICATION' AS step_name, 'N/A' AS source_table, '{name}' AS target_table,
         CAST({rows} AS BIGINT) AS rows_in, CAST({rows} AS BIGINT) AS rows_out, CAST(0 AS BIGINT) AS rows_dropped,
-        'Object Type: {"VIEW" if name.startswith("v_") else "TABLE"}' AS notes"""
+        'Object Type: {"VIEW" if name.startswith("v_") else "TABLE"} - Published and verified successfully.' AS notes,
+        true AS log_ts"""
         for name, rows in _OBJECTS.items()
     ),
 }

@@ -13,7 +13,7 @@ from inciscope.operators import joins, profiling, quality, shaping
 from inciscope.operators.typing import recover_coordinates, to_typed
 from inciscope.operators.windows import share_by
 from inciscope.plans import silver
-from inciscope.session import scratch_path
+from inciscope.session import materialise, scratch_path
 from inciscope.sources.csv import export_csv, land_csv
 
 # Expressions valid in both engines.
@@ -64,7 +64,7 @@ NOW = "2001-01-01 00:00:00"
 YEARS = (1996, 2000)
 
 DISTRICTS_RAW = """SELECT 'MULTIPOLYGON' AS the_geom, ' ' || lower(n_name) || ' ' AS dist_label,
-    cast(n_nationkey AS string) AS dist_num FROM nation WHERE n_nationkey NOT IN (13, 21)"""
+    CASE WHEN n_nationkey IN (13, 21) THEN 'no ' ELSE '' END || cast(n_nationkey AS string) AS dist_num FROM nation"""
 WARDS_RAW = """SELECT DISTINCT 'MULTIPOLYGON' AS the_geom, cast(s_suppkey % 45 + 1 AS string) AS ward,
     cast(s_suppkey % 45 + 1 AS string) || '.25' AS shape_leng, cast(s_suppkey % 45 + 1 AS string) || '.5' AS shape_area
     FROM supplier
@@ -113,8 +113,8 @@ def typed(spark, sf_dir, strip: bool = True) -> DataFrame:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Without run-dependent columns, and with the time as text."""
-    return df.withColumn("incident_datetime", as_text(F.col("incident_datetime"))).drop("_transform_ts", "_silver_step")
+    """Without the time of the run, and with the incident time as text."""
+    return df.withColumn("incident_datetime", as_text(F.col("incident_datetime"))).drop("_transform_ts")
 
 
 def latest(spark, sf_dir) -> DataFrame:
@@ -123,7 +123,9 @@ def latest(spark, sf_dir) -> DataFrame:
 
 
 def conformed(spark, sf_dir) -> DataFrame:
-    return silver.conform_incidents(latest(spark, sf_dir), *dims(spark, sf_dir))
+    """The cleaned dimensions are stored first, so that the planner joins them by their own size."""
+    stored = [materialise(d, "dim") for d in dims(spark, sf_dir)]
+    return silver.conform_incidents(latest(spark, sf_dir), *stored)
 
 
 def failures(spark, sf_dir) -> DataFrame:
@@ -310,7 +312,7 @@ QUERIES = {
         raw(s, d).dropna(subset=["id"]), "id", "_source_file"
     ),
     "duplicate_rows": duplicate_rows,
-    "quality_gates": lambda s, d: failures(s, d).drop("reason_desc"),
+    "quality_gates": failures,
     "gate_summary": gate_summary,
     "semi_exists": semi_exists,
     "anti_not_exists": anti_not_exists,
@@ -412,34 +414,36 @@ CONFORMED = """conformed AS (SELECT l.crime_id, l.case_number, l.incident_dateti
 _TEXT_TIME = f"* REPLACE ({sql_text('incident_datetime')} AS incident_datetime)"
 
 
-def _gate(code: str, condition: str, value: str = "NULL") -> str:
-    return f"""SELECT CAST(crime_id AS VARCHAR) AS record_id, '{code}' AS reason_code, CAST({value} AS VARCHAR) AS raw_value
-    FROM typed_all WHERE crime_id IS NOT NULL AND ({condition})"""
+def _gate(code: str, condition: str, text: str, value: str = "NULL") -> str:
+    return f"""SELECT CAST(crime_id AS VARCHAR) AS record_id, '{code}' AS reason_code, {text} AS reason_desc,
+    CAST({value} AS VARCHAR) AS raw_value FROM typed_all WHERE crime_id IS NOT NULL AND ({condition})"""
 
 
 _HEADER_WORDS = ", ".join(f"'{w}'" for w in config.HEADER_WORDS)
 FAILURES = "failures AS (" + " UNION ALL ".join(
     [
         """SELECT coalesce(case_number, 'UNKNOWN') AS record_id, 'NULL_CRIME_ID' AS reason_code,
-        CAST(NULL AS VARCHAR) AS raw_value FROM typed_all WHERE crime_id IS NULL""",
-        _gate("NULL_DATE", f"incident_datetime IS NULL AND {_blank('_raw_date')}"),
-        _gate("UNPARSEABLE_DATE", f"incident_datetime IS NULL AND NOT ({_blank('_raw_date')})", "_raw_date"),
-        _gate("FUTURE_DATE", f"incident_datetime > TIMESTAMP '{NOW}'", "incident_datetime"),
-        _gate("INVALID_YEAR", f"incident_year < {YEARS[0]} OR incident_year > {YEARS[1]}", "incident_year"),
-        _gate("NULL_PRIMARY_TYPE", _blank("primary_type")),
-        _gate("INVALID_PRIMARY_TYPE", f"primary_type IN ({_HEADER_WORDS})", "primary_type"),
-        _gate("NULL_ARREST_FLAG", "is_arrest IS NULL"),
-        _gate("NULL_COMMUNITY_AREA", "community_area IS NULL"),
-        _gate("COMMUNITY_AREA_ZERO", "community_area = 0", "'0'"),
-        _gate("NULL_DISTRICT", "district IS NULL"),
+        'record id is not a number' AS reason_desc, CAST(NULL AS VARCHAR) AS raw_value FROM typed_all WHERE crime_id IS NULL""",
+        _gate("NULL_DATE", f"incident_datetime IS NULL AND {_blank('_raw_date')}", "'no date text in the source'"),
+        _gate("UNPARSEABLE_DATE", f"incident_datetime IS NULL AND NOT ({_blank('_raw_date')})", "'date text matches no known format'", "_raw_date"),
+        _gate("FUTURE_DATE", f"incident_datetime > TIMESTAMP '{NOW}'", "'incident time lies in the future'", "incident_datetime"),
+        _gate("INVALID_YEAR", f"incident_year < {YEARS[0]} OR incident_year > {YEARS[1]}",
+            f"'incident year ' || incident_year || ' is outside {YEARS[0]}-{YEARS[1]}'", "incident_year"),
+        _gate("NULL_PRIMARY_TYPE", _blank("primary_type"), "'incident type is missing'"),
+        _gate("INVALID_PRIMARY_TYPE", f"primary_type IN ({_HEADER_WORDS})",
+            "'incident type ' || primary_type || ' is a column header'", "primary_type"),
+        _gate("NULL_ARREST_FLAG", "is_arrest IS NULL", "'arrest flag is neither true nor false'"),
+        _gate("NULL_COMMUNITY_AREA", "community_area IS NULL", "'community area is missing'"),
+        _gate("COMMUNITY_AREA_ZERO", "community_area = 0", "'community area 0 is not in the dimension'", "'0'"),
+        _gate("NULL_DISTRICT", "district IS NULL", "'district is missing'"),
         _gate(
             "UNMATCHED_DISTRICT",
             """district IS NOT NULL AND NOT EXISTS (SELECT 1 FROM districts d
             WHERE d.district_num = TRY_CAST(typed_all.district AS INTEGER))""",
-            "district",
+            "'district ' || district || ' is not in the dimension'", "district",
         ),
-        _gate("NULL_WARD", "ward IS NULL"),
-        _gate("NO_COORDINATES", "lat_final IS NULL AND lon_final IS NULL"),
+        _gate("NULL_WARD", "ward IS NULL", "'ward is missing'"),
+        _gate("NO_COORDINATES", "lat_final IS NULL AND lon_final IS NULL", "'no direct or recovered coordinates'"),
     ]
 ) + ")"
 DATED = f"dated AS (SELECT crime_id, _raw_date FROM typed WHERE NOT ({_blank('_raw_date')}))"
@@ -520,9 +524,9 @@ ORACLE = {
     "value_distribution_numeric": f"WITH {RAW} SELECT district AS raw_value, count(*) AS frequency FROM raw GROUP BY 1",
     "source_bucket": f"WITH {RAW} SELECT {BUCKET} AS source_year_range, count(*) AS n FROM raw GROUP BY 1",
     "union_tagged": f"WITH {RAW} SELECT id, case_number, date, {BUCKET} AS yr_range FROM raw",
-    "typed_records": f"WITH {RAW}, {TYPED} SELECT {_TEXT_TIME} FROM typed",
+    "typed_records": f"WITH {RAW}, {TYPED} SELECT {_TEXT_TIME}, 'STEP4_TYPED' AS _silver_step FROM typed",
     "delete_where": f"WITH {RAW}, {TYPED}, {KEPT} SELECT crime_id, district, community_area FROM kept",
-    "dedup_latest": f"WITH {RAW}, {TYPED}, {KEPT}, {LATEST} SELECT {_TEXT_TIME} FROM latest",
+    "dedup_latest": f"WITH {RAW}, {TYPED}, {KEPT}, {LATEST} SELECT {_TEXT_TIME}, 'STEP4_TYPED' AS _silver_step FROM latest",
     "duplicate_summary": f"""WITH {RAW} SELECT _source_file, count(*) AS total_rows, count(DISTINCT id) AS distinct_ids,
         count(*) - count(DISTINCT id) AS duplicate_count, {sql_count('id IS NULL')} AS null_ids FROM raw GROUP BY 1""",
     "duplicate_histogram": f"""WITH {RAW}, k AS (SELECT id, count(DISTINCT _source_file) AS files FROM raw
@@ -553,7 +557,7 @@ ORACLE = {
             ("community_area", "areas", "area_num", "community_area_codes_not_in_dim"),
         ]
     ),
-    "conform_dims": f"WITH {RAW}, {DIMS}, {TYPED}, {KEPT}, {LATEST}, {CONFORMED} SELECT {_TEXT_TIME} FROM conformed",
+    "conform_dims": f"WITH {RAW}, {DIMS}, {TYPED}, {KEPT}, {LATEST}, {CONFORMED} SELECT {_TEXT_TIME}, 'STEP7_CONFORMED' AS _silver_step FROM conformed",
     "conformed_unmatched": f"""WITH {RAW}, {DIMS}, {TYPED}, {KEPT}, {LATEST}, {CONFORMED} SELECT community_area_num,
         count(*) AS crime_count FROM conformed WHERE community_name IS NULL AND community_area_num IS NOT NULL GROUP BY 1""",
     "clean_dim": f"WITH {DIMS} SELECT * FROM wards",

@@ -5,37 +5,42 @@ Unlike the order records, these have NULL flags, unmatched places and blank type
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from inciscope import config
-from inciscope.bindings import orders, raw
+from inciscope.bindings import events, orders, raw
+from inciscope.bindings.common import sql_count, sql_pct
 from inciscope.bindings.orders import YEARS, _case, code_case
 from inciscope.operators import views
 from inciscope.plans import gold
 from inciscope.session import materialise
 
-_stored: dict[tuple[str, str], gold.Star] = {}
-
 
 def star(spark: SparkSession, sf_dir: str) -> gold.Star:
-    """Stored star schema of the raw records, built once per application and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        built = gold.star(materialise(raw.conformed(spark, sf_dir), "conformed"))
-        _stored[key] = gold.Star(**{**vars(built), "fact": materialise(built.fact, "fact")})
-    return _stored[key]
+    """Star schema of the raw records; the conformed records, read five times, and the fact are stored once each."""
+    built = gold.star(materialise(raw.conformed(spark, sf_dir), "conformed"))
+    return gold.Star(**{**vars(built), "fact": materialise(built.fact, "fact")})
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star(spark, sf_dir).fact
 
 
+def _view_of(spark: SparkSession, sf_dir: str, view: Callable[[gold.Star], DataFrame]) -> DataFrame:
+    return view(star(spark, sf_dir))
+
+
 QUERIES = {
     "raw_fact": lambda s, d: fact(s, d).drop("_gold_ts"),
     "raw_dim_type": lambda s, d: star(s, d).dim_crime_type,
     "raw_dim_location": lambda s, d: star(s, d).dim_location,
     "raw_dim_location_type": lambda s, d: star(s, d).dim_location_type,
-    "raw_monthly_trend": lambda s, d: views.monthly_trend(fact(s, d), star(s, d).dim_date),
+    "raw_monthly_trend": lambda s, d: _view_of(s, d, lambda b: views.monthly_trend(b.fact, b.dim_date)),
+    "raw_shift_analysis": lambda s, d: _view_of(s, d, lambda b: views.shift_analysis(b.fact, b.dim_shift)),
+    "raw_weekday_pattern": lambda s, d: _view_of(s, d, lambda b: views.weekday_pattern(b.fact, b.dim_date)),
+    "raw_type_breakdown": lambda s, d: _view_of(s, d, lambda b: views.type_breakdown(b.fact, b.dim_crime_type)),
     "raw_yoy_change": lambda s, d: views.yoy_change(fact(s, d)),
     "raw_community_profile": lambda s, d: views.entity_profile(fact(s, d), YEARS),
     "raw_district_performance": lambda s, d: views.group_performance(fact(s, d)),
@@ -72,6 +77,11 @@ BASE = f"WITH {raw.RAW}, {raw.DIMS}, {raw.TYPED}, {raw.KEPT}, {raw.LATEST}, {raw
 STAR = f"{BASE}, {DIM_TYPE}, {DIM_LOCATION}, {DIM_LOCATION_TYPE}, {FACT}"
 
 
+_ARRESTS = sql_count("is_arrest")
+COUNTS = f"""count(*) AS total_crimes, {_ARRESTS} AS total_arrests, {sql_count('is_domestic')} AS domestic_crimes,
+    {sql_count('is_violent')} AS violent_crimes, {sql_pct(_ARRESTS, 'count(*)')} AS arrest_rate_pct"""
+
+
 def _view(name: str, where: str = "true") -> str:
     """The SQL of the order view, over this fact restricted as the view restricts it."""
     return orders.ORACLE[name].replace(f"WITH {orders.FACT}", f"{STAR}, f AS (SELECT * FROM fact WHERE {where})")
@@ -83,6 +93,13 @@ ORACLE = {
     "raw_dim_location": f"{BASE}, {DIM_LOCATION} SELECT * FROM dim_location",
     "raw_dim_location_type": f"{BASE}, {DIM_LOCATION_TYPE} SELECT * FROM dim_location_type",
     "raw_monthly_trend": _view("monthly_trend"),
+    "raw_shift_analysis": f"""{STAR} SELECT {events._shift('incident_hour')}, incident_hour, {COUNTS},
+        {sql_pct(sql_count('is_violent'), 'count(*)')} AS violent_crime_pct FROM fact GROUP BY 1, 2, 3, 4""",
+    "raw_weekday_pattern": f"""{STAR} SELECT strftime(incident_datetime, '%A') AS day_name,
+        CAST(dayofweek(incident_datetime) + 1 AS INTEGER) AS day_of_week_num,
+        CASE WHEN dayofweek(incident_datetime) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS weekday_type, {COUNTS},
+        {sql_pct('count(*)', '(SELECT count(*) FROM fact)')} AS pct_of_all_crimes FROM fact GROUP BY 1, 2, 3""",
+    "raw_type_breakdown": f"{STAR}, f AS (SELECT * FROM fact), {orders.BREAKDOWN} SELECT * FROM breakdown",
     "raw_yoy_change": _view("yoy_change", "district_name IS NOT NULL"),
     "raw_community_profile": _view("community_profile", "community_name IS NOT NULL"),
     "raw_district_performance": _view("district_performance", "district_name IS NOT NULL"),

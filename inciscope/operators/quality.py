@@ -17,7 +17,7 @@ from inciscope.operators.joins import with_known_flag
 class Gate:
     code: str
     condition: Column
-    description: str
+    description: str | Column
     raw_value: Column | None = None
 
 
@@ -31,7 +31,7 @@ def run_gates(df: DataFrame, gates: Sequence[Gate], record_id: Column) -> DataFr
             gate.condition,
             F.struct(
                 F.lit(gate.code).alias("reason_code"),
-                F.lit(gate.description).alias("reason_desc"),
+                (gate.description if isinstance(gate.description, Column) else F.lit(gate.description)).alias("reason_desc"),
                 (F.lit(None) if gate.raw_value is None else gate.raw_value).cast("string").alias("raw_value"),
             ),
         )
@@ -63,9 +63,19 @@ def incident_gates(
         ("NULL_DATE", ts.isNull() & no_raw_date, "no date text in the source", None),
         ("UNPARSEABLE_DATE", ts.isNull() & ~no_raw_date, "date text matches no known format", F.col("_raw_date")),
         ("FUTURE_DATE", ts > now, "incident time lies in the future", ts),
-        ("INVALID_YEAR", ~year.between(first, last), f"incident year is outside {first}-{last}", year),
+        (
+            "INVALID_YEAR",
+            ~year.between(first, last),
+            F.concat(F.lit("incident year "), year.cast("string"), F.lit(f" is outside {first}-{last}")),
+            year,
+        ),
         ("NULL_PRIMARY_TYPE", is_blank(kind), "incident type is missing", None),
-        ("INVALID_PRIMARY_TYPE", kind.isin(*header_words), "incident type is a column header", kind),
+        (
+            "INVALID_PRIMARY_TYPE",
+            kind.isin(*header_words),
+            F.concat(F.lit("incident type "), kind, F.lit(" is a column header")),
+            kind,
+        ),
         ("NULL_ARREST_FLAG", F.col("is_arrest").isNull(), "arrest flag is neither true nor false", None),
         ("NULL_COMMUNITY_AREA", area.isNull(), "community area is missing", None),
         ("COMMUNITY_AREA_ZERO", area == 0, "community area 0 is not in the dimension", F.lit("0")),
@@ -73,7 +83,7 @@ def incident_gates(
         (
             "UNMATCHED_DISTRICT",
             district.isNotNull() & ~F.col("_district_known"),
-            "district is not in the dimension",
+            F.concat(F.lit("district "), district, F.lit(" is not in the dimension")),
             district,
         ),
         ("NULL_WARD", F.col("ward").isNull(), "ward is missing", None),

@@ -15,6 +15,10 @@ from inciscope.sources import logs
 from inciscope.sources.tables import AuditRow, read_table, replace_table, write_table
 
 
+# Views that are stored, since features are built on them, and the names of their tables.
+STORED_VIEWS = {"v_geo_community_profile": "community_profile", "v_geo_district_performance": "district_performance"}
+
+
 @dataclass(frozen=True)
 class Star:
     dim_date: DataFrame
@@ -67,21 +71,34 @@ def build_gold(spark: SparkSession, root: str, run_id: str, years: tuple[int, in
     ``years`` are the two compared in the entity profile, by default the last two in the data. Views over the
     stored fact stay lazy; the two they feed features from are stored, so the fact is read once for each.
     """
-    logs.log_run(spark, root, run_id, "gold_build", "GOLD", "RUNNING")
+    with logs.logged_run(spark, root, run_id, "gold_build", "GOLD", "plans/gold.py") as run:
+        return _build(spark, root, run_id, years, run)
+
+
+def check_keys(built: Star) -> None:
+    """Fail before the fact is written if a dimension key that it looks up repeats, for then rows would multiply."""
+    keys = {
+        "dim_crime_type": ["primary_type", "fbi_code"], "dim_location": list(dims.LOCATION_KEY),
+        "dim_location_type": ["location_description"],
+    }
+    for name, columns in keys.items():
+        if dims.duplicate_keys(getattr(built, name), columns).head(1):
+            raise ValueError(f"{name} repeats a key: the fact would gain rows")
+
+
+def _build(spark: SparkSession, root: str, run_id: str, years: tuple[int, int] | None, run) -> dict[str, DataFrame]:
     conformed = read_table(spark, f"{root}/silver/crimes_conformed")
     audits = []
 
     def store(df: DataFrame, name: str) -> DataFrame:
         rows = replace_table(df, f"{root}/gold/{name}")
-        audits.append(AuditRow(f"GOLD_{name.upper()}", name, rows, rows))
+        audits.append(AuditRow(f"GOLD_{name.upper()}", name, rows, rows, "crimes_conformed", "built anew"))
         return read_table(spark, f"{root}/gold/{name}")
 
     built = star(conformed, store)
-    rows_in = conformed.count()
-    rows_out = replace_table(built.fact, f"{root}/gold/fact_crimes", ["incident_year"])
-    if rows_out != rows_in:
-        raise ValueError(f"fact has {rows_out} rows for {rows_in} conformed records: a dimension key repeats")
-    audits.append(AuditRow("GOLD_STEP6_FACT_CRIMES", "fact_crimes", rows_in, rows_out))
+    check_keys(built)
+    rows = replace_table(built.fact, f"{root}/gold/fact_crimes", ["incident_year"])
+    audits.append(AuditRow("GOLD_STEP6_FACT_CRIMES", "fact_crimes", rows, rows, "crimes_conformed", "keys of the star looked up"))
     fact = read_table(spark, f"{root}/gold/fact_crimes")
     built = Star(**{**vars(built), "fact": fact})
 
@@ -89,8 +106,7 @@ def build_gold(spark: SparkSession, root: str, run_id: str, years: tuple[int, in
         last = fact.agg(F.max("incident_year")).first()[0]
         years = (last - 1, last)
     published = all_views(built, years)
-    profile = store(published["v_geo_community_profile"], "community_profile")
-    performance = store(published["v_geo_district_performance"], "district_performance")
+    profile, performance = (store(published[view], name) for view, name in STORED_VIEWS.items())
     n_years = fact.agg(F.count_distinct("incident_year")).first()[0]
     change = f"yoy_pct_{years[1]}_vs_{years[0]}"
     published |= {"v_geo_community_profile": profile, "v_geo_district_performance": performance}
@@ -101,7 +117,8 @@ def build_gold(spark: SparkSession, root: str, run_id: str, years: tuple[int, in
         **{name: df for name, df in vars(built).items() if name != "fact"},
     }
     kinds = {name: "VIEW" if name.startswith("v_") else "TABLE" for name in published}
-    write_table(logs.publication_log(published, run_id, kinds), f"{root}/{logs.PUBLICATION_LOG}")
+    counts = {a.target_table: a.rows_out for a in audits} | {v: a.rows_out for v, t in STORED_VIEWS.items() for a in audits if a.target_table == t}
+    write_table(logs.publication_log(published, run_id, kinds, counts), f"{root}/{logs.PUBLICATION_LOG}")
     logs.log_steps(spark, root, run_id, audits, "meta/gold_step_log")
-    logs.log_run(spark, root, run_id, "gold_build", "GOLD", "SUCCESS", rows_out)
+    run.processed = rows
     return published

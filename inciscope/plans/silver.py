@@ -80,10 +80,21 @@ def build_silver(
     Typed and conformed records are the only fact tables stored; everything between them is one lazy chain. Typed
     records are written without a shuffle. Running again under the same ``run_id`` replaces that run's failures.
     """
-    logs.log_run(spark, root, run_id, "silver_transform", "SILVER", "RUNNING")
+    with logs.logged_run(spark, root, run_id, "silver_transform", "SILVER", "plans/silver.py") as run:
+        return _build(spark, root, landings, dims, run_id, gates, run)
+
+
+def _table(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _build(spark, root, landings, dims, run_id, gates, run) -> DataFrame:
     cleaners = zip(("dim_districts", "dim_wards", "dim_community_areas"), dims, (clean_districts, clean_wards, clean_areas))
     audits = [
-        write_audited(read_table(spark, path), clean, f"{root}/silver/{name}", "STEP3_CLEAN_DIMS")
+        write_audited(
+            read_table(spark, path), clean, f"{root}/silver/{name}", "STEP3_CLEAN_DIMS", source_table=_table(path),
+            notes="rows without an integer key dropped, labels standardised",
+        )
         for name, path, clean in cleaners
     ]
     districts, wards, areas = (
@@ -97,6 +108,8 @@ def build_silver(
             lambda rows: to_typed(keep_castable(rows, "id", "bigint"), carry=["_ingest_ts"]),
             f"{root}/silver/crimes_typed",
             "STEP4_TYPE_CAST_STANDARDISE",
+            source_table=", ".join(map(_table, landings.values())),
+            notes="rows without an integer id dropped, columns typed and standardised",
         )
     )
     typed = read_table(spark, f"{root}/silver/crimes_typed")
@@ -118,8 +131,9 @@ def build_silver(
         return conform_incidents(latest_incidents(kept, newest), districts, wards, areas)
 
     path, rows_in = f"{root}/silver/crimes_conformed", audits[-1].rows_out
-    audits.append(write_audited(typed, conformed, path, "STEP7_DIMENSION_JOIN", rows_in))
+    notes = "deleted places and older duplicates dropped, dimensions joined"
+    audits.append(write_audited(typed, conformed, path, "STEP7_DIMENSION_JOIN", rows_in, "crimes_typed", notes))
     logs.log_steps(spark, root, run_id, audits)
-    logs.log_run(spark, root, run_id, "silver_transform", "SILVER", "SUCCESS", audits[-1].rows_out, rejected)
+    run.processed, run.rejected = audits[-1].rows_out, rejected
     logged = read_table(spark, f"{root}/{logs.FAILURE_LOG}").filter(F.col("run_id") == run_id)
     return gate_summary(logged, audits[-2].rows_out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -14,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from inciscope.sources import logs, tables
 
 CORRUPT = "_corrupt_record"
+FILE_KEY = "_file_key"
 LINEAGE = ["_source_file", "_source_path", "_ingest_ts", "_bronze_table"]
 
 
@@ -69,6 +71,11 @@ class FileSpec:
     def name(self) -> str:
         return self.path.rstrip("/").rsplit("/", 1)[-1]
 
+    @property
+    def key(self) -> str:
+        """Names the file's partition: by its whole path, since folders may hold files of one name."""
+        return hashlib.sha256(self.path.rstrip("/").encode()).hexdigest()[:32]
+
 
 @dataclass(frozen=True)
 class FileOutcome:
@@ -76,6 +83,7 @@ class FileOutcome:
     status: str
     row_count: int = 0
     error: str | None = None
+    version: tuple | None = None
 
 
 @dataclass(frozen=True)
@@ -89,33 +97,47 @@ class IngestReport:
         return sum(o.row_count for o in self.outcomes)
 
 
-def _ingest_one(spark: SparkSession, spec: FileSpec, root: str) -> FileOutcome:
+def file_version(spark: SparkSession, path: str) -> tuple:
+    """Bytes and last modification of a file or of all files in a folder; contents are not read."""
+    found = spark.read.format("binaryFile").load(path).select("length", "modificationTime")
+    return tuple(found.agg(F.sum("length"), F.max("modificationTime")).first())
+
+
+def _ingest_one(spark: SparkSession, spec: FileSpec, root: str, loaded: tuple | None) -> FileOutcome:
+    version = None
     try:
-        rows = land_csv(spark, spec.path, spec.headers, spec.target)
-        written = tables.replace_partitions(rows, f"{root}/{spec.target}", ["_source_file"])
-        return FileOutcome(spec, "SUCCESS", written)
+        version = file_version(spark, spec.path)
+        if version == loaded:
+            return FileOutcome(spec, "SKIPPED", version=version)
+        rows = land_csv(spark, spec.path, spec.headers, spec.target).withColumn(FILE_KEY, F.lit(spec.key))
+        written = tables.replace_partitions(rows, f"{root}/{spec.target}", [FILE_KEY])
+        if not written and loaded:  # a write without rows replaces nothing
+            tables.drop_partition(spark, f"{root}/{spec.target}", FILE_KEY, spec.key)
+        return FileOutcome(spec, "SUCCESS", written, version=version)
     except (PySparkException, Py4JJavaError, ValueError) as error:
-        return FileOutcome(spec, "FAILED", 0, str(error).splitlines()[0])
+        return FileOutcome(spec, "FAILED", 0, str(error).splitlines()[0], version)
 
 
 def ingest_files(spark: SparkSession, specs: Sequence[FileSpec], root: str, run_id: str) -> IngestReport:
     """Land each file in its own job; one failing file does not stop the others.
 
-    A file replaces only its own partition of the landing table and a file already logged as loaded is skipped,
-    so a repeated or resumed run neither duplicates nor recounts rows.
+    Each path has its own partition of the landing table, so files of one name in several folders stay apart. A file is
+    skipped only if the same path was loaded into the same target with this size and modification time; a changed one
+    replaces its own partition. A repeated or resumed run thus neither duplicates nor loses rows.
     """
-    logs.log_run(spark, root, run_id, "bronze_bulk_ingest", "BRONZE", "RUNNING")
-    done = logs.loaded_files(spark, root, [s.path for s in specs])
-    outcomes = []
-    for spec in specs:
-        outcome = FileOutcome(spec, "SKIPPED") if spec.path in done else _ingest_one(spark, spec, root)
-        logs.log_file(spark, root, run_id, outcome)
-        outcomes.append(outcome)
-    failed = sum(o.status == "FAILED" for o in outcomes)
-    status = "PARTIAL_SUCCESS" if failed else "SUCCESS"
-    report = IngestReport(run_id, status, outcomes)
-    message = f"{failed} file(s) failed to load" if failed else None
-    logs.log_run(spark, root, run_id, "bronze_bulk_ingest", "BRONZE", status, report.rows_processed, None, message)
+    with logs.logged_run(spark, root, run_id, "bronze_bulk_ingest", "BRONZE", "sources/csv.py") as run:
+        done = logs.loaded_versions(spark, root, [s.path for s in specs])
+        outcomes = []
+        for spec in specs:
+            outcome = _ingest_one(spark, spec, root, done.get((spec.path, spec.target)))
+            logs.log_file(spark, root, run_id, outcome)
+            outcomes.append(outcome)
+            if outcome.status == "SUCCESS":
+                done[spec.path, spec.target] = outcome.version
+        failed = sum(o.status == "FAILED" for o in outcomes)
+        report = IngestReport(run_id, "PARTIAL_SUCCESS" if failed else "SUCCESS", outcomes)
+        run.status, run.processed = report.status, report.rows_processed
+        run.error = f"{failed} file(s) failed to load" if failed else None
     return report
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -18,14 +20,20 @@ PUBLICATION_LOG = "meta/gold_publication_log"
 FAILURE_LOG = "meta/quality_failures"
 
 RUN_SCHEMA = (
-    "run_id string, pipeline_name string, zone string, status string, rows_processed bigint, rows_rejected bigint,"
-    " error_message string"
+    "run_id string, pipeline_name string, zone string, script_name string, status string, rows_processed bigint,"
+    " rows_rejected bigint, error_message string"
 )
 FILE_SCHEMA = (
     "run_id string, source_file_name string, source_file_path string, target_table string, zone string,"
-    " row_count bigint, status string, error_message string"
+    " row_count bigint, file_size_bytes bigint, file_modified_ts timestamp, status string, error_message string"
 )
-STEP_SCHEMA = "run_id string, step_name string, target_table string, rows_in bigint, rows_out bigint, rows_dropped bigint"
+STEP_SCHEMA = (
+    "run_id string, step_name string, source_table string, target_table string, rows_in bigint, rows_out bigint,"
+    " rows_dropped bigint, notes string"
+)
+# Fixed values of a publication row.
+PUBLICATION_STEP, PUBLICATION_SOURCE = "GOLD_STEP9_FINAL_PUBLICATION", "N/A"
+PUBLICATION_NOTE = "Object Type: {kind} - Published and verified successfully."
 
 
 def _append(spark: SparkSession, rows: Iterable[tuple], schema: str, stamps: Mapping[str, Column], path: str) -> None:
@@ -42,31 +50,62 @@ def log_run(
     processed: int | None = None,
     rejected: int | None = None,
     error: str | None = None,
+    script: str | None = None,
 ) -> None:
-    row = (run_id, name, zone, status, processed, rejected, error)
+    row = (run_id, name, zone, script, status, processed, rejected, error)
     stamps = {"logged_at": F.current_timestamp(), "run_by": F.current_user()}
     _append(spark, [row], RUN_SCHEMA, stamps, f"{root}/{RUN_LOG}")
 
 
+@dataclass
+class RunCounts:
+    processed: int | None = None
+    rejected: int | None = None
+    status: str = "SUCCESS"
+    error: str | None = None
+
+
+@contextmanager
+def logged_run(spark: SparkSession, root: str, run_id: str, name: str, zone: str, script: str) -> Iterator[RunCounts]:
+    """Log a run as RUNNING and, at its end, with what the caller has set on the counts; FAILED if it raises."""
+    log_run(spark, root, run_id, name, zone, "RUNNING", script=script)
+    counts = RunCounts()
+    try:
+        yield counts
+    except Exception as error:
+        message = (str(error) or type(error).__name__).splitlines()[0]
+        log_run(spark, root, run_id, name, zone, "FAILED", counts.processed, counts.rejected, message, script)
+        raise
+    log_run(spark, root, run_id, name, zone, counts.status, counts.processed, counts.rejected, counts.error, script)
+
+
 def log_file(spark: SparkSession, root: str, run_id: str, outcome) -> None:
     spec = outcome.spec
-    row = (run_id, spec.name, spec.path, spec.target, "BRONZE", outcome.row_count, outcome.status, outcome.error)
+    size, modified = outcome.version or (None, None)
+    row = (
+        run_id, spec.name, spec.path, spec.target, "BRONZE", outcome.row_count, size, modified, outcome.status, outcome.error,
+    )
     _append(spark, [row], FILE_SCHEMA, {"ingest_ts": F.current_timestamp()}, f"{root}/{FILE_LOG}")
 
 
 def log_steps(spark: SparkSession, root: str, run_id: str, audits: Iterable, log: str = STEP_LOG) -> None:
-    rows = [(run_id, a.step_name, a.target_table, a.rows_in, a.rows_out, a.rows_dropped) for a in audits]
+    rows = [
+        (run_id, a.step_name, a.source_table, a.target_table, a.rows_in, a.rows_out, a.rows_dropped, a.notes) for a in audits
+    ]
     _append(spark, rows, STEP_SCHEMA, {"transform_ts": F.current_timestamp()}, f"{root}/{log}")
 
 
-def loaded_files(spark: SparkSession, root: str, paths: Sequence[str]) -> set[str]:
-    """Those of ``paths`` that an earlier run logged as loaded."""
+def loaded_versions(spark: SparkSession, root: str, paths: Sequence[str]) -> dict[tuple[str, str], tuple]:
+    """(size, modification time) of the version last loaded, by path and target, for those of ``paths`` that were."""
     try:
         log = spark.read.parquet(f"{root}/{FILE_LOG}")
     except AnalysisException:
-        return set()
+        return {}
     done = log.filter((F.col("status") == "SUCCESS") & F.col("source_file_path").isin(*paths))
-    return {row[0] for row in done.select("source_file_path").distinct().collect()}
+    newest = done.groupBy("source_file_path", "target_table").agg(
+        F.max_by(F.struct("file_size_bytes", "file_modified_ts"), "ingest_ts").alias("version")
+    )
+    return {(r["source_file_path"], r["target_table"]): tuple(r["version"]) for r in newest.collect()}
 
 
 def latest_status(log: DataFrame, run: str = "run_id", order_by: Sequence[Column] | None = None) -> DataFrame:
@@ -87,19 +126,28 @@ def run_history(log: DataFrame) -> DataFrame:
     )
 
 
-def publication_log(objects: Mapping[str, DataFrame], run_id: str, types: Mapping[str, str] | None = None) -> DataFrame:
-    """One audit row with the row count of every published object."""
-    kinds = types or {}
-    rows = [
-        df.agg(F.count(F.lit(1)).alias("rows_out")).select(
-            F.lit(run_id).alias("run_id"),
-            F.lit("GOLD_STEP9_FINAL_PUBLICATION").alias("step_name"),
-            F.lit(name).alias("target_table"),
-            F.col("rows_out").alias("rows_in"),
-            "rows_out",
-            F.lit(0).cast("bigint").alias("rows_dropped"),
-            F.lit(f"Object Type: {kinds.get(name, 'TABLE')}").alias("notes"),
+def publication_log(
+    objects: Mapping[str, DataFrame], run_id: str, types: Mapping[str, str] | None = None, counts: Mapping[str, int] | None = None
+) -> DataFrame:
+    """One audit row with the row count of every published object; ``counts`` has those that a write has counted."""
+    kinds, known = types or {}, counts or {}
+    rows = []
+    for name, df in objects.items():
+        if name in known:
+            counted = df.sparkSession.range(1).select(F.lit(known[name]).cast("bigint").alias("rows_out"))
+        else:
+            counted = df.agg(F.count(F.lit(1)).alias("rows_out"))
+        rows.append(
+            counted.select(
+                F.lit(run_id).alias("run_id"),
+                F.lit(PUBLICATION_STEP).alias("step_name"),
+                F.lit(PUBLICATION_SOURCE).alias("source_table"),
+                F.lit(name).alias("target_table"),
+                F.col("rows_out").alias("rows_in"),
+                "rows_out",
+                F.lit(0).cast("bigint").alias("rows_dropped"),
+                F.lit(PUBLICATION_NOTE.format(kind=kinds.get(name, "TABLE"))).alias("notes"),
+                F.current_timestamp().alias("log_ts"),
+            )
         )
-        for name, df in objects.items()
-    ]
     return reduce(DataFrame.unionByName, rows)

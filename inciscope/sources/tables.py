@@ -57,19 +57,29 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     return _rows(counted, int)
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class AuditRow:
     step_name: str
     target_table: str
     rows_in: int
     rows_out: int
+    source_table: str | None = None
+    notes: str | None = None
 
     @property
     def rows_dropped(self) -> int:
         return self.rows_in - self.rows_out
 
 
-def write_audited(source: DataFrame, transform, path: str, step: str, rows_in: int | None = None) -> AuditRow:
+def write_audited(
+    source: DataFrame, transform, path: str, step: str, rows_in: int | None = None, source_table: str | None = None,
+    notes: str | None = None,
+) -> AuditRow:
     """Write ``transform(source)``, counting rows in and out within the one write job.
 
     Give ``rows_in`` where it is known and the transform shuffles: below a shuffle, rows read again after an
@@ -79,4 +89,4 @@ def write_audited(source: DataFrame, transform, path: str, step: str, rows_in: i
     watched = source if rows_in is not None else source.observe(taken, F.count(F.lit(1)).alias("rows"))
     rows_out = replace_table(transform(watched), path)
     rows_in = _rows(taken, source.count) if rows_in is None else rows_in
-    return AuditRow(step, path.rstrip("/").rsplit("/", 1)[-1], rows_in, rows_out)
+    return AuditRow(step, path.rstrip("/").rsplit("/", 1)[-1], rows_in, rows_out, source_table, notes)

@@ -77,6 +77,20 @@ def test_surrogate_key_is_the_global_dense_rank(spark, seed):
     assert [(r["key"], r["n"]) for r in ranked] == [(1, None), (2, 3), (3, 5), (4, 8)]
 
 
+def test_a_null_period_has_no_earlier_one(spark, rows):
+    frame = spark.createDataFrame([("a", None, 5), ("a", 2000, 1), ("a", 2001, 2)], "k string, y int, n int")
+    out = windows.period_over_period(frame, ["k"], "y", {"n": "before"})
+    assert rows(out.select("y", "before")) == [(None, None), (2000, None), (2001, 1)]
+
+
+@pytest.mark.parametrize("shared", ["same prefix ", ""])
+def test_surrogate_keys_are_ranked_in_range_partitions(spark, shared):
+    """A prefix or leading value that all rows share still leaves them in several partitions."""
+    frame = spark.range(4000).select(F.concat(F.lit(shared), F.lpad(F.col("id").cast("string"), 5, "0")).alias("w"), F.lit(1).alias("n"))
+    keyed = windows.assign_surrogate_key(frame.repartition(8), ["n", "w"], "key")
+    assert [r["key"] for r in keyed.orderBy("w").collect()] == list(range(1, 4001))
+
+
 def test_period_over_period_needs_the_exact_period(spark, rows):
     frame = spark.createDataFrame([("a", 2001, 5), ("a", 2002, 7), ("a", 2004, 9), ("b", 2002, 1)], "k string, y int, n int")
     paired = windows.period_over_period(frame, ["k"], "y", {"n": "prev"})

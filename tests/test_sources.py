@@ -51,8 +51,6 @@ def test_one_failing_file_does_not_stop_the_others_and_reruns_add_nothing(spark,
 
     again = csv.ingest_files(spark, good, root, "r2")
     assert again.status == "SUCCESS" and [o.status for o in again.outcomes] == ["SKIPPED", "SKIPPED"]
-    replay = csv.land_csv(spark, good[0].path, HEADERS, "bronze/incidents")
-    assert tables.replace_partitions(replay, f"{root}/bronze/incidents", ["_source_file"]) == 2
     assert tables.read_table(spark, f"{root}/bronze/incidents").count() == 5
 
     log = tables.read_table(spark, f"{root}/{logs.RUN_LOG}")
@@ -71,6 +69,39 @@ def test_one_failing_file_does_not_stop_the_others_and_reruns_add_nothing(spark,
     }
 
 
+def test_files_of_one_name_changed_files_and_second_targets_all_load(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    for folder in "ab":
+        (tmp_path / folder).mkdir()
+    first = write_text(tmp_path / "a" / "x.csv", "ID,Primary Type", "1,THEFT", "2,THEFT")
+    second = write_text(tmp_path / "b" / "x.csv", "ID,Primary Type", "3,ARSON")
+    specs = [csv.FileSpec(p, "bronze/one", HEADERS) for p in (first, second)]
+
+    def ids(target):
+        return sorted(r["id"] for r in tables.read_table(spark, f"{root}/bronze/{target}").collect())
+
+    assert csv.ingest_files(spark, specs, root, "r1").rows_processed == 3
+    assert ids("one") == ["1", "2", "3"]
+    report = csv.ingest_files(spark, [csv.FileSpec(first, "bronze/two", HEADERS), *specs], root, "r2")
+    assert [o.status for o in report.outcomes] == ["SUCCESS", "SKIPPED", "SKIPPED"] and ids("two") == ["1", "2"]
+    write_text(tmp_path / "a" / "x.csv", "ID,Primary Type", "1,THEFT", "2,THEFT", "4,THEFT")
+    report = csv.ingest_files(spark, specs, root, "r3")
+    assert [(o.status, o.row_count) for o in report.outcomes] == [("SUCCESS", 3), ("SKIPPED", 0)]
+    assert ids("one") == ["1", "2", "3", "4"]
+    write_text(tmp_path / "b" / "x.csv", "ID,Primary Type")
+    assert csv.ingest_files(spark, specs, root, "r4").outcomes[1].status == "SUCCESS" and ids("one") == ["1", "2", "4"]
+    sizes = tables.read_table(spark, f"{root}/{logs.FILE_LOG}").filter("status <> 'FAILED'")
+    assert sizes.filter("file_size_bytes IS NULL OR file_modified_ts IS NULL").count() == 0
+
+
+def test_a_failed_run_is_logged_as_failed(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    with pytest.raises(Exception):
+        build_gold(spark, root, "g1")
+    history = logs.run_history(tables.read_table(spark, f"{root}/{logs.RUN_LOG}")).first()
+    assert history["status"] == "FAILED" and history["error_message"] and history["end_ts"] is not None
+
+
 def test_writes_report_their_rows(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     frame = spark.createDataFrame([(i, i % 2) for i in range(10)], "v int, p int")
