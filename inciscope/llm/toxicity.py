@@ -26,7 +26,9 @@ from inciscope.llm.common import crc_mod, keyed_text, slices
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 #: The labelled rows that the model is fitted on: those of least hash, all if there are fewer.
-LABELLED_ROWS = 40_000
+LABELLED_ROWS = 20_000
+#: Rows of the vote table that the driver works on at a time.
+CHUNK_ROWS = 2048
 #: Mined voters: at most so many, each found in at least so many and so large a share of the toxic rows, and so many
 #: times more likely (as a logarithm) in toxic ones.
 MINED_VOTERS, LEAST_ROWS, LEAST_SHARE, LEAST_LOG_RATIO = 512, 3, 0.002, 2.0
@@ -122,17 +124,22 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 25) -> np.nd
     # the given label is right in most rows: it may be wrong in up to a tenth of either class
     for _ in range(rounds):
         prior = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
-        on_toxic = (posterior @ votes + 0.5) / (posterior.sum() + 1)
-        on_clean = ((1 - posterior) @ votes + 0.05) / ((1 - posterior).sum() + 1)
+        single = posterior.astype(votes.dtype)
+        on_toxic = (single @ votes + 0.5) / (posterior.sum() + 1)
+        on_clean = ((1 - single) @ votes + 0.05) / ((1 - posterior).sum() + 1)
         right = np.clip([(posterior @ given) / max(posterior.sum(), 1), 1 - ((1 - posterior) @ given) / max((1 - posterior).sum(), 1)], 0.9, 0.999)
-        rest = votes - (posterior[:, None] * on_toxic + (1 - posterior[:, None]) * on_clean)
-        spread = np.sqrt((rest**2).sum(axis=0)) + 1e-9
-        alike = np.abs((rest.T @ rest) / spread[:, None] / spread[None, :])
+        products = np.zeros((votes.shape[1], votes.shape[1]))
+        for lo in range(0, len(votes), CHUNK_ROWS):
+            part, p = votes[lo : lo + CHUNK_ROWS], posterior[lo : lo + CHUNK_ROWS, None]
+            rest = part - (p * on_toxic + (1 - p) * on_clean)
+            products += rest.T @ rest
+        spread = np.sqrt(products.diagonal()) + 1e-9
+        alike = np.abs(products / spread[:, None] / spread[None, :])
         np.fill_diagonal(alike, 0)
         weight = 1 / (1 + np.where(alike > 0.1, alike, 0).sum(axis=1))
         fired = np.log(on_toxic) - np.log(on_clean)
         silent = np.log1p(-on_toxic.clip(max=0.999)) - np.log1p(-on_clean.clip(max=0.999))
-        z = np.log(prior / (1 - prior)) + votes @ (weight * (fired - silent)) + (weight * silent).sum()
+        z = np.log(prior / (1 - prior)) + votes @ (weight * (fired - silent)).astype(votes.dtype) + (weight * silent).sum()
         z += np.where(given == 1, np.log(right[0] / (1 - right[1])), np.log((1 - right[0]) / right[1]))
         posterior = 1 / (1 + np.exp(-z.clip(-30, 30)))
     return posterior
@@ -140,15 +147,16 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 25) -> np.nd
 
 def train_linear(x: np.ndarray, target: np.ndarray, rounds: int = 400, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft targets: full gradient steps with momentum."""
-    weights, bias = np.zeros(x.shape[1]), float(np.log(target.mean() / (1 - target.mean())))
-    square = (x**2).mean(axis=0) + 1e-4  # each feature steps by its own scale
+    x, target = x.astype(np.float32), target.astype(np.float32)
+    weights, bias = np.zeros(x.shape[1], dtype=np.float32), float(np.log(target.mean() / (1 - target.mean())))
+    square = np.einsum("ij,ij->j", x, x) / len(x) + np.float32(1e-4)  # each feature steps by its own scale
     speed, bias_speed = np.zeros_like(weights), 0.0
     for _ in range(rounds):
-        error = 1 / (1 + np.exp(-(x @ weights + bias).clip(-30, 30))) - target
-        speed = 0.9 * speed - 0.1 * ((x.T @ error) / len(x) + l2 * weights) / np.sqrt(square)
-        bias_speed = 0.9 * bias_speed - 0.1 * error.mean()
+        error = 1 / (1 + np.exp(-(x @ weights + np.float32(bias)).clip(-30, 30))) - target
+        speed = np.float32(0.9) * speed - np.float32(0.1) * ((error @ x) / np.float32(len(x)) + np.float32(l2) * weights) / np.sqrt(square)
+        bias_speed = 0.9 * bias_speed - 0.1 * float(error.mean())
         weights, bias = weights + speed, bias + bias_speed
-    return weights, bias
+    return weights.astype(np.float64), bias
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> Model:
