@@ -105,10 +105,10 @@ def mine(sample: DataFrame) -> list[str]:
 
     counted = sample.select("doc_id", "text", "toxic").mapInArrow(count, "word string, clean long, toxic long")
     summed = counted.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    rows = summed.where("word = ''").select(F.col("clean").alias("all_clean"), F.col("toxic").alias("all_toxic"))
-    each = summed.where("word <> ''").crossJoin(F.broadcast(rows))  # one row
-    ratio = F.log((F.col("toxic") + 0.5) / (F.col("all_toxic") + 1)) - F.log((F.col("clean") + 0.5) / (F.col("all_clean") + 1))
-    enough = F.greatest(F.lit(LEAST_ROWS), F.col("all_toxic") * LEAST_SHARE)
+    rows = summed.where("word = ''").select(F.struct("clean", "toxic")).scalar()
+    each = summed.where("word <> ''").withColumn("all", rows)
+    ratio = F.log((F.col("toxic") + 0.5) / (F.col("all.toxic") + 1)) - F.log((F.col("clean") + 0.5) / (F.col("all.clean") + 1))
+    enough = F.greatest(F.lit(LEAST_ROWS), F.col("all.toxic") * LEAST_SHARE)
     telling = each.where((F.col("toxic") >= enough) & (ratio >= LEAST_LOG_RATIO))
     top = telling.orderBy((F.col("toxic") * ratio).desc(), "word").limit(MINED_VOTERS)
     return [r["word"] for r in top.select("word").collect()]
