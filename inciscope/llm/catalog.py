@@ -54,7 +54,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_concatenate_and_cut, op3_weak_supervision, op4_zstd_novelty, op5_checked_patterns, op6_t_occurrence, op7_hidden_markov, op8_bpe, op9_multi_index_hashing, op10_url_filter)
+OPERATORS = (
+    op1_order_minhash, op2_concatenate_and_cut, op3_weak_supervision, op4_zstd_novelty, op5_checked_patterns,
+    op6_t_occurrence, op7_hidden_markov, op8_bpe, op9_multi_index_hashing, op10_url_filter,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
+ORACLE = {
+    "op6_t_occurrence": ngram_join.oracle(),
+    "op9_multi_index_hashing": hamming.oracle(),
+    "op10_url_filter": urls.oracle(),
 }
-ORACLE = {"op9_multi_index_hashing": hamming.oracle(), "op10_url_filter": urls.oracle()}

@@ -520,3 +520,26 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     again = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*docs.columns)))
     kept = kept.withColumn(node, again).where(F.col(node) == 1).drop(key, node)
     return kept.select(*docs.columns).union(marked.where(F.col(node).isNull()).select(*docs.columns))
+
+
+def oracle() -> str:
+    """Every pair that shares a shingle compared, and all links followed."""
+    return r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) < 5 THEN list_filter([array_to_string(w, ' ')], lambda g: g <> '')
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM split),
+        shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT x, y FROM shared JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+            WHERE 100 * n >= 75 * (len(a.s) + len(b.s) - n)),
+        reached(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM sets UNION SELECT y, root FROM reached JOIN links ON x = doc_id)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(root) AS component_id
+        FROM sets JOIN reached USING (doc_id) GROUP BY ALL"""
