@@ -269,22 +269,13 @@ def leaders(nodes: DataFrame) -> DataFrame:
             columns = (np.concatenate([*least, np.empty(0, np.int64)]), np.repeat(m / n, sizes), np.repeat(node, sizes))
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["shingle", "central", "node"])
 
-    def elect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, leader = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            shingle, node = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            first = np.concatenate([[shingle[0] != last], shingle[1:] != shingle[:-1]])
-            at = np.maximum.accumulate(np.where(first, np.arange(len(node)), -1))
-            chosen = np.where(at >= 0, node[np.maximum(at, 0)], leader if leader is not None else 0)
-            last, leader = int(shingle[-1]), int(chosen[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(chosen)], ["node", "leader"])
-
-    votes = nodes.mapInArrow(keys, "shingle long, central double, node long").repartition("shingle")
-    votes = votes.sortWithinPartitions("shingle", F.desc("central"), "node").mapInArrow(elect, "node long, leader long")
-    counts = votes.groupBy("node", "leader").count()
-    best = counts.groupBy("node").agg(F.max(F.struct("count", -F.col("leader"), "leader")).alias("best"))
+    votes = materialise(nodes.mapInArrow(keys, "shingle long, central double, node long"), "ngram-votes")
+    # the most central node of each shingle is aggregated before the shuffle, and a shingle that very many nodes have can
+    # be split in the join; ties go to the lesser node
+    central = F.max(F.struct("central", F.bitwise_not("node").alias("turned"), "node")).alias("best")
+    elected = votes.groupBy("shingle").agg(central).select("shingle", F.col("best.node").alias("leader"))
+    counts = votes.join(elected, "shingle").groupBy("node", "leader").count()
+    best = counts.groupBy("node").agg(F.max(F.struct("count", F.bitwise_not("leader").alias("turned"), "leader")).alias("best"))
     return best.select("node", F.col("best.leader").alias("leader")).where("node <> leader")
 
 
