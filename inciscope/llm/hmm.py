@@ -3,8 +3,8 @@
 The most frequent training words are symbols of their own; every other word is one of two rare symbols (with or without
 letters beyond ASCII) times the word's own smoothed share of that symbol, so a text's probability is that of its words.
 Baum-Welch: each partition adds up the expected counts of its training texts, the counts are summed by blocks, and the
-driver only sees the model. The first model comes from a bounded sample of texts; all training texts are used in each of
-the following rounds. The scaled forward recursion then gives every text's exact likelihood.
+driver only sees the model. Every round uses all training texts, from a blank start until a round gains less than
+``TOLERANCE``. The scaled forward recursion then gives every text's exact likelihood.
 
 Word counts cover all training texts. The counts of frequent words go to every task (a fixed number); a rare word meets
 its count by a join on the word.
@@ -29,8 +29,8 @@ FOLDS, HELD_OUT_FOLD = 7, 2
 STATES = 8
 #: Frequent words that are symbols, and those whose counts every task gets.
 SYMBOLS, KNOWN_COUNTS = 8192, 65_536
-#: Baum-Welch rounds over all training texts, and those on the sample that the first model comes from.
-ROUNDS, SAMPLE_ROUNDS, SAMPLE_TEXTS = 2, 12, 512
+#: Baum-Welch ends with the first round that gains less than this share of the training texts' log likelihood.
+TOLERANCE = 1e-4
 #: Training cuts texts into stretches of so many tokens; scoring does not.
 TRAIN_TOKENS = 512
 #: Tokens worked on together in training and in scoring.
@@ -177,6 +177,11 @@ class Hmm:
     emit: np.ndarray  # symbol by state
 
 
+@dataclass
+class Counts(Hmm):
+    log: float  # log10 likelihood of the texts under the model they are counted by
+
+
 def blank(vocab: Vocabulary, share: np.ndarray, states: int = STATES, seed: int = 7) -> Hmm:
     """States that tend to stay, each with the words' shares shaken at random."""
     rng = np.random.default_rng(seed)
@@ -186,49 +191,45 @@ def blank(vocab: Vocabulary, share: np.ndarray, states: int = STATES, seed: int
     return Hmm(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def padded(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Texts from long to short as columns, and how many go on at each step."""
+def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
+    """Expected starts, moves and emissions of some texts, and their likelihood, by the scaled forward and backward
+    recursions in single precision. The tokens of all texts lie step by step, the longest text first."""
     texts = sorted(texts, key=len, reverse=True)
     lengths = np.array([len(t) for t in texts])
-    table = np.zeros((lengths[0], len(texts)), dtype=np.int64)
-    for k, t in enumerate(texts):
-        table[: len(t), k] = t
-    return table, (lengths[None, :] > np.arange(lengths[0])[:, None]).sum(axis=1)
-
-
-def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Hmm:
-    """Expected starts, moves and emissions of some texts, by the scaled forward and backward recursions."""
-    table, active = padded(texts)
-    steps, width = table.shape
-    states = len(model.start)
-    seen = np.zeros((steps, width, states))
-    scale = np.ones((steps, width))
-    for t in range(steps):
-        n = active[t]
-        forward = model.emit[table[t, :n]]
-        forward = forward * (model.start if t == 0 else seen[t - 1, :n] @ model.move)
-        scale[t, :n] = forward.sum(axis=1)
-        seen[t, :n] = forward / scale[t, :n, None]
-    move = np.zeros_like(model.move)
-    backward = np.ones((width, states))
-    for t in range(steps - 2, -1, -1):
-        n = active[t + 1]
-        after = model.emit[table[t + 1, :n]] * backward[:n] / scale[t + 1, :n, None]
-        move += seen[t, :n].T @ after
-        seen[t + 1, :n] *= backward[:n]
-        backward[:n] = after @ model.move.T
-    seen[0] *= backward
-    inside = np.arange(width)[None, :] < active[:, None]
-    symbol, weight = table[inside], seen[inside]
-    emit = np.stack([np.bincount(symbol, weight[:, k], len(model.emit)) for k in range(states)], axis=1)
-    return Hmm(seen[0].sum(axis=0), move * model.move, emit)
-
-
-def add(a: Hmm | None, b: Hmm) -> Hmm:
-    return b if a is None else Hmm(a.start + b.start, a.move + b.move, a.emit + b.emit)
-
-
-def estimate(counts: Hmm, share: np.ndarray) -> Hmm:
+    width, states = len(texts), len(model.start)
+    active = width - np.cumsum(np.bincount(lengths))[:-1]  # texts longer than each step
+    ends = np.cumsum(active)
+    place = np.arange(ends[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # step of each token
+    symbols = np.empty(ends[-1], np.intp)
+    symbols[(ends - active)[place] + np.repeat(np.arange(width), lengths)] = np.concatenate(texts)
+    start, move, emit = (np.ascontiguousarray(x, np.float32) for x in (model.start, model.move, model.emit))
+    back, ones = np.ascontiguousarray(move.T), np.ones((states, states), np.float32)
+    given = emit.take(symbols, axis=0)
+    seen, scale = np.empty_like(given), np.empty_like(given)
+    at = [0, *ends.tolist()]
+    for a, b in zip(at, at[1:]):
+        forward = given[a:b] * (forward[: b - a] @ move if a else start)
+        forward = np.divide(forward, np.matmul(forward, ones, out=scale[a:b]), out=seen[a:b])
+    log = float(np.log10(scale[:, 0], dtype=float).sum())
+    given /= scale
+    backward = scale
+    backward.fill(1)
+    for t in range(len(active) - 1, 0, -1):
+        a, b = at[t], at[t + 1]
+        given[a:b] *= backward[a:b]
+        np.matmul(given[a:b], back, out=backward[at[t - 1] : at[t - 1] + b - a])
+    previous = np.arange(width, at[-1]) - np.repeat(active[:-1], active[1:])
+    moved = seen.take(previous, axis=0).T @ given[width:]
+    seen *= backward
+    emitted = np.stack([np.bincount(symbols, seen[:, k], len(emit)) for k in range(states)], axis=1)
+    return Counts(seen[:width].sum(axis=0, dtype=float), moved * model.move, emitted, log)
+
+
+def add(a: Counts | None, b: Counts) -> Counts:
+    return b if a is None else Counts(a.start + b.start, a.move + b.move, a.emit + b.emit, a.log + b.log)
+
+
+def estimate(counts: Counts, share: np.ndarray) -> Hmm:
     """The model that makes expected counts likeliest, smoothed by a word's share of all tokens."""
     emit = counts.emit + share[:, None]
     move, start = counts.move + 0.01, counts.start + 0.01
@@ -236,7 +237,7 @@ def estimate(counts: Hmm, share: np.ndarray) -> Hmm:
 
 
 def stretches(texts: list[bytes], size: int = TRAIN_TOKENS) -> list[np.ndarray]:
-    found = [np.frombuffer(b, "<u2").astype(np.int64) for b in texts]
+    found = [np.frombuffer(b, "<u2") for b in texts]
     return [t[i : i + size] for t in found for i in range(0, len(t), size)]
 
 
@@ -252,14 +253,14 @@ def grouped(texts: list[np.ndarray], limit: int) -> Iterator[list[np.ndarray]]:
         yield texts[lo:]
 
 
-def baum_welch_round(training: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
-    """One round over all training texts; partial counts are summed by blocks of ``BLOCK`` numbers."""
+def baum_welch_round(training: DataFrame, model: Hmm) -> Counts | None:
+    """Counts of one round over all training texts; partial counts are summed by blocks of ``BLOCK`` numbers."""
     shared = training.sparkSession.sparkContext.broadcast(model)  # states times symbols
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, waiting, n = None, [], 0
 
-        def work() -> Hmm | None:
+        def work() -> Counts | None:
             done = total
             for group in grouped(stretches(waiting), TRAIN_GROUP):
                 done = add(done, expected_counts(shared.value, group))
@@ -273,7 +274,7 @@ def baum_welch_round(training: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
                 total, waiting, n = work(), [], 0
         total = work()
         if total is not None:
-            flat = np.concatenate([total.start, total.move.ravel(), total.emit.ravel()])
+            flat = np.concatenate([[total.log], total.start, total.move.ravel(), total.emit.ravel()])
             parts = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts)], ["block", "part"])
 
@@ -289,11 +290,10 @@ def baum_welch_round(training: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
     partial = training.select("symbols").mapInArrow(run, kind)
     rows = partial.repartition("block").mapInArrow(sums, kind).collect()
     if not rows:
-        return model
+        return None
     flat = np.concatenate([np.frombuffer(r["part"]) for r in sorted(rows)])
-    k = len(model.start)
-    counts = Hmm(flat[:k], flat[k : k + k * k].reshape(k, k), flat[k + k * k :].reshape(-1, k))
-    return estimate(counts, share)
+    k, log, flat = len(model.start), float(flat[0]), flat[1:]
+    return Counts(flat[:k], flat[k : k + k * k].reshape(k, k), flat[k + k * k :].reshape(-1, k), log)
 
 
 def symbol_shares(vocab: Vocabulary) -> np.ndarray:
@@ -309,17 +309,12 @@ def train(training: DataFrame, vocab: Vocabulary, states: int = STATES) -> Hmm:
     """``training`` has the symbols of the training texts."""
     share = symbol_shares(vocab)
     model = blank(vocab, share, states)
-    sample = training.select("row", "symbols").orderBy(F.xxhash64("row")).limit(SAMPLE_TEXTS)
-    first = stretches([r["symbols"] for r in sample.select("symbols").collect()])
-    if not first:
-        return model
-    for _ in range(SAMPLE_ROUNDS):
-        counts = None
-        for group in grouped(first, TRAIN_GROUP):
-            counts = add(counts, expected_counts(model, group))
+    last = -np.inf
+    while (counts := baum_welch_round(training, model)) is not None:
         model = estimate(counts, share)
-    for _ in range(ROUNDS):
-        model = baum_welch_round(training, model, share)
+        if counts.log - last < TOLERANCE * abs(counts.log):
+            break
+        last = counts.log
     return model
 
 

@@ -182,6 +182,23 @@ def test_rounds_raise_the_likelihood_and_held_out_texts_gain(spark):
         model = hmm.Hmm(counts.start / counts.start.sum(), counts.move / counts.move.sum(axis=1, keepdims=True), counts.emit / counts.emit.sum(axis=0))
 
 
+def test_rounds_over_all_texts_go_on_until_nothing_is_gained(spark):
+    rng = random.Random(4)
+    topics = [[f"{t}{k}" for k in range(20)] for t in "abcdef"]
+    rows = [(k, " ".join(rng.choice(topics[min(5, int(rng.expovariate(0.7)))]) for _ in range(20)), False) for k in range(1500)]
+    models = []
+    for parts in (2, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(parts)
+        vocab = hmm.vocabulary(hmm.word_counts(docs))
+        encoded = hmm.encode(docs, vocab).cache()
+        models.append(hmm.train(encoded, vocab))
+        texts = [np.frombuffer(r.symbols, "<u2").astype(int) for r in encoded.collect()]
+    assert all(np.allclose(getattr(models[0], k), getattr(models[1], k), atol=0.01) for k in ("start", "move", "emit"))
+    log = hmm.log10_likelihood(models[1], texts).sum()
+    further = hmm.estimate(hmm.expected_counts(models[1], texts), hmm.symbol_shares(vocab))
+    assert hmm.log10_likelihood(further, texts).sum() - log < 1e-4 * abs(log)
+
+
 # ---- code search
 
 
