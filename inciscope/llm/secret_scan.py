@@ -2,7 +2,8 @@
 
 A candidate is a long string near a word such as ``key`` or ``token``. Its novelty is the number of bytes that zstandard
 needs for it beyond what its surroundings take, with a dictionary of the identifiers that stand in such places in the
-whole corpus. An identifier or a repeated string is nearly free; a random string costs about its length.
+whole corpus. An identifier is nearly free; a random string costs about its length. Other occurrences of the candidate do
+not count as its surroundings, and every occurrence of a novel string in its text is reported.
 """
 
 from __future__ import annotations
@@ -126,6 +127,36 @@ def identifiers(docs: DataFrame) -> list[str]:
     return [r["word"] for r in reversed(top)]
 
 
+def occurrences(text: str, value: str, first: int, last: int) -> Iterator[tuple[int, int]]:
+    """Places of a string that reach into a stretch of the text, not overlapping."""
+    at = text.find(value, max(0, first - len(value) + 1), last + len(value) - 1)
+    while at >= 0:
+        yield at, at + len(value)
+        at = text.find(value, at + len(value), last + len(value) - 1)
+
+
+def repeats(text: str, values: set[str]) -> Iterator[tuple[int, int]]:
+    """Places of any of the strings in one pass, but for those inside the place before."""
+    heads: dict[str, list[str]] = {}
+    for value in sorted(values, key=len, reverse=True):
+        heads.setdefault(value[:LEAST_CANDIDATE], []).append(value)
+    done = 0
+    for at in range(len(text) - LEAST_CANDIDATE + 1) if values else ():
+        value = next((v for v in heads.get(text[at : at + LEAST_CANDIDATE], ()) if text.startswith(v, at)), "")
+        if at + len(value) > done and value:
+            done = at + len(value)
+            yield at, done
+
+
+def without(text: str, first: int, last: int, values: list[str]) -> str:
+    """A stretch of the text, of which all that belongs to one of the strings is left out."""
+    out, at = [], first
+    for start, end in merged([span for value in values for span in occurrences(text, value, first, last)]):
+        out.append(text[at : max(at, start)])
+        at = end
+    return "".join([*out, text[at:last]])
+
+
 class Novelty:
     def __init__(self, words: list[str]):
         data = "\n".join(words).encode()
@@ -138,28 +169,40 @@ class Novelty:
         )
 
     def marginal(self, text: str, start: int, end: int) -> int:
-        """Bytes that the string adds to its compressed surroundings."""
-        around = (text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND] + "\n").encode()
-        whole = len(self.compressor.compress(around + text[start:end].encode()))
+        """Bytes that the string adds to its compressed surroundings, from which it is taken out itself, as is what
+        stands behind or before an equals sign in it."""
+        value = text[start:end]
+        values = [value, *(part for part in value.split("=") if LEAST_CANDIDATE <= len(part) < len(value))]
+        before = without(text, max(0, start - AROUND), start, values)
+        after = without(text, end, min(len(text), end + AROUND), values)
+        around = f"{before}\n{after}\n".encode()
+        whole = len(self.compressor.compress(around + value.encode()))
         return whole - len(self.compressor.compress(around))
 
 
 def all_spans(text: str, novelty: Novelty) -> list[tuple[str, int, int, str, int | None]]:
-    """(kind, start, end, value, marginal bytes) by start, then kind; novel ones where no base span overlaps."""
+    """(kind, start, end, value, marginal bytes) by start, then kind; novel ones where no base span overlaps. A string
+    found novel is reported wherever it stands in the text."""
     spans = [(kind, start, end, text[start:end], None) for kind, start, end in base_spans(text)]
     taken = merged([(start, end) for _, start, end, _, _ in spans])
+    novel: dict[tuple[int, int], int] = {}
     for start, end in candidates(text):
         if not overlaps(taken, start, end):
             marginal = novelty.marginal(text, start, end)
             if marginal >= NOVEL_RATIO * (end - start):
-                spans.append(("novel", start, end, text[start:end], marginal))
+                novel[start, end] = marginal
+    held = merged(list(novel))
+    for span in repeats(text, {text[slice(*span)] for span in novel}):
+        if not overlaps(taken, *span) and not overlaps(held, *span):
+            novel[span] = novelty.marginal(text, *span)
+    spans += [("novel", start, end, text[start:end], marginal) for (start, end), marginal in novel.items()]
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans): all spans of each row by start, then kind; ``marginal_bytes`` only of novel ones.
 
-    Novel spans are added where no base span overlaps. A null or empty text has none; repeated rows and rows without
+    Novel spans are added where no base span overlaps, at every occurrence of a novel string. A null or empty text has none; repeated rows and rows without
     doc_id are scanned one by one; an empty table gives an empty result; other columns are not read.
     """
     keyed = keyed_text(docs, id_col, text_col)

@@ -116,6 +116,21 @@ def test_incompressible_strings_in_sensitive_places(spark):
     assert novel[5] == []  # repeated at once: it compresses against its surroundings
 
 
+def test_every_occurrence_of_a_novel_string_is_found():
+    novelty = secret_scan.Novelty([])
+
+    def found(text):
+        return [(s, text[s:e]) for kind, s, e, _, _ in secret_scan.all_spans(text, novelty) if kind == "novel"]
+
+    assert [v for _, v in found(f"credential {RANDOM} and again {RANDOM}")] == [RANDOM] * 2
+    far = f"credential {RANDOM} {'and so on ' * 100}{RANDOM}, {RANDOM}"
+    assert [v for _, v in found(far)] == [RANDOM] * 3
+    at_the_border = f"credential {RANDOM}{'.' * (secret_scan.AROUND - len(RANDOM) // 2)} credential {RANDOM}"
+    assert [v for _, v in found(at_the_border)] == [RANDOM] * 2
+    behind = f"bearer a1={RANDOM} and bearer b2={RANDOM}"
+    assert secret_scan.redacted(behind, [(s, s + len(v)) for s, v in found(behind)], "#").count(RANDOM) == 0
+
+
 def test_redaction_replaces_and_keeps_the_rest(spark):
     rows = [(1, "token = abcdef1 x", 17, "en"), (2, "clean", 99, None), (None, None, None, "de"), (1, "token = abcdef1 x", 17, "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, lang string")
