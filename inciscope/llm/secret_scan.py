@@ -2,7 +2,7 @@
 
 A candidate is a long string near a word such as ``key`` or ``token``. Its novelty is the number of bytes that zstandard
 needs for it beyond what its surroundings take, with a dictionary of the identifiers that stand in such places in the
-whole corpus. An identifier is nearly free; a random string costs about its length. Other occurrences of the candidate do
+distinct texts of the whole corpus; what is a candidate itself gives none. An identifier is nearly free; a random string costs about its length. Other occurrences of the candidate do
 not count as its surroundings, and every occurrence of a novel string in its text is reported.
 """
 
@@ -40,7 +40,7 @@ REACH = 120
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 LEAST_CANDIDATE = 16
 IDENTIFIER = re.compile(r"[A-Za-z_]{3,40}")
-#: The dictionary: at most this many identifiers, found in at least so many documents.
+#: The dictionary: at most this many identifiers, found in at least so many distinct texts.
 DICTIONARY_IDENTIFIERS, DICTIONARY_DOCS = 4096, 2
 #: Code points around a candidate that count as its surroundings.
 AROUND = 300
@@ -78,17 +78,20 @@ def windows(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def is_candidate(value: str) -> bool:
+    """Whether a string is long and mixes letters with digits or capitals with small letters."""
+    return len(value) >= LEAST_CANDIDATE and sum(any(map(test, value)) for test in (str.isdigit, str.islower, str.isupper)) >= 2
+
+
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Long strings that begin near a sensitive word and mix letters with digits or capitals with small letters."""
+    """Candidates that begin near a sensitive word."""
     for first, last in windows(text):
         start = first
         while 0 < start < last and RUN.match(text, start - 1):  # inside a string that begins before the window
             start += 1
         for match in RUN.finditer(text, start, last):
             span = RUN.match(text, match.start()).span()
-            value = text[slice(*span)]
-            classes = sum(any(test(c) for c in value) for test in (str.isdigit, str.islower, str.isupper))
-            if len(value) >= LEAST_CANDIDATE and classes >= 2:
+            if is_candidate(text[slice(*span)]):
                 yield span
 
 
@@ -109,19 +112,44 @@ def overlaps(taken: list[tuple[int, int]], start: int, end: int) -> bool:
     return at >= 0 and taken[at][1] > start
 
 
+def identifiers_of(text: str) -> set[str]:
+    """The identifiers around sensitive words that are no part of a candidate."""
+    found: set[str] = set()
+    for first, last in windows(text):
+        start = first
+        while start and RUN.match(text, start - 1):  # a string that begins before the window is judged whole
+            start -= 1
+        for match in RUN.finditer(text, start):
+            if match.start() >= last:
+                break
+            if not is_candidate(match.group()):
+                found.update(IDENTIFIER.findall(text, max(first, match.start()), min(last, match.end())))
+    return found
+
+
 def identifiers(docs: DataFrame) -> list[str]:
-    """The identifiers found around sensitive words of the most documents, the most frequent last."""
+    """The identifiers found around sensitive words of the most distinct texts, the most frequent last.
+
+    Texts of the same 64-bit hash count as one."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [(key, "\n".join(sorted(w))) for key, text in zip(*(c.to_pylist() for c in batch.columns)) if (w := identifiers_of(text))]
+            keys, joined_words = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(joined_words, pa.string())], ["key", "words"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             counts: Counter[str] = Counter()
-            for text in batch.column(1).to_pylist():
-                counts.update({w for s, e in windows(text) for w in IDENTIFIER.findall(text, s, e)})
+            for words in batch.column(0).to_pylist():
+                counts.update(words.split("\n"))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "docs"]
             )
 
-    counted = docs.mapInArrow(count, "word string, docs long").groupBy("word").agg(F.sum("docs").alias("docs"))
+    found = docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(find, "key long, words string")
+    distinct = found.groupBy("key").agg(F.first("words").alias("words")).select("words")
+    counted = distinct.mapInArrow(count, "word string, docs long").groupBy("word").agg(F.sum("docs").alias("docs"))
     common = counted.where(F.col("docs") >= DICTIONARY_DOCS)
     top = common.orderBy(F.desc("docs"), "word").limit(DICTIONARY_IDENTIFIERS).collect()
     return [r["word"] for r in reversed(top)]

@@ -131,6 +131,17 @@ def test_every_occurrence_of_a_novel_string_is_found():
     assert secret_scan.redacted(behind, [(s, s + len(v)) for s, v in found(behind)], "#").count(RANDOM) == 0
 
 
+def test_copies_do_not_teach_their_own_secret(spark):
+    letters = "qZtVxLmKdRwYpHsNbGfJcTuWeAiQoX"
+    texts = [f"the private key is {key} here" for key in (letters, RANDOM) for _ in range(2000)]
+    texts += [f"note {k}: the private key is {letters} here" for k in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secret_scan.scan(docs).collect()
+    assert all([s.value for s in r.spans] == [RANDOM if RANDOM in texts[r.doc_id] else letters] for r in found)
+    words = [(1, "private key alpha")] * 9 + [(2, "private key beta one"), (3, "private key beta two")]
+    assert set(secret_scan.identifiers(spark.createDataFrame(words, "doc_id long, text string"))) == {"private", "key", "beta"}
+
+
 def test_redaction_replaces_and_keeps_the_rest(spark):
     rows = [(1, "token = abcdef1 x", 17, "en"), (2, "clean", 99, None), (None, None, None, "de"), (1, "token = abcdef1 x", 17, "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, lang string")
