@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inciscope.llm import bpe, fingerprints, hamming, hmm, ngram_join, packing, pii, secret_scan, toxicity, urls
+from inciscope.llm import bpe, fingerprints, hamming, hmm, lexical, ngram_join, packing, pii, secret_scan, toxicity, urls
 from inciscope.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -54,13 +54,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
 
+def op11_max_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 OPERATORS = (
     op1_order_minhash, op2_concatenate_and_cut, op3_weak_supervision, op4_zstd_novelty, op5_checked_patterns,
     op6_t_occurrence, op7_hidden_markov, op8_bpe, op9_multi_index_hashing, op10_url_filter,
+    op11_max_sketches,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 ORACLE = {
     "op6_t_occurrence": ngram_join.oracle(),
     "op9_multi_index_hashing": hamming.oracle(),
     "op10_url_filter": urls.oracle(),
+    "op11_max_sketches": lexical.oracle(),
 }

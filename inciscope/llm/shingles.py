@@ -26,6 +26,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def run_hashes(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each run of values: every value is mixed with its place in the run before they are summed.
+
+    Powers of one factor instead of the mixing would give some pairs of runs one hash whatever the factor.
+    """
+    if not len(begins):
+        return np.empty(0, np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
+    at = place if len(begins) == 1 and not begins[0] else place + np.repeat(begins, sizes)
+    value = (data[at].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64) + np.uint64(1)
+    return mix(np.add.reduceat(mix(value * ODD), starts) + sizes.astype(np.uint64) * ODD)
+
+
+def same_runs(
+    data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_begins: np.ndarray, other_sizes: np.ndarray
+) -> np.ndarray:
+    """Whether each run of ``data`` has the values of its run of ``others``."""
+    same = sizes == other_sizes
+    kept = np.flatnonzero(same & (sizes > 0))
+    if len(kept):
+        n = sizes[kept]
+        starts = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(starts, n)
+        equal = data[step + np.repeat(begins[kept], n)] == others[step + np.repeat(other_begins[kept], n)]
+        same[kept] = np.logical_and.reduceat(equal, starts)
+    return same
+
+
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * ODD)
 BYTE_VALUES[ord("A") : ord("Z") + 1] = BYTE_VALUES[ord("a") : ord("z") + 1]
 
