@@ -28,6 +28,7 @@ COLUMNS = {
     "op9_multi_index_hashing": "query_id rank vec_id distance",
     "op10_url_filter": "page_id host path rule verdict",
     "op11_max_sketches": "item_id rank doc_id score",
+    "op12_incremental_whitening": "vec_id component n deviation whitened explained identity_error",
 }
 
 
