@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inciscope.llm import bpe, fingerprints, hamming, hmm, lexical, ngram_join, packing, pii, secret_scan, toxicity, urls, whitening
+from inciscope.llm import bpe, fingerprints, hamming, hmm, lexical, ngram_join, packing, pii, secret_scan, toxicity, urls, whitening, wrappers
 from inciscope.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -62,10 +62,14 @@ def op12_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op13_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read(spark, sf_dir, "pages"))
+
+
 OPERATORS = (
     op1_order_minhash, op2_concatenate_and_cut, op3_weak_supervision, op4_zstd_novelty, op5_checked_patterns,
     op6_t_occurrence, op7_hidden_markov, op8_bpe, op9_multi_index_hashing, op10_url_filter,
-    op11_max_sketches, op12_incremental_whitening,
+    op11_max_sketches, op12_incremental_whitening, op13_wrapper_inference,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 ORACLE = {

@@ -29,6 +29,7 @@ COLUMNS = {
     "op10_url_filter": "page_id host path rule verdict",
     "op11_max_sketches": "item_id rank doc_id score",
     "op12_incremental_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op13_wrapper_inference": "page_id url text n_chars",
 }
 
 
