@@ -2,17 +2,19 @@
 
 A candidate is a long string near a word such as ``key`` or ``token``. Its novelty is the number of bytes that zstandard
 needs for it beyond what its surroundings take, with a dictionary of the identifiers that stand in such places in the
-distinct texts of the whole corpus; what is a candidate itself gives none. An identifier is nearly free; a random string costs about its length. Other occurrences of the candidate do
-not count as its surroundings, and every occurrence of a novel string in its text is reported.
+distinct texts of the whole corpus; what is a candidate itself gives none. An identifier is nearly free; a random string
+costs about its length. Other occurrences of the candidate do not count as its surroundings, and every occurrence of a
+novel string in its text is reported.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -35,8 +37,10 @@ SENSITIVE = re.compile(
 )
 #: Every match of the two patterns above has one of these, so that most texts need no search by pattern.
 GATES = ("passw", "passp", "secret", "token", "api", "key", "credential", "bearer", "authorization", "signature")
-#: How far from such a word candidates and identifiers are looked for, in code points.
+#: How far from such a word candidates and identifiers are looked for, in code points; see also ``candidates``.
 REACH = 120
+#: Candidates with no more than this between them belong together.
+GAP = 4
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 LEAST_CANDIDATE = 16
 IDENTIFIER = re.compile(r"[A-Za-z_]{3,40}")
@@ -83,16 +87,41 @@ def is_candidate(value: str) -> bool:
     return len(value) >= LEAST_CANDIDATE and sum(any(map(test, value)) for test in (str.isdigit, str.islower, str.isupper)) >= 2
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Candidates that begin near a sensitive word."""
-    for first, last in windows(text):
-        start = first
-        while 0 < start < last and RUN.match(text, start - 1):  # inside a string that begins before the window
-            start += 1
-        for match in RUN.finditer(text, start, last):
-            span = RUN.match(text, match.start()).span()
-            if is_candidate(text[slice(*span)]):
-                yield span
+def near_runs(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[int]]:
+    """The windows of a text, its runs of letters, and the numbers of the runs that reach into a window."""
+    around = windows(text)
+    runs = [m.span() for m in RUN.finditer(text)] if around else []
+    ends = [end for _, end in runs]
+    near: list[int] = []
+    for first, last in around:
+        k = max(bisect_right(ends, first), near[-1] + 1 if near else 0)
+        while k < len(runs) and runs[k][0] < last:
+            near.append(k)
+            k += 1
+    return around, runs, near
+
+
+def candidates(text: str) -> list[list[tuple[int, int]]]:
+    """Candidates that reach into a window, and those that follow or go before one with no more than ``GAP`` between:
+    the lines of a key block, the parts of a dotted token. Those that belong together are in one list."""
+    _, runs, near = near_runs(text)
+    picked = {k for k in near if is_candidate(text[slice(*runs[k])])}
+    for step in (1, -1):
+        for k in sorted(picked):
+            k += step
+            while 0 <= k < len(runs) and k not in picked:
+                between = runs[k][0] - runs[k - 1][1] if step > 0 else runs[k + 1][0] - runs[k][1]
+                if between > GAP or not is_candidate(text[slice(*runs[k])]):
+                    break
+                picked.add(k)
+                k += step
+    out: list[list[tuple[int, int]]] = []
+    for k in sorted(picked):
+        if k - 1 in picked and runs[k][0] - runs[k - 1][1] <= GAP:
+            out[-1].append(runs[k])
+        else:
+            out.append([runs[k]])
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -112,18 +141,29 @@ def overlaps(taken: list[tuple[int, int]], start: int, end: int) -> bool:
     return at >= 0 and taken[at][1] > start
 
 
+def outside(taken: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """The parts of a span that none of those that ``merged`` gives covers."""
+    out = []
+    k = max(0, bisect_left(taken, (start, 0)) - 1)
+    while k < len(taken) and taken[k][0] < end:
+        if taken[k][0] > start:
+            out.append((start, taken[k][0]))
+        start = max(start, taken[k][1])
+        k += 1
+    return [*out, (start, end)] if start < end else out
+
+
 def identifiers_of(text: str) -> set[str]:
     """The identifiers around sensitive words that are no part of a candidate."""
     found: set[str] = set()
-    for first, last in windows(text):
-        start = first
-        while start and RUN.match(text, start - 1):  # a string that begins before the window is judged whole
-            start -= 1
-        for match in RUN.finditer(text, start):
-            if match.start() >= last:
-                break
-            if not is_candidate(match.group()):
-                found.update(IDENTIFIER.findall(text, max(first, match.start()), min(last, match.end())))
+    around, runs, near = near_runs(text)
+    plain = [runs[k] for k in near if not is_candidate(text[slice(*runs[k])])]
+    starts = [start for start, _ in plain]
+    for first, last in around:
+        k = max(0, bisect_right(starts, first) - 1)
+        while k < len(plain) and plain[k][0] < last:
+            found.update(IDENTIFIER.findall(text, max(first, plain[k][0]), max(first, min(last, plain[k][1]))))
+            k += 1
     return found
 
 
@@ -164,16 +204,22 @@ def occurrences(text: str, value: str, first: int, last: int) -> Iterator[tuple[
 
 
 def repeats(text: str, values: set[str]) -> Iterator[tuple[int, int]]:
-    """Places of any of the strings in one pass, but for those inside the place before."""
+    """Places of any of the strings in one pass, but for those inside the place before; they are found by their heads."""
     heads: dict[str, list[str]] = {}
     for value in sorted(values, key=len, reverse=True):
         heads.setdefault(value[:LEAST_CANDIDATE], []).append(value)
+    finder = ahocorasick.Automaton()
+    for head, own in heads.items():
+        finder.add_word(head, (len(head), own))
     done = 0
-    for at in range(len(text) - LEAST_CANDIDATE + 1) if values else ():
-        value = next((v for v in heads.get(text[at : at + LEAST_CANDIDATE], ()) if text.startswith(v, at)), "")
-        if at + len(value) > done and value:
-            done = at + len(value)
-            yield at, done
+    if heads:
+        finder.make_automaton()
+        for last, (size, own) in finder.iter(text):
+            at = last + 1 - size
+            value = next((v for v in own if at + len(v) > done and text.startswith(v, at)), "")
+            if value:
+                done = at + len(value)
+                yield at, done
 
 
 def without(text: str, first: int, last: int, values: list[str]) -> str:
@@ -208,19 +254,32 @@ class Novelty:
         return whole - len(self.compressor.compress(around))
 
 
+def is_novel(marginal: int, size: int) -> bool:
+    return marginal >= NOVEL_RATIO * size
+
+
 def all_spans(text: str, novelty: Novelty) -> list[tuple[str, int, int, str, int | None]]:
-    """(kind, start, end, value, marginal bytes) by start, then kind; novel ones where no base span overlaps. A string
-    found novel is reported wherever it stands in the text."""
+    """(kind, start, end, value, marginal bytes) by start, then kind. Of candidates that belong together one
+    novel makes all so. Of one that base spans cover in part the rest is judged; where a span of hexadecimal digits or an access key stands inside a novel string, its short ends are
+    reported too. A string found novel is reported wherever it stands in the text."""
     spans = [(kind, start, end, text[start:end], None) for kind, start, end in base_spans(text)]
     taken = merged([(start, end) for _, start, end, _, _ in spans])
+    open_ended = {x for kind, start, end, _, _ in spans if kind in ("hex", "access") for x in (start, end)}
     novel: dict[tuple[int, int], int] = {}
-    for start, end in candidates(text):
-        if not overlaps(taken, start, end):
-            marginal = novelty.marginal(text, start, end)
-            if marginal >= NOVEL_RATIO * (end - start):
-                novel[start, end] = marginal
+    for chain in candidates(text):
+        judged: dict[tuple[int, int], int] = {}
+        for start, end in chain:
+            pieces = outside(taken, start, end)
+            whole = novelty.marginal(text, start, end) if pieces else 0
+            for first, last in pieces:
+                if (first, last) == (start, end) or is_candidate(text[first:last]):
+                    judged[first, last] = whole if (first, last) == (start, end) else novelty.marginal(text, first, last)
+                elif is_novel(whole, end - start) and last - first < LEAST_CANDIDATE and open_ended & {first, last}:
+                    novel[first, last] = whole
+        if any(is_novel(marginal, last - first) for (first, last), marginal in judged.items()):
+            novel |= judged
     held = merged(list(novel))
-    for span in repeats(text, {text[slice(*span)] for span in novel}):
+    for span in repeats(text, {text[slice(*span)] for span in novel if span[1] - span[0] >= LEAST_CANDIDATE}):
         if not overlaps(taken, *span) and not overlaps(held, *span):
             novel[span] = novelty.marginal(text, *span)
     spans += [("novel", start, end, text[start:end], marginal) for (start, end), marginal in novel.items()]
@@ -230,8 +289,9 @@ def all_spans(text: str, novelty: Novelty) -> list[tuple[str, int, int, str, int
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans): all spans of each row by start, then kind; ``marginal_bytes`` only of novel ones.
 
-    Novel spans are added where no base span overlaps, at every occurrence of a novel string. A null or empty text has none; repeated rows and rows without
-    doc_id are scanned one by one; an empty table gives an empty result; other columns are not read.
+    Novel spans are added outside base spans, at every occurrence of a novel string. A null or empty text has none; the
+    time is linear in a text's length, long runs without a break included; repeated rows and rows without doc_id are
+    scanned one by one; an empty table gives an empty result; other columns are not read.
     """
     keyed = keyed_text(docs, id_col, text_col)
     words = identifiers(keyed)
