@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inciscope.llm.common import keyed_text, slices
+from inciscope.llm.shingles import run_hashes, same_runs
 
 NO_RANK = np.iinfo(np.int32).max
 #: Words of more parts are merged through a heap; rescanning the rank array would take quadratic time.
@@ -253,7 +254,7 @@ class Bpe:
         part_ends = np.cumsum([len(p) + 1 for p in parts])
         if not len(begins):
             return np.empty(0, np.int32), np.zeros(len(parts), np.int64)
-        _, first, which = np.unique(_word_hash(chars, begins, ends), return_index=True, return_inverse=True)
+        first, which = _distinct_words(chars, begins, ends)
         if len(joined) == len(data := joined.encode("utf-8")):
             byte_begin, byte_end = begins[first], ends[first]
         else:
@@ -291,20 +292,24 @@ def _string_table(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.frombuffer(b"".join(data), np.uint8), np.cumsum(counts) - counts, counts
 
 
-def _word_hash(chars: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word: code points times powers of an odd number, mixed."""
-    longest = int((ends - begins).max())
-    powers = np.cumprod(np.full(longest, 0x9E3779B97F4A7C15, dtype=np.uint64))
-    place = np.arange(len(chars)) - np.repeat(
-        np.concatenate([[0], begins]), np.diff(np.concatenate([[0], begins, [len(chars)]]))
-    )
-    value = chars.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)
-    value ^= value << np.uint64(23)
-    value *= powers[np.minimum(place, longest - 1)]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(value)])
-    mixed = sums[ends] - sums[begins]
-    mixed ^= mixed >> np.uint64(31)
-    return mixed * np.uint64(0xBF58476D1CE4E5B9)
+def _distinct_words(chars: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one word of each kind, and the kind of every word. Words are grouped by hash, and each is compared
+    with the one that stands for its group; those that differ from it are told apart by their letters."""
+    sizes = ends - begins
+    _, first, which = np.unique(run_hashes(chars, begins, sizes), return_index=True, return_inverse=True)
+    chosen = first[which]
+    other = np.flatnonzero(~same_runs(chars, begins, sizes, chars, begins[chosen], sizes[chosen]))
+    if len(other):
+        kinds: dict[bytes, int] = {}
+        more = []
+        for k in other.tolist():
+            word = chars[begins[k] : ends[k]].tobytes()
+            if word not in kinds:
+                kinds[word] = len(first) + len(more)
+                more.append(k)
+            which[k] = kinds[word]
+        first = np.concatenate([first, more])
+    return first, which
 
 
 def ragged(values: np.ndarray, offsets: np.ndarray, counts: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -382,7 +387,9 @@ DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 def round_trip_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode every text in one pass and return digests of both.
 
-    ``ids_sha256`` is of the decimal ids joined by one space, ``decoded_sha256`` of the decoded text.
+    ``ids_sha256`` is of the decimal ids joined by one space, ``decoded_sha256`` of the decoded text. A null or empty
+    text has no ids and the digests of empty text; repeated rows and null ids stay; an empty table gives an empty result;
+    other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

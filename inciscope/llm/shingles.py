@@ -97,8 +97,7 @@ def words(data: np.ndarray, borders: np.ndarray, mark_wide: bool = False) -> tup
     # up to the next word's first byte; the spaces there count nothing
     sizes = np.diff(np.append(begins, len(data)))
     place = np.arange(begins[0], len(data)) - np.repeat(begins, sizes)
-    powers = np.cumprod(np.full(int(sizes.max()), ODD, dtype=np.uint64))
-    value = np.where(inside[begins[0] :], BYTE_VALUES[data[begins[0] :]], np.uint64(0)) * powers[place]
+    value = mix(BYTE_VALUES[data[begins[0] :]] + place.astype(np.uint64) * ODD) * inside[begins[0] :]
     hashes = mix(np.add.reduceat(value, begins - begins[0]))
     if mark_wide:
         wide = np.maximum.reduceat(data[begins[0] :], begins - begins[0]) >= 0x80

@@ -102,3 +102,28 @@ def test_repeated_ids_and_an_empty_table(spark):
     pieces = packing.pack(docs, PATH).collect()
     assert sorted((str(p.doc_id), p.start, p.length) for p in pieces) == [("1", 0, 2), ("1", 0, 2), ("None", 0, 2)]
     assert packing.pack(docs.limit(0), PATH).collect() == []
+
+
+def thue_morse(power):
+    """Two words of 2**power letters that any polynomial hash modulo 2**64 takes for one."""
+    word = [bin(i).count("1") % 2 for i in range(1 << power)]
+    return "".join("ab"[b] for b in word), "".join("ba"[b] for b in word)
+
+
+@pytest.mark.parametrize("power", [10, 11, 12])
+def test_words_of_like_structure_keep_their_ids(spark, library, power):
+    first, second = thue_morse(power)
+    both = [first, second, f"{first} {second}", f"{second} é {first} {first}"]
+    found, ends = bpe.load(PATH).encode_texts(both)
+    for text, lo, hi in zip(both, [0, *ends[:-1]], ends):
+        assert found[lo:hi].tolist() == library.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(both)), "doc_id long, text string").coalesce(1)
+    want = {str(k): [*library.encode(t, add_special_tokens=False).ids, 2] for k, t in enumerate(both)}
+    check_pieces(packing.pack(docs, PATH).collect(), want, 4096)
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch, library):
+    """Were all hashes equal, letters would still decide."""
+    monkeypatch.setattr(bpe, "run_hashes", lambda data, begins, sizes: np.zeros(len(begins), np.uint64))
+    text = "the cat's hat and the dog's hat, the 12 hats"
+    assert bpe.load(PATH).encode_texts([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids

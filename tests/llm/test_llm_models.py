@@ -231,3 +231,16 @@ def test_search_of_little(spark):
     vectors = spark.createDataFrame([(100, [1.0]), (200, [-1.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, hamming.nearest(vectors, vectors).collect())) == [(100, 1, 100, 0), (100, 2, 200, 1), (200, 1, 200, 0), (200, 2, 100, 1)]
     assert hamming.nearest(vectors.limit(0), vectors.limit(0)).collect() == []
+
+
+def test_words_of_like_structure_count_apart(spark):
+    """Thue-Morse words collide under any polynomial hash modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    rows = [(k, a) for k in range(20)] + [(100, b)]
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 == 2]
+    trained = [r for r in rows if r not in held]
+    found = {r.doc_id: r for r in hmm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    known = {t for _, t in trained}
+    assert all(found[k].n_known == 1 + (t in known) and found[k].train_tokens == 2 * len(trained) for k, t in rows)
+    assert found[100].base_score < found[trained[0][0]].base_score

@@ -174,3 +174,13 @@ def test_index_finds_a_link_if_there_is_one():
         linked = {k for k, s in enumerate(sets) if nj.links(len(query), len(s), len(set(query) & set(s)))}
         found = index.search(len(query), query)
         assert found in linked if linked else found is None
+
+
+def test_words_of_like_structure_are_different_words(spark):
+    """Thue-Morse words collide under any polynomial hash modulo 2**64; here they share no shingle."""
+    for power in (10, 11, 12):
+        bits = [bin(i).count("1") % 2 for i in range(1 << power)]
+        a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+        rows = [(1, a), (2, b), (3, f"{a} x"), (4, f"{b} x"), (5, f"x {a} y z w v"), (6, f"x {b} y z w v"), (7, a)]
+        found = {r.doc_id: r.component_id for r in nj.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert found == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 1}
