@@ -14,6 +14,7 @@ from inciscope.operators.typing import recover_coordinates, to_typed
 from inciscope.operators.windows import share_by
 from inciscope.plans import silver
 from inciscope.session import materialise, scratch_path
+from inciscope.sources import tables
 from inciscope.sources.csv import export_csv, land_csv
 
 # Expressions valid in both engines.
@@ -177,6 +178,16 @@ def union_tagged(spark, sf_dir):
     return shaping.union_tagged(parts, "yr_range").select("id", "case_number", "date", "yr_range")
 
 
+def delete_from_table(spark, sf_dir):
+    """Typed records stored by district, the deleted places deleted from the stored table: the rows left, how many were
+    dropped, and how many files were rewritten."""
+    path = scratch_path(spark, "typed-table")
+    tables.write_table(typed(spark, sf_dir).select("crime_id", "community_area", "district"), path, ["district"])
+    done = tables.delete_rows(spark, path, silver.deleted_places())
+    counts = {"rows_dropped": F.lit(done.rows_dropped), "files_rewritten": F.lit(done.files_rewritten)}
+    return tables.read_table(spark, path).withColumns({name: n.cast("bigint") for name, n in counts.items()})
+
+
 def delete_where(spark, sf_dir):
     rows = shaping.delete_where(typed(spark, sf_dir), silver.deleted_places())
     return rows.select("crime_id", "district", "community_area")
@@ -306,6 +317,7 @@ QUERIES = {
     "union_tagged": union_tagged,
     "typed_records": lambda s, d: comparable(typed(s, d)),
     "delete_where": delete_where,
+    "delete_from_table": delete_from_table,
     "dedup_latest": lambda s, d: comparable(latest(s, d)),
     "duplicate_summary": lambda s, d: profiling.duplicate_summary(raw(s, d), "id", "_source_file"),
     "duplicate_histogram": lambda s, d: profiling.duplicate_histogram(
@@ -526,6 +538,10 @@ ORACLE = {
     "union_tagged": f"WITH {RAW} SELECT id, case_number, date, {BUCKET} AS yr_range FROM raw",
     "typed_records": f"WITH {RAW}, {TYPED} SELECT {_TEXT_TIME}, 'STEP4_TYPED' AS _silver_step FROM typed",
     "delete_where": f"WITH {RAW}, {TYPED}, {KEPT} SELECT crime_id, district, community_area FROM kept",
+    "delete_from_table": f"""WITH {RAW}, {TYPED}, {KEPT}, gone AS (SELECT district FROM typed
+        WHERE community_area = 0 OR TRY_CAST(district AS INTEGER) IN (13, 21))
+        SELECT crime_id, community_area, district, (SELECT count(*) FROM gone) AS rows_dropped,
+        (SELECT count(DISTINCT coalesce(district, 'none')) FROM gone) AS files_rewritten FROM kept""",
     "dedup_latest": f"WITH {RAW}, {TYPED}, {KEPT}, {LATEST} SELECT {_TEXT_TIME}, 'STEP4_TYPED' AS _silver_step FROM latest",
     "duplicate_summary": f"""WITH {RAW} SELECT _source_file, count(*) AS total_rows, count(DISTINCT id) AS distinct_ids,
         count(*) - count(DISTINCT id) AS duplicate_count, {sql_count('id IS NULL')} AS null_ids FROM raw GROUP BY 1""",

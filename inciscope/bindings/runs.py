@@ -48,7 +48,7 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_files(spark, [spec("a", "bronze/one"), spec("b", "bronze/one"), spec("a", "bronze/two")], root, "r2")
 
     folder = F.regexp_extract("path", r"/in/([a-d])/", 1)
-    files = read_table(spark, f"{root}/{logs.FILE_LOG}").select(
+    files = logs.read_log(spark, f"{root}/{logs.FILE_LOG}").select(
         F.lit("file").alias("kind"), "run_id", F.col("source_file_path").alias("path"), "target_table", "status", "row_count",
         (F.col("file_size_bytes") > 0).alias("has_size"), F.col("error_message").isNotNull().alias("has_error"),
     )
@@ -85,7 +85,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 
 
 def _history(spark: SparkSession, root: str) -> DataFrame:
-    history = logs.run_history(read_table(spark, f"{root}/{logs.RUN_LOG}"))
+    history = logs.run_history(logs.read_log(spark, f"{root}/{logs.RUN_LOG}"))
     complete = F.col("run_by").isNotNull() & F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()
     return history.select(
         F.lit("run").alias("kind"), F.col("run_id").alias("name"), F.col("status").alias("detail"),
@@ -96,7 +96,7 @@ def _history(spark: SparkSession, root: str) -> DataFrame:
 def silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps with their rows in, out and dropped, failures by reason, and the runs."""
     root, summary = _silver(spark, sf_dir)
-    steps = read_table(spark, f"{root}/{logs.STEP_LOG}").select(
+    steps = logs.read_log(spark, f"{root}/{logs.STEP_LOG}").select(
         F.lit("step").alias("kind"), F.col("target_table").alias("name"), F.col("step_name").alias("detail"), "rows_in",
         "rows_out", "rows_dropped",
         (F.col("source_table").isNotNull() & F.col("notes").isNotNull() & F.col("transform_ts").isNotNull()).alias("complete"),
@@ -120,7 +120,7 @@ def gold_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("object").alias("kind"), F.col("target_table").alias("name"), F.col("notes").alias("detail"), "rows_in", "rows_out",
         "rows_dropped", (F.col("log_ts").isNotNull() & (F.col("source_table") == "N/A")).alias("complete"),
     )
-    fact = read_table(spark, f"{root}/meta/gold_step_log").where("target_table = 'fact_crimes'").select(
+    fact = logs.read_log(spark, f"{root}/meta/gold_step_log").where("target_table = 'fact_crimes'").select(
         F.lit("step").alias("kind"), F.col("target_table").alias("name"), F.col("step_name").alias("detail"), "rows_in",
         "rows_out", "rows_dropped", F.col("notes").isNotNull().alias("complete"),
     )

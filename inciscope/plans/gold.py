@@ -118,7 +118,7 @@ def _build(spark: SparkSession, root: str, run_id: str, years: tuple[int, int] |
     }
     kinds = {name: "VIEW" if name.startswith("v_") else "TABLE" for name in published}
     counts = {a.target_table: a.rows_out for a in audits} | {v: a.rows_out for v, t in STORED_VIEWS.items() for a in audits if a.target_table == t}
-    write_table(logs.publication_log(published, run_id, kinds, counts), f"{root}/{logs.PUBLICATION_LOG}")
+    write_table(logs.publication_log(published, run_id, kinds, counts), f"{root}/{logs.PUBLICATION_LOG}", token=run_id)
     logs.log_steps(spark, root, run_id, audits, "meta/gold_step_log")
     run.processed = rows
     return published

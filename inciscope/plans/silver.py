@@ -14,7 +14,7 @@ from inciscope.operators.quality import Gate, gate_summary, incident_failures, i
 from inciscope.operators.shaping import dedup_latest, delete_where, keep_castable, select_as, union_tagged
 from inciscope.operators.typing import clean_dim, to_typed
 from inciscope.sources import logs
-from inciscope.sources.tables import read_table, replace_partitions, write_audited
+from inciscope.sources.tables import read_table, write_audited, write_table
 
 
 def clean_wards(raw: DataFrame) -> DataFrame:
@@ -123,7 +123,7 @@ def _build(spark, root, landings, dims, run_id, gates, run) -> DataFrame:
             "detected_at": F.current_timestamp(),
         }
     )
-    rejected = replace_partitions(failures, f"{root}/{logs.FAILURE_LOG}", ["run_id"])
+    rejected = write_table(failures, f"{root}/{logs.FAILURE_LOG}", ["run_id"], token=run_id)
 
     def conformed(rows: DataFrame) -> DataFrame:
         kept = delete_where(rows, deleted_places())

@@ -30,14 +30,24 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one inside the warehouse, which driver
-    and executors share as well."""
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one inside the warehouse. A warehouse on
+    the machine's own disk, which executors elsewhere do not share, is refused unless the master is local."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    scheme = jvm.org.apache.hadoop.fs.Path(warehouse).getFileSystem(settings).getUri().getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return warehouse + "/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/inciscope/{label}-{uuid.uuid4().hex}"
+    """A new folder for intermediate data; it goes with ``release`` or the end of ``scratch``."""
+    path = f"{scratch_root(spark)}/inciscope/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -47,7 +57,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     result is broadcast by Spark's own threshold and a big one is not.
     """
     path = scratch_path(df.sparkSession, label)
-    _written.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

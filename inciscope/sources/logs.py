@@ -1,7 +1,13 @@
-"""Append-only control logs; the state of a run is its latest row."""
+"""Control logs; the state of a run is its latest row.
+
+A row's token says what it records (a status of a run, the outcome of a file). An append of rows logged before takes the
+place of the first, so a replay adds nothing. Every ``MOST_APPENDS`` appends a log is rewritten as one generation, with
+the newest row of each token, so that it stays a bounded number of files.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -12,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inciscope.operators.shaping import dedup_latest
+from inciscope.sources.tables import compact, read_table, state, write_table
 
 RUN_LOG = "meta/etl_run_log"
 FILE_LOG = "meta/file_ingestion_log"
@@ -31,13 +38,42 @@ STEP_SCHEMA = (
     "run_id string, step_name string, source_table string, target_table string, rows_in bigint, rows_out bigint,"
     " rows_dropped bigint, notes string"
 )
+#: When a row was logged, by log.
+STAMPS = ("logged_at", "ingest_ts", "transform_ts")
 # Fixed values of a publication row.
 PUBLICATION_STEP, PUBLICATION_SOURCE = "GOLD_STEP9_FINAL_PUBLICATION", "N/A"
 PUBLICATION_NOTE = "Object Type: {kind} - Published and verified successfully."
 
 
-def _append(spark: SparkSession, rows: Iterable[tuple], schema: str, stamps: Mapping[str, Column], path: str) -> None:
-    spark.createDataFrame(list(rows), schema).withColumns(dict(stamps)).coalesce(1).write.mode("append").parquet(path)
+TOKEN = "_token"
+#: Appends after which a log is rewritten as one.
+MOST_APPENDS = 32
+
+
+def _newest(log: DataFrame) -> DataFrame:
+    """The newest row of each token."""
+    stamp = next(c for c in STAMPS if c in log.columns)
+    return dedup_latest(log, [TOKEN], [F.desc(stamp)])
+
+
+def _append(
+    spark: SparkSession, rows: Iterable[tuple], schema: str, stamps: Mapping[str, Column], path: str, key: Sequence[int]
+) -> None:
+    """Append rows; those at the places ``key`` make a row's token."""
+    marked = [(*row, "/".join(str(row[k]) for k in key)) for row in rows]
+    if not marked:
+        return
+    frame = spark.createDataFrame(marked, f"{schema}, {TOKEN} string").withColumns(dict(stamps)).coalesce(1)
+    token = hashlib.sha256("\n".join(row[-1] for row in marked).encode()).hexdigest()[:32]
+    write_table(frame, path, token=token)
+    if len(state(spark, path).live) > MOST_APPENDS:
+        compact(spark, path, lambda log: _newest(log).coalesce(1))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A log's rows, each recorded event once."""
+    log = read_table(spark, path)
+    return _newest(log).drop(TOKEN) if TOKEN in log.columns else log
 
 
 def log_run(
@@ -54,7 +90,7 @@ def log_run(
 ) -> None:
     row = (run_id, name, zone, script, status, processed, rejected, error)
     stamps = {"logged_at": F.current_timestamp(), "run_by": F.current_user()}
-    _append(spark, [row], RUN_SCHEMA, stamps, f"{root}/{RUN_LOG}")
+    _append(spark, [row], RUN_SCHEMA, stamps, f"{root}/{RUN_LOG}", key=(0, 1, 4))
 
 
 @dataclass
@@ -73,32 +109,33 @@ def logged_run(spark: SparkSession, root: str, run_id: str, name: str, zone: str
     try:
         yield counts
     except Exception as error:
-        message = (str(error) or type(error).__name__).splitlines()[0]
+        message = (str(error).strip() or type(error).__name__).splitlines()[0]
         log_run(spark, root, run_id, name, zone, "FAILED", counts.processed, counts.rejected, message, script)
         raise
     log_run(spark, root, run_id, name, zone, counts.status, counts.processed, counts.rejected, counts.error, script)
 
 
-def log_file(spark: SparkSession, root: str, run_id: str, outcome) -> None:
-    spec = outcome.spec
-    size, modified = outcome.version or (None, None)
-    row = (
-        run_id, spec.name, spec.path, spec.target, "BRONZE", outcome.row_count, size, modified, outcome.status, outcome.error,
-    )
-    _append(spark, [row], FILE_SCHEMA, {"ingest_ts": F.current_timestamp()}, f"{root}/{FILE_LOG}")
+def log_files(spark: SparkSession, root: str, run_id: str, outcomes: Iterable) -> None:
+    rows = []
+    for outcome in outcomes:
+        spec, (size, modified) = outcome.spec, outcome.version or (None, None)
+        rows.append(
+            (run_id, spec.name, spec.path, spec.target, "BRONZE", outcome.row_count, size, modified, outcome.status, outcome.error)
+        )
+    _append(spark, rows, FILE_SCHEMA, {"ingest_ts": F.current_timestamp()}, f"{root}/{FILE_LOG}", key=(0, 2, 3, 8))
 
 
 def log_steps(spark: SparkSession, root: str, run_id: str, audits: Iterable, log: str = STEP_LOG) -> None:
     rows = [
         (run_id, a.step_name, a.source_table, a.target_table, a.rows_in, a.rows_out, a.rows_dropped, a.notes) for a in audits
     ]
-    _append(spark, rows, STEP_SCHEMA, {"transform_ts": F.current_timestamp()}, f"{root}/{log}")
+    _append(spark, rows, STEP_SCHEMA, {"transform_ts": F.current_timestamp()}, f"{root}/{log}", key=(0, 1, 3))
 
 
 def loaded_versions(spark: SparkSession, root: str, paths: Sequence[str]) -> dict[tuple[str, str], tuple]:
     """(size, modification time) of the version last loaded, by path and target, for those of ``paths`` that were."""
     try:
-        log = spark.read.parquet(f"{root}/{FILE_LOG}")
+        log = read_log(spark, f"{root}/{FILE_LOG}")
     except AnalysisException:
         return {}
     done = log.filter((F.col("status") == "SUCCESS") & F.col("source_file_path").isin(*paths))

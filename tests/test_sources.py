@@ -6,7 +6,7 @@ from inciscope.bindings import raw as raw_binding
 from inciscope.plans.gold import build_gold
 from inciscope.plans.segments import segment
 from inciscope.plans.silver import build_silver
-from inciscope.session import materialise, scratch_path
+from inciscope.session import materialise, scratch, scratch_path, scratch_root
 from inciscope.sources import csv, logs, tables
 
 SF = "/root/testdata/sf0.001"
@@ -185,3 +185,28 @@ def test_csv_files_to_segments(spark, tmp_path):
     made = segment(features, "community_area_num", k=3, n_init=2)
     assert made.labelled.count() == features.count()
     assert made.profiles.agg(F.sum("size")).first()[0] == features.count()
+
+
+def test_scratch_folders_are_released_and_shared(spark, monkeypatch):
+    with scratch(spark):
+        path = scratch_path(spark, "made")
+        spark.range(3).write.parquet(path)
+        stored = materialise(spark.range(2), "kept")
+        assert stored.count() == 2 and spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+    class Conf:
+        def get(self, key, default=None):
+            return "file:/home/x/warehouse" if key == "spark.sql.warehouse.dir" else default
+
+    class Elsewhere:
+        conf = Conf()
+
+        class sparkContext:
+            _jvm, _jsc, master = spark.sparkContext._jvm, spark.sparkContext._jsc, "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Elsewhere())
+    Elsewhere.sparkContext.master = "local[4]"
+    assert scratch_root(Elsewhere()) == "file:/home/x/warehouse/scratch"
