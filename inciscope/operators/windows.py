@@ -6,12 +6,16 @@ The window operators run on aggregated rows (one per group), never on raw record
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inciscope.session import materialise
 
+#: Rows of a series that are averaged in one task.
+STRETCH_ROWS = 65_536
+
 
 def with_rank(df: DataFrame, by: Sequence[str], order_by: Sequence[Column], out: str) -> DataFrame:
     return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(*order_by)))
@@ -21,10 +25,34 @@ def with_dense_rank(df: DataFrame, by: Sequence[str], order_by: Sequence[Column]
     return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*by).orderBy(*order_by)))
 
 
+def with_position(df: DataFrame, order_by: Sequence[str], out: str) -> DataFrame:
+    """Number rows from 0 in the given order, NULLs first. Rows are range-partitioned and stored with their partition
+    number, and numbered within their partition; the sizes of the earlier ones are added."""
+    order = [F.col(c).asc_nulls_first() for c in order_by]
+    dealt = materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    sizes = sorted(dealt.groupBy("_part").agg(F.count(F.lit(1))).collect())  # one row per partition
+    begins = accumulate((n for _, n in sizes), initial=0)
+    rows = [(part, begin) for (part, _), begin in zip(sizes, begins)]
+    offsets = df.sparkSession.createDataFrame(rows, "_part int, _offset bigint")
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    numbered = dealt.withColumn("_local", local).join(F.broadcast(offsets), "_part")  # one row per partition
+    return numbered.withColumn(out, F.col("_local") + F.col("_offset")).select(*df.columns, out)
+
+
 def moving_average(df: DataFrame, order_by: Sequence[str], value: str, n: int, out: str, digits: int = 0) -> DataFrame:
-    """Average over the current and up to ``n - 1`` preceding rows of an aggregated series."""
-    frame = Window.orderBy(*order_by).rowsBetween(1 - n, Window.currentRow)
-    return df.withColumn(out, F.round(F.avg(value).over(frame), digits))
+    """Average over the current and up to ``n - 1`` preceding rows of a series.
+
+    Rows are numbered in order and cut into stretches of ``STRETCH_ROWS``; each lends its last ``n - 1`` rows to the next,
+    so a stretch is averaged on its own, however long the series.
+    """
+    size = max(STRETCH_ROWS, n - 1)
+    at = F.col("_position")
+    own = F.floor(at / size)
+    lent = F.when(F.pmod(at, F.lit(size)) > size - n, F.array(own, own + 1)).otherwise(F.array(own))
+    placed = with_position(df, order_by, "_position").withColumn("_stretch", F.explode(lent))
+    frame = Window.partitionBy("_stretch").orderBy("_position").rowsBetween(1 - n, Window.currentRow)
+    averaged = placed.withColumn(out, F.round(F.avg(value).over(frame), digits))
+    return averaged.where(F.col("_stretch") == own).drop("_position", "_stretch")
 
 
 def with_share(df: DataFrame, value: str, out: str, by: Sequence[str] = (), digits: int = 2) -> DataFrame:
