@@ -31,12 +31,14 @@ STATES = 8
 SYMBOLS, KNOWN_COUNTS = 8192, 65_536
 #: Baum-Welch ends with the first round that gains less than this share of the training texts' log likelihood.
 TOLERANCE = 1e-4
-#: Training cuts texts into stretches of so many tokens; scoring does not.
-TRAIN_TOKENS = 512
+#: Steps of all texts whose forward and backward values training holds at a time.
+SEGMENT = 512
 #: Tokens worked on together in training and in scoring.
 TRAIN_GROUP, SCORE_GROUP = 200_000, 2_000_000
 #: Numbers of a model that are summed as one row.
 BLOCK = 8192
+#: Partitions whose counts are added up before the last level.
+FAN = 256
 #: The end of a text; word hashes are even or odd by their letters, so this even one is as unlikely as any other.
 END = np.int64(-2)
 
@@ -191,38 +193,80 @@ def blank(vocab: Vocabulary, share: np.ndarray, states: int = STATES, seed: int
     return Hmm(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
-    """Expected starts, moves and emissions of some texts, and their likelihood, by the scaled forward and backward
-    recursions in single precision. The tokens of all texts lie step by step, the longest text first."""
-    texts = sorted(texts, key=len, reverse=True)
-    lengths = np.array([len(t) for t in texts])
-    width, states = len(texts), len(model.start)
-    active = width - np.cumsum(np.bincount(lengths))[:-1]  # texts longer than each step
+def _steps(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Tokens of pieces, the longest first, laid step by step; how many pieces have each step, and where steps begin."""
+    lengths = np.array([len(p) for p in pieces])
+    active = len(pieces) - np.cumsum(np.bincount(lengths))[:-1]
     ends = np.cumsum(active)
     place = np.arange(ends[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # step of each token
     symbols = np.empty(ends[-1], np.intp)
-    symbols[(ends - active)[place] + np.repeat(np.arange(width), lengths)] = np.concatenate(texts)
+    symbols[(ends - active)[place] + np.repeat(np.arange(len(pieces)), lengths)] = np.concatenate(pieces)
+    return symbols, active, [0, *ends.tolist()]
+
+
+def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
+    """Expected starts, moves and emissions of some texts, and their likelihood, by the scaled forward and backward
+    recursions in single precision, from each text's first token to its last.
+
+    Texts are worked on in segments of ``SEGMENT`` steps. A first pass leaves the forward state at every border; going
+    back, each segment's forward values are worked out again from there and meet the backward values of the next one. So
+    memory is bounded by the segment, and no move is lost at a border.
+    """
+    texts = sorted(texts, key=len, reverse=True)
+    states = len(model.start)
     start, move, emit = (np.ascontiguousarray(x, np.float32) for x in (model.start, model.move, model.emit))
     back, ones = np.ascontiguousarray(move.T), np.ones((states, states), np.float32)
-    given = emit.take(symbols, axis=0)
-    seen, scale = np.empty_like(given), np.empty_like(given)
-    at = [0, *ends.tolist()]
-    for a, b in zip(at, at[1:]):
-        forward = given[a:b] * (forward[: b - a] @ move if a else start)
-        forward = np.divide(forward, np.matmul(forward, ones, out=scale[a:b]), out=seen[a:b])
-    log = float(np.log10(scale[:, 0], dtype=float).sum())
-    given /= scale
-    backward = scale
-    backward.fill(1)
-    for t in range(len(active) - 1, 0, -1):
-        a, b = at[t], at[t + 1]
-        given[a:b] *= backward[a:b]
-        np.matmul(given[a:b], back, out=backward[at[t - 1] : at[t - 1] + b - a])
-    previous = np.arange(width, at[-1]) - np.repeat(active[:-1], active[1:])
-    moved = seen.take(previous, axis=0).T @ given[width:]
-    seen *= backward
-    emitted = np.stack([np.bincount(symbols, seen[:, k], len(emit)) for k in range(states)], axis=1)
-    return Counts(seen[:width].sum(axis=0, dtype=float), moved * model.move, emitted, log)
+    lengths = np.array([len(t) for t in texts])
+
+    def pieces(first: int) -> list[np.ndarray]:
+        return [t[first : first + SEGMENT] for t in texts[: int((lengths > first).sum())]]
+
+    def forward_of(given: np.ndarray, at: list[int], before: np.ndarray | None, seen: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        """The last step's states; ``seen`` and ``scale`` get those of all steps."""
+        forward = before
+        for a, b in zip(at, at[1:]):
+            forward = given[a:b] * (start if forward is None else forward[: b - a] @ move)
+            forward = np.divide(forward, np.matmul(forward, ones, out=scale[a:b]), out=seen[a:b])
+        return forward
+
+    firsts = range(0, int(lengths[0]), SEGMENT)
+    before: list[np.ndarray | None] = [None]
+    for first in firsts[:-1]:
+        symbols, _, at = _steps(pieces(first))
+        given = emit.take(symbols, axis=0)
+        last = forward_of(given, at, before[-1], np.empty_like(given), np.empty_like(given))
+        before.append(last[: int((lengths > first + SEGMENT).sum())].copy())
+
+    log, starts, moved = 0.0, np.zeros(states), np.zeros((states, states))
+    emitted = np.zeros((len(emit), states))
+    later: np.ndarray | None = None  # backward values that the next segment gives to this one's last step
+    for first, entry in zip(reversed(firsts), reversed(before)):
+        symbols, active, at = _steps(pieces(first))
+        given = emit.take(symbols, axis=0)
+        seen, scale = np.empty_like(given), np.empty_like(given)
+        forward_of(given, at, entry, seen, scale)
+        log += float(np.log10(scale[:, 0], dtype=float).sum())
+        given /= scale
+        backward = scale
+        backward.fill(1)
+        if later is not None:
+            backward[at[-2] : at[-2] + len(later)] = later
+        for t in range(len(active) - 1, 0, -1):
+            a, b = at[t], at[t + 1]
+            given[a:b] *= backward[a:b]
+            np.matmul(given[a:b], back, out=backward[at[t - 1] : at[t - 1] + b - a])
+        width = int(active[0])
+        given[:width] *= backward[:width]
+        previous = np.arange(width, at[-1]) - np.repeat(active[:-1], active[1:])
+        moved += seen.take(previous, axis=0).T @ given[width:]
+        if entry is not None:
+            moved += entry.T @ given[:width]
+            later = given[:width] @ back
+        seen *= backward
+        if entry is None:
+            starts += seen[:width].sum(axis=0, dtype=float)
+        emitted += np.stack([np.bincount(symbols, seen[:, k], len(emit)) for k in range(states)], axis=1)
+    return Counts(starts, moved * model.move, emitted, log)
 
 
 def add(a: Counts | None, b: Counts) -> Counts:
@@ -236,25 +280,23 @@ def estimate(counts: Counts, share: np.ndarray) -> Hmm:
     return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def stretches(texts: list[bytes], size: int = TRAIN_TOKENS) -> list[np.ndarray]:
-    found = [np.frombuffer(b, "<u2") for b in texts]
-    return [t[i : i + size] for t in found for i in range(0, len(t), size)]
-
-
 def grouped(texts: list[np.ndarray], limit: int) -> Iterator[list[np.ndarray]]:
+    """Texts of like length, of which one segment has about ``limit`` tokens."""
     texts = sorted(texts, key=len)
     lo = total = 0
     for k, t in enumerate(texts):
-        if total and total + len(t) > limit:
+        size = min(len(t), SEGMENT)
+        if total and total + size > limit:
             yield texts[lo:k]
             lo, total = k, 0
-        total += len(t)
+        total += size
     if texts[lo:]:
         yield texts[lo:]
 
 
 def baum_welch_round(training: DataFrame, model: Hmm) -> Counts | None:
-    """Counts of one round over all training texts; partial counts are summed by blocks of ``BLOCK`` numbers."""
+    """Counts of one round over all training texts; partial counts are summed by blocks of ``BLOCK`` numbers, those of
+    ``FAN`` partitions first."""
     shared = training.sparkSession.sparkContext.broadcast(model)  # states times symbols
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +304,7 @@ def baum_welch_round(training: DataFrame, model: Hmm) -> Counts | None:
 
         def work() -> Counts | None:
             done = total
-            for group in grouped(stretches(waiting), TRAIN_GROUP):
+            for group in grouped([np.frombuffer(b, "<u2") for b in waiting], TRAIN_GROUP):
                 done = add(done, expected_counts(shared.value, group))
             return done
 
@@ -287,8 +329,10 @@ def baum_welch_round(training: DataFrame, model: Hmm) -> Counts | None:
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
 
     kind = "block int, part binary"
-    partial = training.select("symbols").mapInArrow(run, kind)
-    rows = partial.repartition("block").mapInArrow(sums, kind).collect()
+    partial = training.select("symbols").mapInArrow(run, kind).withColumn("place", F.floor(F.spark_partition_id() / FAN))
+    level = partial.repartition("block", "place").select("block", "part").mapInArrow(sums, kind)
+    rows = level.repartition("block").mapInArrow(sums, kind).collect()
+    shared.destroy()
     if not rows:
         return None
     flat = np.concatenate([np.frombuffer(r["part"]) for r in sorted(rows)])

@@ -104,7 +104,7 @@ def word_rows():
     return rows + [(1, rows[1][1], "x"), (None, "the a", "x"), (None, None, "x"), (401, "", "x"), (402, "unseen " * 3000, "x"), (403, "A" * 100_000, "x")]
 
 
-@pytest.mark.parametrize("limits", [{}, {"SYMBOLS": 10, "KNOWN_COUNTS": 20, "SCORE_GROUP": 50, "TRAIN_GROUP": 100, "TRAIN_TOKENS": 16}])
+@pytest.mark.parametrize("limits", [{}, {"SYMBOLS": 10, "KNOWN_COUNTS": 20, "SCORE_GROUP": 50, "TRAIN_GROUP": 100, "SEGMENT": 16}])
 def test_counts_and_scores(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(hmm, name, value)
@@ -166,6 +166,41 @@ def test_expected_counts_are_those_of_all_paths():
     assert np.allclose(found.start, start) and np.allclose(found.move, move) and np.allclose(found.emit, emit)
 
 
+@pytest.mark.parametrize("segment", [1, 3, 512])
+def test_expected_counts_of_long_texts_are_not_cut(monkeypatch, segment):
+    """Against the plain recursions over whole texts, in double precision."""
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
+    rng = np.random.default_rng(4)
+    model = small_model(3, 5)
+    sizes = (5000, 1025, 1024, 512, 3, 1) if segment == 512 else (40, 40, 9, 3, 2, 1)
+    texts = [rng.integers(0, 5, n) for n in sizes]
+    start, move, emit, log = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)), 0.0
+    for t in texts:
+        forward = [model.start * model.emit[t[0]]]
+        log += np.log10(forward[0].sum())
+        forward[0] = forward[0] / forward[0].sum()
+        for s in t[1:]:
+            f = (forward[-1] @ model.move) * model.emit[s]
+            log += np.log10(f.sum())
+            forward.append(f / f.sum())
+        backward = [np.ones(3)]
+        for s in t[:0:-1]:
+            b = model.move @ (model.emit[s] * backward[-1])
+            backward.append(b / b.sum())
+        backward = backward[::-1]
+        for k, s in enumerate(t):
+            own = forward[k] * backward[k]
+            emit[s] += own / own.sum()
+            if k:
+                pair = forward[k - 1][:, None] * model.move * (model.emit[s] * backward[k])[None]
+                move += pair / pair.sum()
+        own = forward[0] * backward[0]
+        start += own / own.sum()
+    found = hmm.expected_counts(model, texts)
+    assert np.allclose(found.start, start, rtol=1e-4) and np.allclose(found.move, move, rtol=1e-3)
+    assert np.allclose(found.emit, emit, rtol=1e-3) and found.log == pytest.approx(log, rel=1e-5)
+
+
 def test_rounds_raise_the_likelihood_and_held_out_texts_gain(spark):
     rng = random.Random(2)
     topics = [[f"{t}{k}" for k in range(30)] for t in "abc"]
