@@ -26,7 +26,7 @@ from inciscope.llm.common import crc_mod, keyed_text, slices
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 #: The labelled rows that the model is fitted on: those of least hash, all if there are fewer.
-LABELLED_ROWS = 20_000
+LABELLED_ROWS = 40_000
 #: Rows of the vote table that the driver works on at a time.
 CHUNK_ROWS = 2048
 #: Mined voters: at most so many, each found in at least so many and so large a share of the toxic rows, and so many
@@ -168,10 +168,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fired = [model.fired(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(fired, pa.list_(pa.int32())), batch.column(1)], ["fired", "toxic"])
+            columns = [pa.array(fired, pa.list_(pa.int32())), batch.column(1), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["fired", "toxic", "place"])
 
-    # at most LABELLED_ROWS short rows, but for repeated documents of one id
-    rows = sample.select("text", "toxic").mapInArrow(vote, "fired array<int>, toxic int").limit(LABELLED_ROWS).collect()
+    # documents of one id may be many: those of least hash, whatever the order of the rows
+    voted = sample.select("text", "toxic", F.xxhash64("doc_id", "text").alias("place")).mapInArrow(
+        vote, "fired array<int>, toxic int, place long"
+    )
+    rows = voted.orderBy("place", "toxic").limit(LABELLED_ROWS).collect()
     given = np.array([r["toxic"] for r in rows], dtype=np.float64)
     if len(set(given)) < 2:
         return model
@@ -212,7 +216,11 @@ def score(
 def keep_clean(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not predicted toxic; the order of rows and partitions stays."""
+    """The rows of ``docs``, all columns, that are not predicted toxic; the order of rows and partitions stays.
+
+    A null text is judged as empty and stays null; repeated rows and null ids are judged one by one; an empty table stays
+    empty; columns of other names, whatever they are, go with their rows.
+    """
     model = fit(keyed_text(docs, id_col, text_col), labels, id_col, label_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
