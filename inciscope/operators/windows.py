@@ -42,17 +42,18 @@ def with_position(df: DataFrame, order_by: Sequence[str], out: str) -> DataFrame
 def moving_average(df: DataFrame, order_by: Sequence[str], value: str, n: int, out: str, digits: int = 0) -> DataFrame:
     """Average over the current and up to ``n - 1`` preceding rows of a series.
 
-    Rows are numbered in order and cut into stretches of ``STRETCH_ROWS``; each lends its last ``n - 1`` rows to the next,
-    so a stretch is averaged on its own, however long the series.
+    A stored series of up to ``STRETCH_ROWS`` rows is one stretch, averaged in one task. A longer one is numbered in order
+    and cut into such stretches; each lends its last ``n - 1`` rows to the next, so every stretch is averaged on its own.
     """
-    size = max(STRETCH_ROWS, n - 1)
+    size, series = max(STRETCH_ROWS, n - 1), materialise(df, "series")
+    average = F.round(F.avg(value).over(Window.partitionBy("_stretch").orderBy(*order_by).rowsBetween(1 - n, Window.currentRow)), digits)
+    if series.count() <= size:
+        return series.withColumn("_stretch", F.lit(0)).withColumn(out, average).drop("_stretch")
     at = F.col("_position")
     own = F.floor(at / size)
     lent = F.when(F.pmod(at, F.lit(size)) > size - n, F.array(own, own + 1)).otherwise(F.array(own))
-    placed = with_position(df, order_by, "_position").withColumn("_stretch", F.explode(lent))
-    frame = Window.partitionBy("_stretch").orderBy("_position").rowsBetween(1 - n, Window.currentRow)
-    averaged = placed.withColumn(out, F.round(F.avg(value).over(frame), digits))
-    return averaged.where(F.col("_stretch") == own).drop("_position", "_stretch")
+    placed = with_position(series, order_by, "_position").withColumn("_stretch", F.explode(lent))
+    return placed.withColumn(out, average).where(F.col("_stretch") == own).drop("_position", "_stretch")
 
 
 def with_share(df: DataFrame, value: str, out: str, by: Sequence[str] = (), digits: int = 2) -> DataFrame:
