@@ -21,8 +21,6 @@ from inciscope.llm.common import keyed_text, slices
 K, L, M = 8, 2, 64
 #: Hash values held at once.
 BLOCK = 1 << 21
-#: Documents of a range of keys that one stream of rows carries on from its predecessor.
-BLOCK_DOCS = 2000
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -113,15 +111,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return keyed_text(docs, id_col, text_col).mapInArrow(run, FINGERPRINTS)
 
 
-def with_successor(docs: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def with_successor(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """Rows sorted by descending doc_id within blocks of neighbouring ids, each block ending with its successor's first.
 
     Columns: block, look (1 for the row lent by the next block; after the last block, by the first), doc_id, text. Rows
-    without doc_id come last; rows of one doc_id are ordered by text. The block borders are quantiles of the ids, one for
-    every ``block_docs`` rows; texts are shuffled once.
+    without doc_id come last; rows of one doc_id are ordered by text. The block borders are quantiles of the ids, by
+    default for as many blocks as there are shuffle partitions, whatever the number of rows: a block's rows are streamed.
+    Texts are shuffled once, each block to a task of its own.
     """
-    n = docs.count()
-    blocks = max(1, -(-n // block_docs))
+    blocks = blocks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     borders = []
     if blocks > 1:
         shares = [i / blocks for i in range(1, blocks)]
@@ -165,7 +163,7 @@ def with_successor(docs: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
         return pd.Series(out)
 
     dealt = docs.select(F.explode(targets("doc_id")).alias("to"), "doc_id", "text").select("to.block", "to.look", "doc_id", "text")
-    return dealt.repartition("block").sortWithinPartitions(
+    return dealt.repartitionById(len(borders) + 2, F.col("block").cast("int")).sortWithinPartitions(
         "block", "look", F.col("doc_id").desc_nulls_last(), "text"
     )
 

@@ -74,11 +74,12 @@ def plain_rows(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_docs", [3, 2000])
-def test_next_documents_across_blocks(spark, monkeypatch, block_docs):
-    monkeypatch.setattr(fp.with_successor, "__defaults__", (block_docs,))
+@pytest.mark.parametrize("blocks", [1, 22, None])
+def test_next_documents_across_blocks(spark, monkeypatch, blocks):
+    monkeypatch.setattr(fp.with_successor, "__defaults__", (blocks,))
     rng = random.Random(9)
     rows = [(k * 7, "".join(rng.choice("ab cé") for _ in range(rng.randint(0, 90))), "x") for k in range(60)]
+    rows += [(700, "long \u00e9 " * 30_000, "x"), (701, "another " * 25_000, "x")]
     rows += [(14, rows[2][1], "x"), (21, None, "y"), (21, "other", "y"), (None, "no id", "z"), (None, None, "z"), (-5, "last \U0001f600", "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string").repartition(5)
     assert sorted(map(tuple, fp.edited_likeness(docs).collect()), key=str) == plain_rows(rows)
