@@ -5,8 +5,10 @@ index from value to codes. A query looks up all values within radius 0 of its ow
 radius r every code within ``segments * (r + 1) - 1`` bits has been seen, for one of its segments differs in at most r
 bits; so the search ends once the k-th distance found is no larger.
 
-Codes are dealt into blocks of bounded size, queries into chunks; each pair of them is searched on its own and the best k
-of all blocks are kept. Of equal codes only the k least ids can be answers, and equal queries are searched once.
+Codes are dealt into blocks of bounded size; each block's index is built once and the queries are streamed past it. Every
+query is first searched in one block only: no answer can be further away than the k-th found there, so the search of the
+other blocks ends at that distance and they return only what is within it. Of equal codes only the k least ids can be
+answers, and equal queries are searched once.
 """
 
 from __future__ import annotations
@@ -16,12 +18,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inciscope.session import materialise
+
 K = 10
 SEGMENT_BITS = 16
-BLOCK_CODES, CHUNK_QUERIES = 32_768, 4096
+BLOCK_CODES = 32_768
 
 
 def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -60,8 +64,8 @@ class MultiIndex:
         self.start = [np.concatenate([[0], np.cumsum(np.bincount(s, minlength=1 << SEGMENT_BITS))]) for s in segments]
         self.seen = np.full(len(codes), -1)
 
-    def search(self, number: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """The (distance, id) of the k nearest, ties by id. ``number`` tells this search from others."""
+    def search(self, number: int, query: np.ndarray, k: int, limit: int) -> list[tuple[int, int]]:
+        """The (distance, id) of the k nearest within ``limit``, ties by id. ``number`` tells this search from others."""
         segments = query.view("<u2").astype(np.int64)
         found_id, found = np.empty(0, np.int64), np.empty(0, np.int64)
         for radius in range(SEGMENT_BITS + 1):
@@ -77,11 +81,13 @@ class MultiIndex:
                 new = new[self.seen[new] != number]
                 self.seen[new] = number
                 distance = np.bitwise_count(self.words[new] ^ query).sum(axis=1, dtype=np.int64)
-                found, found_id = np.concatenate([found, distance]), np.concatenate([found_id, self.ids[new]])
+                near = distance <= limit
+                found, found_id = np.concatenate([found, distance[near]]), np.concatenate([found_id, self.ids[new[near]]])
             if len(found) > k:
                 best = np.lexsort((found_id, found))[:k]
                 found, found_id = found[best], found_id[best]
-            if len(found) >= min(k, len(self.ids)) and found.max(initial=0) <= len(segments) * (radius + 1) - 1:
+            covered = len(segments) * (radius + 1) - 1
+            if limit <= covered or (len(found) >= min(k, len(self.ids)) and found.max(initial=0) <= covered):
                 break
         best = np.lexsort((found_id, found))[:k]
         return list(zip(found[best].tolist(), found_id[best].tolist()))
@@ -104,42 +110,47 @@ def nearest(
     codes = codes.withColumn("place", place).where(F.col("place") <= k).drop("place")
     asked = sign_codes(queries, id_col, vector_col).distinct()
     n_codes, longest = codes.agg(F.count("*"), F.max(F.length("code"))).first()
-    n_asked, longest_asked = asked.agg(F.approx_count_distinct("code"), F.max(F.length("code"))).first()
+    longest_asked = asked.agg(F.max(F.length("code"))).first()[0]
     words = max(1, -(-max(longest or 0, longest_asked or 0) // 8))
-    blocks, chunks = max(1, -(-n_codes // BLOCK_CODES)), max(1, -(-n_asked // CHUNK_QUERIES))
+    blocks = max(1, -(-n_codes // BLOCK_CODES))
+    no_limit = 64 * words
 
-    def spread(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    def block(*of: str) -> Column:
+        return F.pmod(F.xxhash64(*of), F.lit(blocks)).cast("int")
 
-    indexed = codes.select(
-        F.pmod(F.xxhash64("id", "code"), F.lit(blocks)).cast("int").alias("block"), spread(chunks).alias("chunk"),
-        F.lit(0).alias("query"), "id", "code",
-    )
-    searched = asked.select("code").distinct().select(
-        spread(blocks).alias("block"), F.pmod(F.xxhash64("code"), F.lit(chunks)).cast("int").alias("chunk"),
-        F.lit(1).alias("query"), F.lit(None).cast("long").alias("id"), "code",
-    )
+    indexed = codes.select(block("id", "code").alias("block"), F.lit(0).alias("query"), "id", "code", F.lit(0).alias("limit"))
+    queries = asked.select("code").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, own, index, number = None, [], [], None, 0
         for batch in batches:
             out = []
-            for block, chunk, query, row_id, code in zip(*(c.to_pylist() for c in batch.columns)):
-                if (block, chunk) != key:
-                    key, ids, own, index = (block, chunk), [], [], None
+            for at, query, row_id, code, limit in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != key:
+                    key, ids, own, index = at, [], [], None
                 if not query:
                     ids.append(row_id)
                     own.append(code)
                 elif ids:
                     index = index or MultiIndex(ids, own, words)
                     number += 1
-                    out += [(code, d, i) for d, i in index.search(number, as_words([code], words)[0], k)]
+                    out += [(code, d, i) for d, i in index.search(number, as_words([code], words)[0], k, limit)]
             types = (pa.binary(), pa.int32(), pa.int64())
             columns = [pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types]
             yield pa.RecordBatch.from_arrays(columns, ["code", "distance", "id"])
 
-    dealt = indexed.union(searched).repartition("block", "chunk").sortWithinPartitions("block", "chunk", "query")
-    near = dealt.mapInArrow(run, "code binary, distance int, id long")
+    def searched(where: Column, limits: DataFrame) -> DataFrame:
+        sent = limits.select(where.alias("block"), F.lit(1).alias("query"), F.lit(None).cast("long").alias("id"), "code", "limit")
+        dealt = indexed.union(sent).repartition("block").sortWithinPartitions("block", "query")
+        return dealt.mapInArrow(run, "code binary, distance int, id long")
+
+    limits = queries.withColumn("limit", F.lit(no_limit))
+    if blocks > 1:
+        first = searched(block("code"), limits).groupBy("code").agg(F.count("*").alias("n"), F.max("distance").alias("kth"))
+        limit = F.when(F.col("n") >= k, F.col("kth")).otherwise(no_limit)
+        found = queries.join(first, "code", "left").select("code", F.coalesce(limit, F.lit(no_limit)).cast("int").alias("limit"))
+        limits = materialise(found, "hamming-limits")
+    near = searched(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), limits)
     rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "id"))
     best = near.withColumn("rank", rank).where(F.col("rank") <= k)
     named = asked.withColumnRenamed("id", "query_id").join(best, "code")
@@ -150,7 +161,7 @@ def oracle() -> str:
     """Every query against every row."""
     return f"""
         WITH codes AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS code
+            SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 AND NOT isnan(x) THEN 1 ELSE 0 END) AS code
             FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
         pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id,

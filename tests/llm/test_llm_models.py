@@ -240,7 +240,6 @@ def test_rounds_over_all_texts_go_on_until_nothing_is_gained(spark):
 @pytest.mark.parametrize("width", [64, 20, 130])
 def test_nearest_as_brute_force(spark, monkeypatch, width):
     monkeypatch.setattr(hamming, "BLOCK_CODES", 50)
-    monkeypatch.setattr(hamming, "CHUNK_QUERIES", 7)
     rng = np.random.default_rng(width)
     centres = rng.normal(size=(4, width))
     rows = [(k, (centres[k % 4] + rng.normal(size=width) * rng.choice([0.1, 1])).tolist(), 1) for k in range(230)]
