@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from inciscope.operators import joins, profiling, quality, shaping
 from inciscope.operators.typing import recover_coordinates, to_typed
 from inciscope.operators.windows import share_by
 from inciscope.plans import silver
-from inciscope.session import materialise, scratch_path
+from inciscope.session import materialise, scratch_path, side_by_side
 from inciscope.sources import tables
 from inciscope.sources.csv import export_csv, land_csv
 
@@ -125,7 +127,7 @@ def latest(spark, sf_dir) -> DataFrame:
 
 def conformed(spark, sf_dir) -> DataFrame:
     """The cleaned dimensions are stored first, so that the planner joins them by their own size."""
-    stored = [materialise(d, "dim") for d in dims(spark, sf_dir)]
+    stored = side_by_side(spark, [partial(materialise, d, "dim") for d in dims(spark, sf_dir)])
     return silver.conform_incidents(latest(spark, sf_dir), *stored)
 
 

@@ -80,7 +80,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     ingest_files(spark, specs, root, "bronze-1")
     landings = {tag: f"{root}/bronze/incidents_{tag}" for tag in raw.SOURCES}
     gates = quality.incident_gates(F.lit(raw.NOW).cast("timestamp"), raw.YEARS)
-    summary = build_silver(spark, root, landings, tuple(f"{root}/{t}" for t in BOUNDARIES), "silver-1", gates)
+    summary = build_silver(spark, root, landings, tuple(f"{root}/{t}" for t in BOUNDARIES), "silver-1", gates, purge=True)
     return root, summary
 
 
@@ -165,7 +165,8 @@ _STEPS = [
     _step("dim_wards", "STEP3_CLEAN_DIMS", _n("wards_raw"), _n("wards")),
     _step("dim_community_areas", "STEP3_CLEAN_DIMS", _n("areas_raw"), _n("areas")),
     _step("crimes_typed", "STEP4_TYPE_CAST_STANDARDISE", _n("raw"), _n("typed")),
-    _step("crimes_conformed", "STEP7_DIMENSION_JOIN", _n("typed"), _n("latest")),
+    _step("crimes_typed", "STEP5_GEOGRAPHY_FILTER_DELETE", _n("typed"), _n("kept")),
+    _step("crimes_conformed", "STEP7_DIMENSION_JOIN", _n("kept"), _n("latest")),
 ]
 _GATES = _row("gate", "reason_code", "NULL", "NULL", "count(*)", "NULL", "NULL") + """ FROM failures
     WHERE reason_code <> 'NULL_CRIME_ID' GROUP BY reason_code"""

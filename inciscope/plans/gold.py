@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inciscope.operators import dims, views
 from inciscope.operators.features import entity_features, group_year_features
-from inciscope.session import materialise
+from inciscope.session import materialise, side_by_side
 from inciscope.sources import logs
 from inciscope.sources.tables import AuditRow, read_table, replace_table, write_table
 
@@ -30,22 +31,22 @@ class Star:
 
 
 def star(conformed: DataFrame, store: Callable[[DataFrame, str], DataFrame] = materialise, **type_rules) -> Star:
-    """Build the dimensions, store them, and join the fact to the stored copies.
+    """Build the dimensions, store them side by side, and join the fact to the stored copies.
 
     Stored dimensions have a known file size, so the fact joins them by broadcast while they are small and the
     fact itself is shuffled only if they are not.
     """
-    kinds = store(dims.build_dim_type(conformed, **type_rules), "dim_crime_type")
-    places = store(dims.build_dim_location(conformed), "dim_location")
-    place_types = store(dims.build_dim_location_type(conformed), "dim_location_type")
-    return Star(
-        dim_date=store(dims.build_dim_date(conformed, "incident_datetime"), "dim_date"),
-        dim_crime_type=kinds,
-        dim_location=places,
-        dim_shift=store(dims.build_dim_shift(conformed.sparkSession), "dim_shift"),
-        dim_location_type=place_types,
-        fact=dims.build_fact(conformed, kinds, places, place_types),
-    )
+    frames = {
+        "dim_crime_type": dims.build_dim_type(conformed, **type_rules),
+        "dim_location": dims.build_dim_location(conformed),
+        "dim_location_type": dims.build_dim_location_type(conformed),
+        "dim_date": dims.build_dim_date(conformed, "incident_datetime"),
+        "dim_shift": dims.build_dim_shift(conformed.sparkSession),
+    }
+    stored = side_by_side(conformed.sparkSession, [partial(store, df, name) for name, df in frames.items()])
+    built = dict(zip(frames, stored))
+    fact = dims.build_fact(conformed, built["dim_crime_type"], built["dim_location"], built["dim_location_type"])
+    return Star(**built, fact=fact)
 
 
 def all_views(built: Star, years: tuple[int, int]) -> dict[str, DataFrame]:

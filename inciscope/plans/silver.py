@@ -14,7 +14,7 @@ from inciscope.operators.quality import Gate, gate_summary, incident_failures, i
 from inciscope.operators.shaping import dedup_latest, delete_where, keep_castable, select_as, union_tagged
 from inciscope.operators.typing import clean_dim, to_typed
 from inciscope.sources import logs
-from inciscope.sources.tables import read_table, write_audited, write_table
+from inciscope.sources.tables import AuditRow, delete_rows, read_table, write_audited, write_table
 
 
 def clean_wards(raw: DataFrame) -> DataFrame:
@@ -73,22 +73,26 @@ def build_silver(
     dims: tuple[str, str, str],
     run_id: str,
     gates: Sequence[Gate] | None = None,
+    purge: bool = False,
 ) -> DataFrame:
     """Run the layer from stored landings; returns the gate summary.
 
     ``landings`` maps a tag to each fact landing path, ``dims`` are the district, ward and area landing paths.
     Typed and conformed records are the only fact tables stored; everything between them is one lazy chain. Typed
     records are written without a shuffle. Running again under the same ``run_id`` replaces that run's failures.
+
+    The deleted places are left out of the conformed records. With ``purge`` they are also deleted from the stored typed
+    records, after the gates have seen them; that rewrites the files that hold any.
     """
     with logs.logged_run(spark, root, run_id, "silver_transform", "SILVER", "plans/silver.py") as run:
-        return _build(spark, root, landings, dims, run_id, gates, run)
+        return _build(spark, root, landings, dims, run_id, gates, purge, run)
 
 
 def _table(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _build(spark, root, landings, dims, run_id, gates, run) -> DataFrame:
+def _build(spark, root, landings, dims, run_id, gates, purge, run) -> DataFrame:
     cleaners = zip(("dim_districts", "dim_wards", "dim_community_areas"), dims, (clean_districts, clean_wards, clean_areas))
     audits = [
         write_audited(
@@ -112,7 +116,7 @@ def _build(spark, root, landings, dims, run_id, gates, run) -> DataFrame:
             notes="rows without an integer id dropped, columns typed and standardised",
         )
     )
-    typed = read_table(spark, f"{root}/silver/crimes_typed")
+    typed, n_typed = read_table(spark, f"{root}/silver/crimes_typed"), audits[-1].rows_out
 
     failures = incident_failures(typed, districts, gates or incident_gates()).withColumns(
         {
@@ -125,6 +129,12 @@ def _build(spark, root, landings, dims, run_id, gates, run) -> DataFrame:
     )
     rejected = write_table(failures, f"{root}/{logs.FAILURE_LOG}", ["run_id"], token=run_id)
 
+    if purge:
+        done = delete_rows(spark, f"{root}/silver/crimes_typed", deleted_places())
+        notes = f"rows of deleted places deleted; {done.files_rewritten} of {done.files} files rewritten"
+        audits.append(AuditRow("STEP5_GEOGRAPHY_FILTER_DELETE", "crimes_typed", done.rows_in, done.rows_out, "crimes_typed", notes))
+        typed = read_table(spark, f"{root}/silver/crimes_typed")
+
     def conformed(rows: DataFrame) -> DataFrame:
         kept = delete_where(rows, deleted_places())
         newest = [F.desc("_ingest_ts"), F.desc("source_year_range")]
@@ -136,4 +146,4 @@ def _build(spark, root, landings, dims, run_id, gates, run) -> DataFrame:
     logs.log_steps(spark, root, run_id, audits)
     run.processed, run.rejected = audits[-1].rows_out, rejected
     logged = read_table(spark, f"{root}/{logs.FAILURE_LOG}").filter(F.col("run_id") == run_id)
-    return gate_summary(logged, audits[-2].rows_out)
+    return gate_summary(logged, n_typed)

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+#: Independent jobs that run together.
+PARALLEL_JOBS = 8
+
 # Runtime-changeable SQL settings the operators are designed for.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,6 +68,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """Results of independent jobs, in order, run together: small ones mostly wait for the scheduler."""
+    run = inheritable_thread_target(spark)(lambda job: job())
+    with ThreadPoolExecutor(max(1, min(len(jobs), PARALLEL_JOBS))) as pool:
+        return list(pool.map(run, jobs))
+
+
 def release(spark: SparkSession, since: int = 0) -> None:
     """Delete the stored copies made since the ``since``-th; nothing may read them any more."""
     jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
