@@ -278,3 +278,72 @@ def test_words_of_like_structure_count_apart(spark):
     known = {t for _, t in trained}
     assert all(found[k].n_known == 1 + (t in known) and found[k].train_tokens == 2 * len(trained) for k, t in rows)
     assert found[100].base_score < found[trained[0][0]].base_score
+
+
+def plain_label_model(votes, given, rounds):
+    """The label model row by row and voter by voter."""
+    n, m = len(votes), len(votes[0])
+    posterior = [0.9 if g == 1 else 0.1 for g in given]
+    for _ in range(rounds):
+        toxic, clean = sum(posterior), sum(1 - p for p in posterior)
+        prior = min(max(toxic / n, 1e-3), 1 - 1e-3)
+        on_toxic = [(sum(p * v[j] for p, v in zip(posterior, votes)) + 0.5) / (toxic + 1) for j in range(m)]
+        on_clean = [(sum((1 - p) * v[j] for p, v in zip(posterior, votes)) + 0.05) / (clean + 1) for j in range(m)]
+        right = [
+            sum(p * g for p, g in zip(posterior, given)) / max(toxic, 1),
+            1 - sum((1 - p) * g for p, g in zip(posterior, given)) / max(clean, 1),
+        ]
+        right = [min(max(r, 0.9), 0.999) for r in right]
+        rest = [[v[j] - (p * on_toxic[j] + (1 - p) * on_clean[j]) for j in range(m)] for p, v in zip(posterior, votes)]
+        products = [[sum(r[i] * r[j] for r in rest) for j in range(m)] for i in range(m)]
+        spread = [math.sqrt(products[j][j]) + 1e-9 for j in range(m)]
+        weight = []
+        for i in range(m):
+            alike = [abs(products[i][j] / spread[i] / spread[j]) for j in range(m) if j != i]
+            weight.append(1 / (1 + sum(a for a in alike if a > 0.1)))
+        new = []
+        for v, g in zip(votes, given):
+            z = math.log(prior / (1 - prior))
+            for j in range(m):
+                if v[j]:
+                    z += weight[j] * (math.log(on_toxic[j]) - math.log(on_clean[j]))
+                else:
+                    z += weight[j] * (math.log1p(-min(on_toxic[j], 0.999)) - math.log1p(-min(on_clean[j], 0.999)))
+            z += math.log(right[0] / (1 - right[1])) if g == 1 else math.log((1 - right[0]) / right[1])
+            new.append(1 / (1 + math.exp(-min(max(z, -30), 30))))
+        posterior = new
+    return posterior
+
+
+def test_label_model_against_plain_loops(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK_ROWS", 7)
+    rng = random.Random(12)
+    truth = [int(rng.random() < 0.3) for _ in range(60)]
+    votes = [[int(rng.random() < (0.7 if t else 0.1)) for _ in range(4)] for t in truth]
+    votes = [[*v, v[0]] for v in votes]  # a voter that repeats another
+    given = [t if rng.random() < 0.9 else 1 - t for t in truth]
+    for rounds in (1, 3, 10):
+        found = toxicity.label_model(np.array(votes, dtype=np.float64), np.array(given, dtype=np.float64), rounds)
+        assert np.allclose(found, plain_label_model(votes, given, rounds), atol=1e-9)
+
+
+def test_scores_are_those_of_the_fitted_model(spark):
+    """Every text by plain search for each word and pattern, with the weights that the fit gives."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(30)]
+    rows = []
+    for k in range(300):
+        toxic = k % 3 == 0
+        own = rng.choices(words, k=12) + (rng.choices(["grubl", "snorf", "Idiot,"], k=3) if toxic else [])
+        rows.append((k, " ".join(own) + ("!!!" if toxic and k % 2 else "."), int(toxic)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows] + [(900, None), (None, "you idiot!!!")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, x) for k, _, x in rows], "doc_id long, toxic int")
+    model = toxicity.fit(toxicity.keyed_text(docs), labels)
+    assert {"grubl", "snorf", "idiot"} <= set(model.words)
+    for r, text in zip(toxicity.score(docs, labels).collect(), [t for _, t, _ in rows] + ["", "you idiot!!!"]):
+        bare = [w.strip(toxicity.STRIPPED) for w in text.lower().split()]
+        fired = [i for w, i in model.words.items() if w in bare]
+        fired += [len(model.words) + k for k, p in enumerate(toxicity.PATTERNS.values()) if p.search(text)]
+        z = model.bias + sum(model.weights[i] for i in fired) + model.weights[-1] * math.log(1 + len(fired))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12) and r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (zlib.crc32(str(r.doc_id if r.doc_id is not None else "").encode()) % 5 == 0)
