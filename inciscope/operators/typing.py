@@ -21,6 +21,26 @@ from inciscope.functions.text import (
 from inciscope.operators.shaping import keep_castable
 
 
+def final_coordinates() -> dict[str, Column]:
+    """What follows from the numeric and the recovered coordinates."""
+    return {
+        "lat_final": F.coalesce("latitude", "lat_recovered"),
+        "lon_final": F.coalesce("longitude", "lon_recovered"),
+        "coord_source": F.when(F.col("latitude").isNotNull(), "DIRECT")
+        .when(F.col("lat_recovered").isNotNull(), "RECOVERED_FROM_STR")
+        .otherwise("NULL"),
+    }
+
+
+def incident_parts() -> dict[str, Column]:
+    return {f"incident_{name}": part for name, part in date_parts(F.col("incident_datetime")).items()}
+
+
+def derived_columns() -> dict[str, Column]:
+    """Columns of a typed record that follow from columns before them, so that they need not be moved with it."""
+    return incident_parts() | final_coordinates()
+
+
 def recover_coordinates(df: DataFrame, lat: str, lon: str, text: str) -> DataFrame:
     """Numeric coordinates, falling back to the "(lat, lon)" text, with a label for where they came from.
 
@@ -33,15 +53,7 @@ def recover_coordinates(df: DataFrame, lat: str, lon: str, text: str) -> DataFra
             "lat_recovered": latitude_from_text(F.col(text)),
             "lon_recovered": longitude_from_text(F.col(text)),
         }
-    ).withColumns(
-        {
-            "lat_final": F.coalesce("latitude", "lat_recovered"),
-            "lon_final": F.coalesce("longitude", "lon_recovered"),
-            "coord_source": F.when(F.col("latitude").isNotNull(), "DIRECT")
-            .when(F.col("lat_recovered").isNotNull(), "RECOVERED_FROM_STR")
-            .otherwise("NULL"),
-        }
-    )
+    ).withColumns(final_coordinates())
 
 
 def to_typed(
@@ -58,7 +70,6 @@ def to_typed(
     parsed = recover_coordinates(df, "latitude", "longitude", "location").withColumn(
         "incident_datetime", parse_timestamp(F.col("date"), formats)
     )
-    parts = {f"incident_{name}": part for name, part in date_parts(F.col("incident_datetime")).items()}
     upper = {
         name: standardise(F.col(source))
         for name, source in [
@@ -74,7 +85,7 @@ def to_typed(
         "crime_id": cast_or_null(F.trim(F.col("id")), "bigint"),
         "case_number": F.trim(F.col("case_number")),
         "incident_datetime": F.col("incident_datetime"),
-        **parts,
+        **incident_parts(),
         **upper,
         "is_arrest": parse_flag(F.col("arrest")),
         "is_domestic": parse_flag(F.col("domestic")),

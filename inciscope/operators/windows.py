@@ -97,8 +97,10 @@ def assign_surrogate_key(df: DataFrame, order_by: Sequence[str], out: str) -> Da
 
     Rows are range-partitioned by the ordering columns and stored with their partition number. Ranks are taken within
     each partition and shifted by the sizes of the earlier ones, so a task holds one partition's rows and only one row
-    per partition meets in a single task, whatever prefix or leading value the keys share.
+    per partition meets in a single task, whatever prefix or leading value the keys share. Rows are stored before, since
+    range partitioning works them out twice.
     """
+    df = materialise(df, "unranked")
     order = [F.col(c).asc_nulls_first() for c in order_by]
     dealt = materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked")
     ranked = dealt.withColumn("_local", F.dense_rank().over(Window.partitionBy("_part").orderBy(*order)))

@@ -12,7 +12,7 @@ from inciscope.functions.text import standardise
 from inciscope.operators.joins import DimSpec, conform
 from inciscope.operators.quality import Gate, gate_summary, incident_failures, incident_gates
 from inciscope.operators.shaping import dedup_latest, delete_where, keep_castable, select_as, union_tagged
-from inciscope.operators.typing import clean_dim, to_typed
+from inciscope.operators.typing import clean_dim, derived_columns, to_typed
 from inciscope.sources import logs
 from inciscope.sources.tables import AuditRow, delete_rows, read_table, write_audited, write_table
 
@@ -39,8 +39,14 @@ def deleted_places() -> Column:
 
 
 def latest_incidents(typed: DataFrame, order_by: Sequence[Column]) -> DataFrame:
-    """One row per incident id among rows with a time."""
-    return dedup_latest(typed.dropna(subset=["incident_datetime"]), ["crime_id"], order_by)
+    """One row per incident id among rows with a time.
+
+    Columns that follow from others are worked out again after the shuffle rather than sorted and moved: they come after
+    the columns they follow from, so the order of ties is the same without them.
+    """
+    derived = derived_columns()
+    narrow = typed.dropna(subset=["incident_datetime"]).drop(*derived)
+    return dedup_latest(narrow, ["crime_id"], order_by).withColumns(derived).select(*typed.columns)
 
 
 def conform_incidents(deduped: DataFrame, districts: DataFrame, wards: DataFrame, areas: DataFrame) -> DataFrame:

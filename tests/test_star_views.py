@@ -3,9 +3,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from inciscope import config
-from inciscope.operators import dims, features, views
-from inciscope.plans import gold
+from inciscope import config, session
+from inciscope.bindings import raw
+from inciscope.bindings import star as star_bindings
+from inciscope.operators import dims, features, shaping, views, windows
+from inciscope.plans import gold, silver
+
+SMOKE_DIR = "/root/testdata/sf0.001"
 
 CONFORMED = (
     "crime_id long, case_number string, incident_datetime timestamp, incident_year int, incident_month int,"
@@ -181,3 +185,38 @@ def test_views_with_one_group_holding_a_third_of_the_rows(spark):
 def test_first_list_decides_for_overlapping_codes():
     assert len(config.OFFENCE_CODES) == 24
     assert "ROBBERY" in config.CATEGORY_RULES[0][1] and "ROBBERY" in config.CATEGORY_RULES[1][1]
+
+
+def test_latest_incidents_moves_no_derived_columns(spark):
+    """What follows from other columns is worked out after the shuffle, and is as it was typed."""
+    typed = raw.typed(spark, SMOKE_DIR)
+    newest = [F.desc("_ingest_seq"), F.desc("source_year_range")]
+    found = silver.latest_incidents(typed, newest)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window [") :].splitlines()[0]
+    assert not any(name in window for name in ("incident_year", "lat_final", "coord_source"))
+    plain = shaping.dedup_latest(typed.dropna(subset=["incident_datetime"]), ["crime_id"], newest)
+    assert found.columns == plain.columns
+    names = [c for c in plain.columns if c != "_transform_ts"]
+    assert found.select(names).exceptAll(plain.select(names)).isEmpty() and found.count() == plain.count()
+
+
+def test_surrogate_keys_work_their_rows_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(500).mapInArrow(watched, "id bigint")
+    keyed = windows.assign_surrogate_key(rows, ["id"], "key")
+    assert keyed.filter("key = id + 1").count() == 500
+    assert seen.value == 500
+
+
+def test_raw_dimensions_and_views_store_no_fact(spark):
+    begun = len(session._written)
+    star_bindings.QUERIES["raw_dim_type"](spark, SMOKE_DIR)
+    star_bindings.QUERIES["raw_kpi_summary"](spark, SMOKE_DIR)
+    assert not any("/fact-" in path for path in session._written[begun:])
