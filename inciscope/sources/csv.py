@@ -19,6 +19,8 @@ from inciscope.sources import logs, tables
 
 CORRUPT = "_corrupt_record"
 FILE_KEY = "_file_key"
+#: Bytes of text that a landed Parquet file is made of, at most as many files as cores being smaller.
+LANDED_BYTES = 128 << 20
 #: Files landed side by side, and files that become visible and are logged together.
 PARALLEL_FILES, BATCH_FILES = 8, 64
 LINEAGE = ["_source_file", "_source_path", "_ingest_ts", "_bronze_table"]
@@ -125,6 +127,8 @@ def _land_one(
         if version == loaded:
             return FileOutcome(spec, "SKIPPED", version=version), None
         rows = land_csv(spark, spec.path, spec.headers, spec.target, at).withColumn(FILE_KEY, F.lit(spec.key))
+        # Scans are split for wide sorts; a task that only lands text takes several splits, so that no small files are left.
+        rows = rows.coalesce(max(spark.sparkContext.defaultParallelism, -(-(version[0] or 0) // LANDED_BYTES)))
         staged = tables.stage(rows, f"{root}/{spec.target}", token=spec.key)
         return FileOutcome(spec, "SUCCESS", staged.rows, version=version), staged
     except (PySparkException, Py4JJavaError, ValueError, OSError) as error:

@@ -210,3 +210,23 @@ def test_scratch_folders_are_released_and_shared(spark, monkeypatch):
         scratch_root(Elsewhere())
     Elsewhere.sparkContext.master = "local[4]"
     assert scratch_root(Elsewhere()) == "file:/home/x/warehouse/scratch"
+
+
+def test_landed_files_do_not_follow_the_scan_splits(spark, tmp_path):
+    """A text scanned in many small splits lands in no more files than there are cores."""
+    from inciscope.sources.csv import FileSpec, ingest_files
+    from inciscope.sources.tables import read_table
+
+    text = tmp_path / "in.csv"
+    text.write_text("a\n" + "".join(f"{i}\n" for i in range(40_000)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in before:
+            spark.conf.set(key, "4k")
+        ingest_files(spark, [FileSpec(str(text), "bronze/many", {"a": "a"})], str(tmp_path / "lake"), "many-1")
+        landed = read_table(spark, f"{tmp_path}/lake/bronze/many")
+        assert len(landed.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert landed.count() == 40_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
