@@ -88,7 +88,8 @@ def build_silver(
     records are written without a shuffle. Running again under the same ``run_id`` replaces that run's failures.
 
     The deleted places are left out of the conformed records. With ``purge`` they are also deleted from the stored typed
-    records, after the gates have seen them; that rewrites the files that hold any.
+    records, after the gates have seen them. Such rows are written to files of their own, so the delete drops these files
+    and rewrites none.
     """
     with logs.logged_run(spark, root, run_id, "silver_transform", "SILVER", "plans/silver.py") as run:
         return _build(spark, root, landings, dims, run_id, gates, purge, run)
@@ -120,6 +121,7 @@ def _build(spark, root, landings, dims, run_id, gates, purge, run) -> DataFrame:
             "STEP4_TYPE_CAST_STANDARDISE",
             source_table=", ".join(map(_table, landings.values())),
             notes="rows without an integer id dropped, columns typed and standardised",
+            apart=deleted_places() if purge else None,
         )
     )
     typed, n_typed = read_table(spark, f"{root}/silver/crimes_typed"), audits[-1].rows_out

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-MANIFESTS, GENERATION = "_manifests", "_gen"
+MANIFESTS, GENERATION, APART = "_manifests", "_gen", "_apart"
 #: Earlier states whose files are left for readers that still use them.
 KEPT = 1
 #: Appends after which older states are deleted.
@@ -161,7 +161,10 @@ def _read(spark: SparkSession, path: str, now: State, paths: Sequence[str] | Non
     paths = _paths(spark, path, now) if paths is None else paths
     if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+    reader = spark.read.schema(schema)
+    if now.partition_by:
+        return reader.option("basePath", path).parquet(*paths)
+    return reader.option("recursiveFileLookup", True).parquet(*paths)  # folders of rows set apart are no columns
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -191,20 +194,29 @@ class Staged:
     token: str | None
 
 
-def stage(df: DataFrame, path: str, partition_by: Sequence[str] = (), token: str | None = None) -> Staged:
+def stage(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), token: str | None = None, apart: Column | None = None
+) -> Staged:
     """Write a generation without publishing it; rows are counted by the same job.
 
+    Rows for which ``apart`` is true go to files of their own, so that deleting them later drops those files and rewrites
+    none. Every task then writes up to two files, without a shuffle; such a table has no partition columns.
+
     A partitioned table is rebalanced by its partition columns first: otherwise each of many tasks would leave a
     small file in every partition. Rebalancing also splits a partition that holds a large part of the rows. Rows are
     counted after the last shuffle, where a task that runs again after an executor is lost counts once.
     """
-    generation = uuid.uuid4().hex
+    if apart is not None and partition_by:
+        raise ValueError("rows are set apart in tables without partition columns only")
+    generation, schema, folders = uuid.uuid4().hex, df.schema, partition_by
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     counted = Observation()
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    observed.write.partitionBy(*partition_by).parquet(f"{path}/{GENERATION}={generation}")
-    return Staged(generation, df.schema, tuple(partition_by), _rows(counted, int), token)
+    if apart is not None:
+        observed, folders = observed.withColumn(APART, F.coalesce(apart, F.lit(False))), [APART]
+    observed.write.partitionBy(*folders).parquet(f"{path}/{GENERATION}={generation}")
+    return Staged(generation, schema, tuple(partition_by), _rows(counted, int), token)
 
 
 def publish(spark: SparkSession, path: str, staged: Sequence[Staged], fresh: bool = False) -> State:
@@ -230,10 +242,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), toke
     return staged.rows
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), apart: Column | None = None) -> int:
     """Replace all rows and return how many there are now. The old rows stay readable until the new ones are complete,
-    and for readers that have begun."""
-    staged = stage(df, path, partition_by)
+    and for readers that have begun. For ``apart`` see ``stage``."""
+    staged = stage(df, path, partition_by, apart=apart)
     publish(df.sparkSession, path, [staged], fresh=True)
     vacuum(df.sparkSession, path)
     return staged.rows
@@ -353,7 +365,7 @@ class AuditRow:
 
 def write_audited(
     source: DataFrame, transform, path: str, step: str, rows_in: int | None = None, source_table: str | None = None,
-    notes: str | None = None,
+    notes: str | None = None, apart: Column | None = None,
 ) -> AuditRow:
     """Write ``transform(source)``, counting rows in and out within the one write job.
 
@@ -362,6 +374,6 @@ def write_audited(
     """
     taken = Observation()
     watched = source if rows_in is not None else source.observe(taken, F.count(F.lit(1)).alias("rows"))
-    rows_out = replace_table(transform(watched), path)
+    rows_out = replace_table(transform(watched), path, apart=apart)
     rows_in = _rows(taken, source.count) if rows_in is None else rows_in
     return AuditRow(step, path.rstrip("/").rsplit("/", 1)[-1], rows_in, rows_out, source_table, notes)

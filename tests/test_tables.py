@@ -201,3 +201,23 @@ def test_unpublished_landings_of_a_broken_run_are_loaded_again(spark, tmp_path,
     assert csv.ingest_files(spark, [spec], root, "r1").outcomes[0].status == "SUCCESS"
     assert ids(spark, f"{root}/bronze/one") == ["1"]
     assert csv.first_line(OSError()) == "OSError"
+
+
+def test_rows_set_apart_are_deleted_without_rewriting(spark, tmp_path):
+    """A delete of the rows that were set apart drops their files; later writes and deletes go on as on any table."""
+    path = str(tmp_path / "apart")
+    frame = spark.range(0, 40, 1, 4).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("v"))
+    doomed = F.col("v") == 0
+    assert tables.replace_table(frame, path, apart=doomed) == 40
+    assert tables.read_table(spark, path).columns == ["id", "v"] and ids(spark, path) == list(range(40))
+    found = tables.delete_rows(spark, path, doomed)
+    kept = [i for i in range(40) if not (i % 7 and i % 5 == 0)]
+    assert (found.rows_in, found.rows_out, found.files_rewritten) == (40, len(kept), 4)
+    assert ids(spark, path) == kept and len(tables.state(spark, path).live) == 1  # no generation of rewritten rows
+    assert tables.delete_rows(spark, path, F.col("id") == 1).rows_dropped == 1
+    tables.write_table(spark.range(50, 52).selectExpr("id", "id AS v"), path)
+    assert ids(spark, path) == [i for i in kept if i != 1] + [50, 51]
+    tables.compact(spark, path)
+    assert ids(spark, path) == [i for i in kept if i != 1] + [50, 51]
+    with pytest.raises(ValueError, match="partition"):
+        tables.replace_table(frame, path, ["v"], apart=doomed)
