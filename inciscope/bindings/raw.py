@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from inciscope import config
 from inciscope.bindings.common import as_text, read, sql_count, sql_pct, sql_text
 from inciscope.functions.temporal import parse_timestamp
-from inciscope.functions.text import numeric_text_to_int, pad_code, parse_flag, standardise
+from inciscope.functions.text import cast_or_null, numeric_text_to_int, pad_code, parse_flag, standardise
 from inciscope.operators import joins, profiling, quality, shaping
 from inciscope.operators.typing import recover_coordinates, to_typed
 from inciscope.operators.windows import share_by
@@ -110,7 +111,10 @@ def dims(spark, sf_dir):
 
 
 def typed(spark, sf_dir, strip: bool = True) -> DataFrame:
-    rows = raw(spark, sf_dir)
+    return typed_rows(raw(spark, sf_dir), strip)
+
+
+def typed_rows(rows: DataFrame, strip: bool = True) -> DataFrame:
     rows = shaping.keep_castable(rows, "id", "bigint") if strip else rows
     return to_typed(rows, periods=PERIODS, carry=["_ingest_seq"])
 
@@ -120,15 +124,29 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumn("incident_datetime", as_text(F.col("incident_datetime"))).drop("_transform_ts")
 
 
-def latest(spark, sf_dir) -> DataFrame:
-    kept = shaping.delete_where(typed(spark, sf_dir), silver.deleted_places())
-    return silver.latest_incidents(kept, [F.desc("_ingest_seq"), F.desc("source_year_range")])
+def latest(spark, sf_dir, columns: Sequence[str] | None = None) -> DataFrame:
+    """What is the same in all typed rows of a run is added after the dedup, so that it is not sorted and moved."""
+    same = {"_silver_step": F.lit("STEP4_TYPED"), "_transform_ts": F.current_timestamp()}
+    records = raw(spark, sf_dir)
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return shaping.delete_where(typed_rows(rows).drop(*same), silver.deleted_places())
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        """Ids are met in the raw records, which are stored, so that no others are typed or filtered."""
+        id_ = cast_or_null(F.trim(F.col("id")), "bigint")
+        return kept(materialise(records.join(ids, id_ == F.col("crime_id"), "left_semi"), "open"))
+
+    newest = [F.desc("_ingest_seq"), F.desc("source_year_range")]
+    found = silver.latest_incidents(kept(records), newest, columns, rows_of)
+    return found.withColumns(same).select(*typed_rows(records).columns) if columns is None else found
 
 
-def conformed(spark, sf_dir) -> DataFrame:
-    """The cleaned dimensions are stored first, so that the planner joins them by their own size."""
+def conformed(spark, sf_dir, columns: Sequence[str] | None = None) -> DataFrame:
+    """The cleaned dimensions are stored first, so that the planner joins them by their own size. ``columns`` are the typed
+    ones that are needed, by default all."""
     stored = side_by_side(spark, [partial(materialise, d, "dim") for d in dims(spark, sf_dir)])
-    return silver.conform_incidents(latest(spark, sf_dir), *stored)
+    return silver.conform_incidents(latest(spark, sf_dir, columns), *stored)
 
 
 def failures(spark, sf_dir) -> DataFrame:
@@ -205,7 +223,7 @@ def duplicate_rows(spark, sf_dir):
 
 
 def coord_source_share(spark, sf_dir):
-    return share_by(conformed(spark, sf_dir), "coord_source", "record_count", "pct_of_total")
+    return share_by(latest(spark, sf_dir, ["coord_source"]), "coord_source", "record_count", "pct_of_total")
 
 
 def value_distribution_numeric(spark, sf_dir):
@@ -214,7 +232,7 @@ def value_distribution_numeric(spark, sf_dir):
 
 
 def conformed_unmatched(spark, sf_dir):
-    return joins.unmatched_after_join(conformed(spark, sf_dir), "community_area_num", "community_name", "crime_count")
+    return joins.unmatched_after_join(conformed(spark, sf_dir, ["community_area"]), "community_area_num", "community_name", "crime_count")
 
 
 def key_profile(spark, sf_dir):

@@ -104,50 +104,32 @@ def build_dim_location_type(
     return keyed.withColumn("location_category", classify(F.col(col), rules, config.OTHER))
 
 
-def build_fact(df: DataFrame, dim_type: DataFrame, dim_location: DataFrame, dim_location_type: DataFrame) -> DataFrame:
+FACT_COLUMNS = (
+    "crime_id", "case_number", "date_key", "crime_type_key", "location_key", "shift_key", "location_type_key", "is_arrest",
+    "is_domestic", "lat_final", "lon_final", "incident_year", "incident_month", "incident_hour", "incident_dayofweek",
+    "primary_type", "fbi_code", "crime_category", "is_violent", "community_area_num", "community_name", "district_code",
+    "district_name", "ward_num", "location_description", "source_year_range", "_source_file",
+)
+
+
+def build_fact(
+    df: DataFrame, dim_type: DataFrame, dim_location: DataFrame | None = None, dim_location_type: DataFrame | None = None
+) -> DataFrame:
     """Conformed records with five foreign keys and the denormalised category columns.
 
-    The location lookup uses the full key, null-safe, so rows neither multiply nor lose a NULL area.
+    The location lookup uses the full key, null-safe, so rows neither multiply nor lose a NULL area. Keys of dimensions
+    not given are left out, and so are columns that ``df`` lacks.
     """
     kinds = dim_type.select("primary_type", "fbi_code", "crime_type_key", "crime_category", "is_violent")
-    places = dim_location.select("location_key", *[F.col(k).alias(f"_{k}") for k in LOCATION_KEY])
-    same_place = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in LOCATION_KEY]
-    place_types = dim_location_type.select("location_description", "location_type_key")
-    joined = (
-        df.join(kinds, ["primary_type", "fbi_code"], "left")
-        .join(places, same_place, "left")
-        .join(place_types, ["location_description"], "left")
-    )
-    return joined.select(
-        "crime_id",
-        "case_number",
-        temporal.date_key(F.col("incident_datetime")).alias("date_key"),
-        "crime_type_key",
-        "location_key",
-        F.col("incident_hour").alias("shift_key"),
-        "location_type_key",
-        "is_arrest",
-        "is_domestic",
-        "lat_final",
-        "lon_final",
-        "incident_year",
-        "incident_month",
-        "incident_hour",
-        "incident_dayofweek",
-        "primary_type",
-        "fbi_code",
-        "crime_category",
-        "is_violent",
-        "community_area_num",
-        "community_name",
-        "district_code",
-        "district_name",
-        "ward_num",
-        "location_description",
-        "source_year_range",
-        "_source_file",
-        F.current_timestamp().alias("_gold_ts"),
-    )
+    joined = df.join(kinds, ["primary_type", "fbi_code"], "left")
+    if dim_location is not None:
+        places = dim_location.select("location_key", *[F.col(k).alias(f"_{k}") for k in LOCATION_KEY])
+        joined = joined.join(places, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in LOCATION_KEY], "left")
+    if dim_location_type is not None:
+        place_types = dim_location_type.select("location_description", "location_type_key")
+        joined = joined.join(place_types, ["location_description"], "left")
+    keyed = joined.withColumns({"date_key": temporal.date_key(F.col("incident_datetime")), "shift_key": F.col("incident_hour")})
+    return keyed.select(*[c for c in FACT_COLUMNS if c in keyed.columns], F.current_timestamp().alias("_gold_ts"))
 
 
 def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from inciscope.functions.rules import first_like
 from inciscope.functions.text import cast_or_null
+from inciscope.session import materialise
 
 
 def select_as(df: DataFrame, spec: Mapping[str, Column | str]) -> DataFrame:
@@ -46,6 +47,32 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column])
     return present.withColumn("_rn", F.row_number().over(ranking)).filter("_rn = 1").drop("_rn")
 
 
+def latest_values(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], columns: Sequence[str],
+    rows_of: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """The ``columns`` of the rows that ``dedup_latest`` leaves, without sorting and moving the others.
+
+    A task hands on at most two rows per key, so the second tells whether the first ties with another. Only rows of such
+    keys need all their columns to be compared: they are read again, restricted to these keys. ``rows_of`` gives the rows
+    of ``df`` for a table of keys, where they can be found before ``df`` is worked out. The result is stored.
+    """
+    spark, present = df.sparkSession, df.dropna(subset=list(keys))
+    ranking = Window.partitionBy(*keys).orderBy(*order_by)
+    two = present.withColumns({"_rn": F.row_number().over(ranking), "_rank": F.rank().over(ranking)}).filter("_rn <= 2")
+    second = F.max(F.when(F.col("_rn") == 2, F.col("_rank"))).over(Window.partitionBy(*keys))
+    best = two.withColumn("_tied", F.coalesce(second == 1, F.lit(False))).filter("_rn = 1")
+    open_keys = {f"_open_{k}": F.when(F.col("_tied"), F.col(k)) for k in keys}
+    found = materialise(best.select(*columns, *[expr.alias(name) for name, expr in open_keys.items()]), "latest")
+    is_open = F.col(f"_open_{keys[0]}").isNotNull()
+    tied = materialise(found.filter(is_open).select(*[F.col(f"_open_{k}").alias(k) for k in keys]), "tied")
+    settled = found.filter(~is_open).select(*columns)
+    if tied.isEmpty():
+        return settled
+    compared = dedup_latest(rows_of(tied) if rows_of else df.join(tied, list(keys), "left_semi"), keys, order_by).select(*columns)
+    return settled.unionByName(materialise(compared, "compared"))
+
+
 def bucket_source(df: DataFrame, col: str, patterns: Sequence[tuple[str, str]], out: str) -> DataFrame:
     return df.withColumn(out, first_like(F.col(col), patterns, "UNKNOWN"))
 

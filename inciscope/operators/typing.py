@@ -20,6 +20,9 @@ from inciscope.functions.text import (
 )
 from inciscope.operators.shaping import keep_castable
 
+#: What the final coordinates and their label follow from.
+COORDINATES = ("latitude", "longitude", "lat_recovered", "lon_recovered")
+
 
 def final_coordinates() -> dict[str, Column]:
     """What follows from the numeric and the recovered coordinates."""

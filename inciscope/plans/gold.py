@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,29 +21,36 @@ STORED_VIEWS = {"v_geo_community_profile": "community_profile", "v_geo_district_
 
 @dataclass(frozen=True)
 class Star:
-    dim_date: DataFrame
+    dim_date: DataFrame | None
     dim_crime_type: DataFrame
-    dim_location: DataFrame
-    dim_shift: DataFrame
-    dim_location_type: DataFrame
+    dim_location: DataFrame | None
+    dim_shift: DataFrame | None
+    dim_location_type: DataFrame | None
     fact: DataFrame
 
 
-def star(conformed: DataFrame, store: Callable[[DataFrame, str], DataFrame] = materialise, **type_rules) -> Star:
+DIMENSIONS = ("dim_crime_type", "dim_location", "dim_location_type", "dim_date", "dim_shift")
+
+
+def star(
+    conformed: DataFrame, store: Callable[[DataFrame, str], DataFrame] = materialise, names: Sequence[str] = DIMENSIONS,
+    **type_rules,
+) -> Star:
     """Build the dimensions, store them side by side, and join the fact to the stored copies.
 
     Stored dimensions have a known file size, so the fact joins them by broadcast while they are small and the
-    fact itself is shuffled only if they are not.
+    fact itself is shuffled only if they are not. ``names`` are the dimensions to build, the types among them; the fact
+    has no keys of the others.
     """
-    frames = {
-        "dim_crime_type": dims.build_dim_type(conformed, **type_rules),
-        "dim_location": dims.build_dim_location(conformed),
-        "dim_location_type": dims.build_dim_location_type(conformed),
-        "dim_date": dims.build_dim_date(conformed, "incident_datetime"),
-        "dim_shift": dims.build_dim_shift(conformed.sparkSession),
+    builders = {
+        "dim_crime_type": lambda: dims.build_dim_type(conformed, **type_rules),
+        "dim_location": lambda: dims.build_dim_location(conformed),
+        "dim_location_type": lambda: dims.build_dim_location_type(conformed),
+        "dim_date": lambda: dims.build_dim_date(conformed, "incident_datetime"),
+        "dim_shift": lambda: dims.build_dim_shift(conformed.sparkSession),
     }
-    stored = side_by_side(conformed.sparkSession, [partial(store, df, name) for name, df in frames.items()])
-    built = dict(zip(frames, stored))
+    stored = side_by_side(conformed.sparkSession, [lambda n=n: store(builders[n](), n) for n in names])
+    built = dict.fromkeys(DIMENSIONS) | dict(zip(names, stored))
     fact = dims.build_fact(conformed, built["dim_crime_type"], built["dim_location"], built["dim_location_type"])
     return Star(**built, fact=fact)
 

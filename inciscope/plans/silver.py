@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +11,8 @@ from inciscope import config
 from inciscope.functions.text import standardise
 from inciscope.operators.joins import DimSpec, conform
 from inciscope.operators.quality import Gate, gate_summary, incident_failures, incident_gates
-from inciscope.operators.shaping import dedup_latest, delete_where, keep_castable, select_as, union_tagged
-from inciscope.operators.typing import clean_dim, derived_columns, to_typed
+from inciscope.operators.shaping import dedup_latest, delete_where, keep_castable, latest_values, select_as, union_tagged
+from inciscope.operators.typing import COORDINATES, clean_dim, derived_columns, incident_parts, to_typed
 from inciscope.sources import logs
 from inciscope.sources.tables import AuditRow, delete_rows, read_table, write_audited, write_table
 
@@ -38,27 +38,40 @@ def deleted_places() -> Column:
     return (F.col("community_area") == config.DELETED_AREA) | district.isin(*config.DELETED_DISTRICTS)
 
 
-def latest_incidents(typed: DataFrame, order_by: Sequence[Column]) -> DataFrame:
-    """One row per incident id among rows with a time.
+def latest_incidents(
+    typed: DataFrame, order_by: Sequence[Column], columns: Sequence[str] | None = None,
+    rows_of: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """One row per incident id among rows with a time; all its columns or those named.
 
     Columns that follow from others are worked out again after the shuffle rather than sorted and moved: they come after
-    the columns they follow from, so the order of ties is the same without them.
+    the columns they follow from, so the order of ties is the same without them. Nor are columns moved that are not
+    asked for; ``rows_of`` gives the typed rows of a table of ids (see ``latest_values``).
     """
     derived = derived_columns()
-    narrow = typed.dropna(subset=["incident_datetime"]).drop(*derived)
-    return dedup_latest(narrow, ["crime_id"], order_by).withColumns(derived).select(*typed.columns)
+
+    def dated(rows: DataFrame) -> DataFrame:
+        return rows.dropna(subset=["incident_datetime"]).drop(*derived)
+
+    narrow = dated(typed)
+    if columns is None:
+        return dedup_latest(narrow, ["crime_id"], order_by).withColumns(derived).select(*typed.columns)
+    wanted = {name: expr for name, expr in derived.items() if name in columns}
+    sources = {"incident_datetime"} | set(COORDINATES if wanted.keys() - incident_parts().keys() else ())
+    moved = [c for c in narrow.columns if c in columns or (wanted and c in sources)]
+    of_ids = (lambda ids: dated(rows_of(ids))) if rows_of else None
+    return latest_values(narrow, ["crime_id"], order_by, moved, of_ids).withColumns(wanted).select(*columns)
 
 
 def conform_incidents(deduped: DataFrame, districts: DataFrame, wards: DataFrame, areas: DataFrame) -> DataFrame:
-    """Join the three dimensions and name the columns as the conformed table has them."""
-    joined = conform(
-        deduped,
-        [
-            DimSpec(districts, "district_num", F.col("district").try_cast("int"), {"district_label": "district_name"}),
-            DimSpec(wards, "ward_num", F.col("ward"), {"ward_label": "ward_label"}),
-            DimSpec(areas, "area_num", F.col("community_area"), {"community_name": "community_name"}),
-        ],
-    )
+    """Join the dimensions and name the columns as the conformed table has them; those whose columns are not in
+    ``deduped`` are left out."""
+    lookups = {
+        "district": DimSpec(districts, "district_num", F.col("district").try_cast("int"), {"district_label": "district_name"}),
+        "ward": DimSpec(wards, "ward_num", F.col("ward"), {"ward_label": "ward_label"}),
+        "community_area": DimSpec(areas, "area_num", F.col("community_area"), {"community_name": "community_name"}),
+    }
+    joined = conform(deduped, [spec for column, spec in lookups.items() if column in deduped.columns])
     kept = [
         "crime_id", "case_number", "incident_datetime", "incident_year", "incident_month", "incident_day",
         "incident_hour", "incident_dayofweek", "block", "iucr", "primary_type", "crime_description",
@@ -68,6 +81,7 @@ def conform_incidents(deduped: DataFrame, districts: DataFrame, wards: DataFrame
     spec |= {"district_code": "district", "ward_num": "ward", "community_area_num": "community_area"}
     spec |= {name: name for name in ["district_name", "ward_label", "community_name"]}
     spec |= {name: name for name in ["lat_final", "lon_final", "coord_source", "source_year_range", "_source_file"]}
+    spec = {name: source for name, source in spec.items() if source in joined.columns}
     spec |= {"_silver_step": F.lit("STEP7_CONFORMED"), "_transform_ts": F.current_timestamp()}
     return select_as(joined, spec)
 

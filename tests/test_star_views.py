@@ -220,3 +220,32 @@ def test_raw_dimensions_and_views_store_no_fact(spark):
     star_bindings.QUERIES["raw_dim_type"](spark, SMOKE_DIR)
     star_bindings.QUERIES["raw_kpi_summary"](spark, SMOKE_DIR)
     assert not any("/fact-" in path for path in session._written[begun:])
+
+
+def test_latest_values_moves_only_what_is_asked_for(spark, rows, plan):
+    """Ties of the order are still settled by all columns, nulls first, and the others are not moved."""
+    data = [
+        (1, 5, "b", "x", 1), (1, 5, "b", "w", 2), (1, 4, "a", "a", 3),  # a tie that a column not asked for settles
+        (2, 1, "c", "x", 4), (2, 2, "d", "x", 5),  # no tie
+        (3, None, "e", "x", 6), (3, None, None, "y", 7),  # a tie of nulls
+        (4, 7, "f", "x", 8), (4, 7, "f", "x", 8),  # equal rows
+        (5, 1, "g", "x", 9), (5, 1, "g", "x", 9), (5, 2, "h", "x", 10),  # a tie below the newest
+        (None, 1, "i", "x", 11),
+    ]
+    frame = spark.createDataFrame(data, "id int, seq int, a string, b string, out int")
+    newest = [F.desc("seq")]
+    plain = shaping.dedup_latest(frame, ["id"], newest)
+    assert rows(shaping.latest_values(frame, ["id"], newest, ["out"])) == rows(plain.select("out")) == [(10,), (2,), (5,), (7,), (8,)]
+    assert rows(shaping.latest_values(frame, ["id"], newest, ["a", "id"])) == rows(plain.select("a", "id"))
+    hot = spark.range(30_000).select(F.lit(1).alias("id"), F.lit(1).alias("seq"), (F.col("id") * 7 % 30_000).alias("a"))
+    assert rows(shaping.latest_values(hot, ["id"], newest, ["a"])) == [(0,)]  # one key, all tied
+
+
+def test_narrow_latest_incidents_are_those_of_whole_rows(spark, rows):
+    names = ["incident_year", "primary_type", "lat_final", "coord_source", "district"]
+    begun = len(session._written)
+    found = raw.latest(spark, SMOKE_DIR, names)
+    assert found.columns == names
+    stored = [p for p in session._written[begun:] if "/latest-" in p]
+    assert len(stored) == 1 and "block" not in spark.read.parquet(stored[0]).columns
+    assert rows(found) == rows(raw.latest(spark, SMOKE_DIR).select(*names))
