@@ -33,6 +33,8 @@ SYMBOLS, KNOWN_COUNTS = 8192, 65_536
 TOLERANCE = 1e-4
 #: Steps of all texts whose forward and backward values training holds at a time.
 SEGMENT = 512
+#: Tokens whose forward values are kept from the first pass; 96 bytes each.
+HELD_TOKENS = 1_000_000
 #: Tokens worked on together in training and in scoring.
 TRAIN_GROUP, SCORE_GROUP = 200_000, 2_000_000
 #: Numbers of a model that are summed as one row.
@@ -208,9 +210,10 @@ def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
     """Expected starts, moves and emissions of some texts, and their likelihood, by the scaled forward and backward
     recursions in single precision, from each text's first token to its last.
 
-    Texts are worked on in segments of ``SEGMENT`` steps. A first pass leaves the forward state at every border; going
-    back, each segment's forward values are worked out again from there and meet the backward values of the next one. So
-    memory is bounded by the segment, and no move is lost at a border.
+    Texts are worked on in segments of ``SEGMENT`` steps. A first pass leaves the forward state at every border, and the
+    values of segments of ``HELD_TOKENS`` tokens; going back, the other segments' forward values are worked out again from
+    there, and all meet the backward values of the next segment. So memory is bounded by the segment and the tokens held,
+    and no move is lost at a border.
     """
     texts = sorted(texts, key=len, reverse=True)
     states = len(model.start)
@@ -231,20 +234,29 @@ def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
 
     firsts = range(0, int(lengths[0]), SEGMENT)
     before: list[np.ndarray | None] = [None]
+    held: dict[int, tuple] = {}
+    room = HELD_TOKENS
     for first in firsts[:-1]:
-        symbols, _, at = _steps(pieces(first))
+        symbols, active, at = _steps(pieces(first))
         given = emit.take(symbols, axis=0)
-        last = forward_of(given, at, before[-1], np.empty_like(given), np.empty_like(given))
+        seen, scale = np.empty_like(given), np.empty_like(given)
+        last = forward_of(given, at, before[-1], seen, scale)
         before.append(last[: int((lengths > first + SEGMENT).sum())].copy())
+        if len(symbols) <= room:
+            room -= len(symbols)
+            held[first] = symbols, active, at, given, seen, scale
 
     log, starts, moved = 0.0, np.zeros(states), np.zeros((states, states))
     emitted = np.zeros((len(emit), states))
     later: np.ndarray | None = None  # backward values that the next segment gives to this one's last step
     for first, entry in zip(reversed(firsts), reversed(before)):
-        symbols, active, at = _steps(pieces(first))
-        given = emit.take(symbols, axis=0)
-        seen, scale = np.empty_like(given), np.empty_like(given)
-        forward_of(given, at, entry, seen, scale)
+        if first in held:
+            symbols, active, at, given, seen, scale = held.pop(first)
+        else:
+            symbols, active, at = _steps(pieces(first))
+            given = emit.take(symbols, axis=0)
+            seen, scale = np.empty_like(given), np.empty_like(given)
+            forward_of(given, at, entry, seen, scale)
         log += float(np.log10(scale[:, 0], dtype=float).sum())
         given /= scale
         backward = scale

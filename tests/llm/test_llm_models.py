@@ -347,3 +347,20 @@ def test_scores_are_those_of_the_fitted_model(spark):
         z = model.bias + sum(model.weights[i] for i in fired) + model.weights[-1] * math.log(1 + len(fired))
         assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12) and r.predicted == int(r.score >= 0.5)
         assert r.held_out == (zlib.crc32(str(r.doc_id if r.doc_id is not None else "").encode()) % 5 == 0)
+
+
+def test_baum_welch_lays_a_segment_once_and_holds_a_bounded_number(monkeypatch):
+    """Forward values of the first pass are used going back; without room for them they are worked out again, alike."""
+    rng = np.random.default_rng(3)
+    model = hmm.blank(None, np.full(9, 1 / 9), 4)
+    texts = [rng.integers(0, 9, n).astype("<u2") for n in (1, 40, 3 * hmm.SEGMENT - 5, 2 * hmm.SEGMENT + 1)]
+    plain, calls = hmm._steps, []
+    monkeypatch.setattr(hmm, "_steps", lambda pieces: calls.append(sum(map(len, pieces))) or plain(pieces))
+    found = hmm.expected_counts(model, texts)
+    assert sum(calls) == sum(map(len, texts))
+    calls.clear()
+    monkeypatch.setattr(hmm, "HELD_TOKENS", 0)
+    again = hmm.expected_counts(model, texts)
+    assert sum(calls) > sum(map(len, texts))
+    assert found.log == again.log and np.array_equal(found.emit, again.emit)
+    assert np.array_equal(found.move, again.move) and np.array_equal(found.start, again.start)
