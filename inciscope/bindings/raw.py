@@ -81,7 +81,11 @@ AREAS_RAW = """SELECT DISTINCT 'MULTIPOLYGON' AS the_geom, ' ' || cast(c_custkey
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "lineitem").selectExpr(*[f"{expr} AS {name}" for name, expr in RAW_COLUMNS.items()])
+    return raw_rows(read(spark, sf_dir, "lineitem"))
+
+
+def raw_rows(items: DataFrame) -> DataFrame:
+    return items.selectExpr(*[f"{expr} AS {name}" for name, expr in RAW_COLUMNS.items()])
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:
@@ -127,15 +131,18 @@ def comparable(df: DataFrame) -> DataFrame:
 def latest(spark, sf_dir, columns: Sequence[str] | None = None) -> DataFrame:
     """What is the same in all typed rows of a run is added after the dedup, so that it is not sorted and moved."""
     same = {"_silver_step": F.lit("STEP4_TYPED"), "_transform_ts": F.current_timestamp()}
-    records = raw(spark, sf_dir)
+    items = read(spark, sf_dir, "lineitem")
+    records = raw_rows(items)
 
     def kept(rows: DataFrame) -> DataFrame:
-        return shaping.delete_where(typed_rows(rows).drop(*same), silver.deleted_places())
+        """Rows without an id are left to the dedup, so that the id too is worked out once."""
+        once = shaping.computed_once(typed_rows(rows, strip=False).drop(*same), ["crime_id", "incident_datetime"])
+        return shaping.delete_where(once, silver.deleted_places())
 
     def rows_of(ids: DataFrame) -> DataFrame:
-        """Ids are met in the raw records, which are stored, so that no others are typed or filtered."""
-        id_ = cast_or_null(F.trim(F.col("id")), "bigint")
-        return kept(materialise(records.join(ids, id_ == F.col("crime_id"), "left_semi"), "open"))
+        """Ids are met in the given table, which is stored, so that no others get the columns of a raw record."""
+        id_ = cast_or_null(F.trim(F.expr(RAW_COLUMNS["id"])), "bigint")
+        return kept(raw_rows(materialise(items.join(ids, id_ == F.col("crime_id"), "left_semi"), "open")))
 
     newest = [F.desc("_ingest_seq"), F.desc("source_year_range")]
     found = silver.latest_incidents(kept(records), newest, columns, rows_of)

@@ -34,6 +34,16 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
+def computed_once(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df``, whose ``cols`` are worked out once for each row that other filters leave, even if rows are filtered by them.
+
+    Spark moves a filter below the projection that gives its columns, where they are worked out a second time, but not
+    below a generator, here of one row each.
+    """
+    fixed = F.inline(F.array(F.struct(*cols)))
+    return df.select(*[c for c in df.columns if c not in cols], fixed).select(*df.columns)
+
+
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """One row per key, the first by ``order_by``; rows with a NULL key are excluded.
 

@@ -249,3 +249,33 @@ def test_narrow_latest_incidents_are_those_of_whole_rows(spark, rows):
     stored = [p for p in session._written[begun:] if "/latest-" in p]
     assert len(stored) == 1 and "block" not in spark.read.parquet(stored[0]).columns
     assert rows(found) == rows(raw.latest(spark, SMOKE_DIR).select(*names))
+
+
+def test_ids_and_times_are_worked_out_once(spark, rows, plan):
+    """Neither is worked out in a filter and again in the projection, and rows without either are still left out."""
+    frame = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c")], "text string, out string")
+    once = shaping.computed_once(frame.withColumn("n", F.col("text").try_cast("int")), ["n"])
+    assert once.columns == ["text", "out", "n"]
+    assert rows(once.filter("n IS NOT NULL")) == [("1", "a", 1)]
+    assert rows(once) == [(None, "c", None), ("1", "a", 1), ("x", "b", None)]
+    found = plan(raw.latest(spark, SMOKE_DIR))
+    assert found.count("gettimestamp") == 2  # one for each format
+    assert found.count("as bigint) END") == 1
+
+
+def test_tied_ids_are_met_before_the_columns_of_raw_records(spark, monkeypatch):
+    seen = {}
+
+    def watched(df, label):
+        seen[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return session.materialise(df, label)
+
+    monkeypatch.setattr(raw, "materialise", watched)
+    items = spark.createDataFrame(
+        [(1, 5, 3, 2, "R", "O", "1996-01-02"), (1, 5, 8, 2, "A", "F", "1996-01-02")],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate string",
+    ).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+    monkeypatch.setattr(raw, "read", lambda *_: items)
+    whole = raw.latest(spark, SMOKE_DIR).select("is_arrest", "crime_id").collect()
+    assert raw.latest(spark, SMOKE_DIR, ["is_arrest", "crime_id"]).collect() == whole and len(whole) == 1
+    assert "xx w Main st" not in seen["open"]
