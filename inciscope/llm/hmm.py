@@ -35,6 +35,11 @@ TOLERANCE = 1e-4
 SEGMENT = 512
 #: Tokens whose forward values are kept from the first pass; 96 bytes each.
 HELD_TOKENS = 1_000_000
+#: Texts of more tokens are cut into segments that training works on side by side: step by step, the few of them take as
+#: many steps as all others together.
+LONG_TEXT = 4096
+#: Steps after which products of moves and emissions, in double precision, are scaled.
+RESCALE = 8
 #: Tokens worked on together in training and in scoring.
 TRAIN_GROUP, SCORE_GROUP = 200_000, 2_000_000
 #: Numbers of a model that are summed as one row.
@@ -213,74 +218,132 @@ def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
     Texts are worked on in segments of ``SEGMENT`` steps. A first pass leaves the forward state at every border, and the
     values of segments of ``HELD_TOKENS`` tokens; going back, the other segments' forward values are worked out again from
     there, and all meet the backward values of the next segment. So memory is bounded by the segment and the tokens held,
-    and no move is lost at a border.
+    and no move is lost at a border. The segments of texts beyond ``LONG_TEXT`` tokens, up to ``HELD_TOKENS`` or twice as many
+    at a time, get the states at both borders from ``border_states`` and need not wait for each other.
     """
     texts = sorted(texts, key=len, reverse=True)
     states = len(model.start)
     start, move, emit = (np.ascontiguousarray(x, np.float32) for x in (model.start, model.move, model.emit))
     back, ones = np.ascontiguousarray(move.T), np.ones((states, states), np.float32)
-    lengths = np.array([len(t) for t in texts])
-
-    def pieces(first: int) -> list[np.ndarray]:
-        return [t[first : first + SEGMENT] for t in texts[: int((lengths > first).sum())]]
+    log, starts, moved = 0.0, np.zeros(states), np.zeros((states, states))
+    emitted = np.zeros((len(emit), states))
 
     def forward_of(given: np.ndarray, at: list[int], before: np.ndarray | None, seen: np.ndarray, scale: np.ndarray) -> np.ndarray:
         """The last step's states; ``seen`` and ``scale`` get those of all steps."""
         forward = before
         for a, b in zip(at, at[1:]):
-            forward = given[a:b] * (start if forward is None else forward[: b - a] @ move)
-            forward = np.divide(forward, np.matmul(forward, ones, out=scale[a:b]), out=seen[a:b])
+            forward = given[a:b] * (start if forward is None else np.dot(forward[: b - a], move))
+            forward = np.divide(forward, np.dot(forward, ones, out=scale[a:b]), out=seen[a:b])
         return forward
 
-    firsts = range(0, int(lengths[0]), SEGMENT)
-    before: list[np.ndarray | None] = [None]
-    held: dict[int, tuple] = {}
-    room = HELD_TOKENS
-    for first in firsts[:-1]:
-        symbols, active, at = _steps(pieces(first))
+    def forward_pass(pieces: list[np.ndarray], entry: np.ndarray | None) -> tuple:
+        symbols, active, at = _steps(pieces)
         given = emit.take(symbols, axis=0)
         seen, scale = np.empty_like(given), np.empty_like(given)
-        last = forward_of(given, at, before[-1], seen, scale)
-        before.append(last[: int((lengths > first + SEGMENT).sum())].copy())
-        if len(symbols) <= room:
-            room -= len(symbols)
-            held[first] = symbols, active, at, given, seen, scale
-
-    log, starts, moved = 0.0, np.zeros(states), np.zeros((states, states))
-    emitted = np.zeros((len(emit), states))
-    later: np.ndarray | None = None  # backward values that the next segment gives to this one's last step
-    for first, entry in zip(reversed(firsts), reversed(before)):
-        if first in held:
-            symbols, active, at, given, seen, scale = held.pop(first)
-        else:
-            symbols, active, at = _steps(pieces(first))
-            given = emit.take(symbols, axis=0)
-            seen, scale = np.empty_like(given), np.empty_like(given)
-            forward_of(given, at, entry, seen, scale)
-        log += float(np.log10(scale[:, 0], dtype=float).sum())
+        return forward_of(given, at, entry, seen, scale), (symbols, active, at, given, seen, scale)
+
+    def count(segment: tuple, entry: np.ndarray | None, places: np.ndarray | slice, exits: np.ndarray | None) -> np.ndarray:
+        """Add up a segment, whose backward values begin with ``exits`` at ``places``; the products of its first step's
+        emissions and backward values."""
+        nonlocal log, starts, moved, emitted
+        symbols, active, at, given, seen, scale = segment
+        log += float(np.log(scale[:, 0]).sum(dtype=float)) / np.log(10)
         given /= scale
         backward = scale
         backward.fill(1)
-        if later is not None:
-            backward[at[-2] : at[-2] + len(later)] = later
+        if exits is not None:
+            backward[places] = exits
         for t in range(len(active) - 1, 0, -1):
             a, b = at[t], at[t + 1]
             given[a:b] *= backward[a:b]
-            np.matmul(given[a:b], back, out=backward[at[t - 1] : at[t - 1] + b - a])
+            np.dot(given[a:b], back, out=backward[at[t - 1] : at[t - 1] + b - a])
         width = int(active[0])
         given[:width] *= backward[:width]
         previous = np.arange(width, at[-1]) - np.repeat(active[:-1], active[1:])
         moved += seen.take(previous, axis=0).T @ given[width:]
         if entry is not None:
             moved += entry.T @ given[:width]
-            later = given[:width] @ back
         seen *= backward
         if entry is None:
             starts += seen[:width].sum(axis=0, dtype=float)
         emitted += np.stack([np.bincount(symbols, seen[:, k], len(emit)) for k in range(states)], axis=1)
+        return given[:width]
+
+    side, room = [t for t in texts if LONG_TEXT < len(t) <= HELD_TOKENS], HELD_TOKENS
+    batch_of = np.cumsum([len(t) for t in side]) // HELD_TOKENS
+    batches = [[t for t, n in zip(side, batch_of) if n == k] for k in np.unique(batch_of)]
+    for pieces, entry, exits in (borders for batch in batches for borders in border_states(model, batch)):
+        _, segment = forward_pass(pieces, entry)
+        _, _, at, _, seen, _ = segment
+        places = np.array([at[len(p) - 1] for p in pieces]) + np.arange(len(pieces))
+        exits = exits / (seen[places] * exits).sum(axis=1, keepdims=True)
+        count(segment, entry, places, exits.astype(np.float32))
+
+    texts = [t for t in texts if not LONG_TEXT < len(t) <= HELD_TOKENS]
+    lengths = np.array([len(t) for t in texts])
+
+    def pieces_of(first: int) -> list[np.ndarray]:
+        return [t[first : first + SEGMENT] for t in texts[: int((lengths > first).sum())]]
+
+    firsts = range(0, int(lengths[0]) if texts else 0, SEGMENT)
+    before: list[np.ndarray | None] = [None]
+    held: dict[int, tuple] = {}
+    for first in firsts[:-1]:
+        last, segment = forward_pass(pieces_of(first), before[-1])
+        before.append(last[: int((lengths > first + SEGMENT).sum())].copy())
+        if len(segment[0]) <= room:
+            room -= len(segment[0])
+            held[first] = segment
+        del segment
+    later: np.ndarray | None = None  # backward values that the next segment gives to this one's last step
+    for first, entry in zip(reversed(firsts), reversed(before)):
+        segment = held.pop(first) if first in held else forward_pass(pieces_of(first), entry)[1]
+        at = segment[2]
+        firsts_given = count(segment, entry, slice(at[-2], at[-2] + (0 if later is None else len(later))), later)
+        later = firsts_given @ back if entry is not None else None
+        del segment
     return Counts(starts, moved * model.move, emitted, log)
 
 
+def border_states(model: Hmm, texts: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], np.ndarray | None, np.ndarray]]:
+    """Segments of texts, the longest first, with the forward states before them (None before a text's first token) and, up
+    to a factor, the backward values of their last steps.
+
+    Each segment gives a matrix: how its last step's states follow from each state before it. All matrices are worked out
+    side by side; along a text their products give the states at its borders. Segments leave in batches of ``TRAIN_GROUP``
+    tokens.
+    """
+    states = len(model.start)
+    cut = [(k, text[i : i + SEGMENT], i == 0) for k, text in enumerate(texts) for i in range(0, len(text), SEGMENT)]
+    order = sorted(range(len(cut)), key=lambda c: -len(cut[c][1]))
+    symbols, active, at = _steps([cut[c][1] for c in order])
+    opens = np.array([cut[c][2] for c in order])
+    moves = np.where(opens[:, None, None], model.start, model.move)  # by segment, state before, state of the first step
+    for t, n in enumerate(active):
+        if t:
+            moves[:n] = np.dot(moves[:n].reshape(-1, states), model.move).reshape(-1, states, states)
+        moves[:n] *= model.emit.take(symbols[at[t] : at[t + 1]], axis=0)[:, None, :]
+        if t % RESCALE == 0:
+            moves[:n] /= moves[:n].max(axis=(1, 2), keepdims=True)
+    step = np.empty_like(moves)
+    step[order] = moves
+    entry, leave = np.full((len(cut), states), 1 / states), np.ones((len(cut), states))
+    for c in range(1, len(cut)):
+        if not cut[c][2]:
+            entry[c] = entry[c - 1] @ step[c - 1]
+            entry[c] /= entry[c].sum()
+    for c in range(len(cut) - 2, -1, -1):
+        if not cut[c + 1][2]:
+            leave[c] = step[c + 1] @ leave[c + 1]
+            leave[c] /= leave[c].sum()
+    size = max(1, TRAIN_GROUP // SEGMENT)
+    for first in (True, False):
+        chosen = [c for c in order if cut[c][2] == first]
+        for i in range(0, len(chosen), size):
+            batch = chosen[i : i + size]
+            yield [cut[c][1] for c in batch], None if first else entry[batch].astype(np.float32), leave[batch]
+
+
 def add(a: Counts | None, b: Counts) -> Counts:
     return b if a is None else Counts(a.start + b.start, a.move + b.move, a.emit + b.emit, a.log + b.log)
 

@@ -364,3 +364,38 @@ def test_baum_welch_lays_a_segment_once_and_holds_a_bounded_number(monkeypatch):
     assert sum(calls) > sum(map(len, texts))
     assert found.log == again.log and np.array_equal(found.emit, again.emit)
     assert np.array_equal(found.move, again.move) and np.array_equal(found.start, again.start)
+
+
+def test_segments_of_long_texts_do_not_wait_for_each_other(monkeypatch):
+    """A long text takes a few times the steps of one segment, and counts as the recursions from end to end do."""
+    rng = np.random.default_rng(5)
+    model = small_model(4, 9)
+    monkeypatch.setattr(hmm, "SEGMENT", 16)
+    monkeypatch.setattr(hmm, "TRAIN_GROUP", 100)
+    texts = [rng.integers(0, 9, n).astype("<u2") for n in (1, 40, 64, 65, 80, 333, 16 * 40)]
+    plain, steps = hmm._steps, []
+
+    def watched(pieces):
+        found = plain(pieces)
+        steps.append(len(found[1]))
+        return found
+
+    monkeypatch.setattr(hmm, "_steps", watched)
+    monkeypatch.setattr(hmm, "LONG_TEXT", 10_000)
+    whole = hmm.expected_counts(model, texts)
+    steps.clear()
+    monkeypatch.setattr(hmm, "LONG_TEXT", 64)
+    found = hmm.expected_counts(model, texts)
+    assert max(steps) <= 16
+    assert found.log == pytest.approx(whole.log, rel=1e-6)
+    for name in ("start", "move", "emit"):
+        assert np.allclose(getattr(found, name), getattr(whole, name), rtol=1e-4)
+    steps.clear()
+    monkeypatch.setattr(hmm, "TRAIN_GROUP", 100_000)
+    hmm.expected_counts(model, texts[-1:])
+    assert sum(steps) <= 3 * 16
+    # words that no state but one can give, at borders too
+    sure = hmm.Hmm(np.array([1 - 1e-12, 1e-12]), np.array([[0.999, 0.001], [0.001, 0.999]]), np.array([[1 - 1e-9, 1e-12], [1e-9, 1 - 1e-12]]))
+    rare = [np.tile(np.array([0, 1], dtype="<u2").repeat(8), 30)]
+    found = hmm.expected_counts(sure, rare)
+    assert found.log == pytest.approx(hmm.log10_likelihood(sure, rare)[0], rel=1e-5) and found.emit.sum() == pytest.approx(480, rel=1e-5)
