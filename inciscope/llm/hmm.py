@@ -40,6 +40,8 @@ HELD_TOKENS = 1_000_000
 LONG_TEXT = 4096
 #: Steps after which products of moves and emissions, in double precision, are scaled.
 RESCALE = 8
+#: Steps of training between scales, and the least sum of states that they may leave.
+UNSCALED, LEAST_SUM = 4, 1e-16
 #: Tokens worked on together in training and in scoring.
 TRAIN_GROUP, SCORE_GROUP = 200_000, 2_000_000
 #: Numbers of a model that are summed as one row.
@@ -204,14 +206,17 @@ def _steps(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[int]]
     """Tokens of pieces, the longest first, laid step by step; how many pieces have each step, and where steps begin."""
     lengths = np.array([len(p) for p in pieces])
     active = len(pieces) - np.cumsum(np.bincount(lengths))[:-1]
-    ends = np.cumsum(active)
-    place = np.arange(ends[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # step of each token
-    symbols = np.empty(ends[-1], np.intp)
-    symbols[(ends - active)[place] + np.repeat(np.arange(len(pieces)), lengths)] = np.concatenate(pieces)
-    return symbols, active, [0, *ends.tolist()]
+    at = [0, *np.cumsum(active).tolist()]
+    tokens, place = np.concatenate(pieces).astype(np.intp), np.cumsum(lengths) - lengths
+    symbols = np.empty(at[-1], np.intp)
+    for a, b in zip(at, at[1:]):
+        now = place[: b - a]
+        tokens.take(now, out=symbols[a:b], mode="clip")
+        now += 1
+    return symbols, active, at
 
 
-def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
+def expected_counts(model: Hmm, texts: list[np.ndarray], spare: list[np.ndarray] | None = None) -> Counts:
     """Expected starts, moves and emissions of some texts, and their likelihood, by the scaled forward and backward
     recursions in single precision, from each text's first token to its last.
 
@@ -220,64 +225,109 @@ def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
     there, and all meet the backward values of the next segment. So memory is bounded by the segment and the tokens held,
     and no move is lost at a border. The segments of texts beyond ``LONG_TEXT`` tokens, up to ``HELD_TOKENS`` or twice as many
     at a time, get the states at both borders from ``border_states`` and need not wait for each other.
+
+    Emissions are taken relative to the symbol's largest, so a few steps may pass unscaled; where that leaves less than
+    ``LEAST_SUM``, the segment is done again with every step scaled. ``spare`` keeps the memory of segments for the next call.
     """
     texts = sorted(texts, key=len, reverse=True)
     states = len(model.start)
-    start, move, emit = (np.ascontiguousarray(x, np.float32) for x in (model.start, model.move, model.emit))
+    peak = model.emit.max(axis=1)
+    start, move, emit = (np.ascontiguousarray(x, np.float32) for x in (model.start, model.move, model.emit / peak[:, None]))
     back, ones = np.ascontiguousarray(move.T), np.ones((states, states), np.float32)
     log, starts, moved = 0.0, np.zeros(states), np.zeros((states, states))
-    emitted = np.zeros((len(emit), states))
-
-    def forward_of(given: np.ndarray, at: list[int], before: np.ndarray | None, seen: np.ndarray, scale: np.ndarray) -> np.ndarray:
-        """The last step's states; ``seen`` and ``scale`` get those of all steps."""
-        forward = before
-        for a, b in zip(at, at[1:]):
-            forward = given[a:b] * (start if forward is None else np.dot(forward[: b - a], move))
-            forward = np.divide(forward, np.dot(forward, ones, out=scale[a:b]), out=seen[a:b])
-        return forward
-
-    def forward_pass(pieces: list[np.ndarray], entry: np.ndarray | None) -> tuple:
+    emitted, met = np.zeros((len(emit), states)), np.zeros(len(emit), np.int64)
+    spare = [] if spare is None else spare
+
+    def forward_of(symbols: np.ndarray, at: list[int], entry: np.ndarray | None, given: np.ndarray, seen: np.ndarray, unscaled: int) -> np.ndarray:
+        """The sums of states by which every ``unscaled``-th step and the last are divided; ``given`` gets the emissions over
+        them, ``seen`` the states."""
+        emit.take(symbols, axis=0, out=given, mode="clip")
+        before, steps, sums = entry, len(at) - 1, np.empty((at[1], states), np.float32)
+        scaled = [*range(unscaled - 1, steps - 1, unscaled), steps - 1]
+        scales = np.empty(sum(at[t + 1] - at[t] for t in scaled), np.float32)
+        first = done = 0
+        for last in scaled:
+            for t in range(first, last + 1):
+                a, b = at[t], at[t + 1]
+                now = seen[a:b]
+                if before is None:
+                    np.multiply(given[a:b], start, out=now)
+                else:
+                    np.dot(before[: b - a], move, out=now)
+                    now *= given[a:b]
+                before = now
+            sum_of = np.dot(now, ones, out=sums[: b - a])
+            now /= sum_of
+            given[a:b] /= sum_of
+            scales[done : done + b - a] = sum_of[:, 0]
+            first, done = last + 1, done + b - a
+        return scales
+
+    def forward_pass(pieces: list[np.ndarray], entry: np.ndarray | None) -> tuple[np.ndarray, tuple]:
+        """The last step's states, and the segment."""
         symbols, active, at = _steps(pieces)
-        given = emit.take(symbols, axis=0)
-        seen, scale = np.empty_like(given), np.empty_like(given)
-        return forward_of(given, at, entry, seen, scale), (symbols, active, at, given, seen, scale)
-
-    def count(segment: tuple, entry: np.ndarray | None, places: np.ndarray | slice, exits: np.ndarray | None) -> np.ndarray:
-        """Add up a segment, whose backward values begin with ``exits`` at ``places``; the products of its first step's
-        emissions and backward values."""
-        nonlocal log, starts, moved, emitted
-        symbols, active, at, given, seen, scale = segment
-        log += float(np.log(scale[:, 0]).sum(dtype=float)) / np.log(10)
-        given /= scale
-        backward = scale
-        backward.fill(1)
+        size = 3 * states * len(symbols)
+        fits = [k for k, room in enumerate(spare) if size <= len(room) <= 1.25 * size]
+        room = spare.pop(fits[-1]) if fits else np.empty(size, np.float32)
+        given, seen, backward = room[:size].reshape(3, -1, states)
+        places = np.repeat(at[:-1], active - np.append(active[1:], 0))[::-1] + np.arange(active[0])  # of last tokens
+        with np.errstate(divide="ignore", invalid="ignore"):
+            scales = forward_of(symbols, at, entry, given, seen, UNSCALED)
+            ends = seen[places].sum(axis=1, keepdims=True)
+        if not min(scales.min(), ends.min()) >= LEAST_SUM:
+            scales = forward_of(symbols, at, entry, given, seen, 1)
+            ends = seen[places].sum(axis=1, keepdims=True)
+        log_scale = float(np.log(scales).sum(dtype=float) + np.log(ends).sum(dtype=float))
+        return seen[at[-2] :], (symbols, active, at, given, seen, backward, places, ends, log_scale, room)
+
+    def leave(room: np.ndarray) -> None:
+        spare.append(room)
+        while sum(map(len, spare)) > 3 * states * HELD_TOKENS:
+            spare.pop(0)
+
+    def count(segment: tuple, entry: np.ndarray | None, exits: np.ndarray | None) -> np.ndarray:
+        """Add up a segment, whose first pieces' backward values begin with ``exits``; the products of its first step's
+        emissions and backward values. The segment's memory is spare afterwards."""
+        nonlocal log, starts, moved, emitted, met
+        symbols, active, at, given, seen, backward, places, ends, log_scale, room = segment
+        log += log_scale / np.log(10)
+        backward[places] = 1 / ends
         if exits is not None:
-            backward[places] = exits
+            backward[places[: len(exits)]] = exits
         for t in range(len(active) - 1, 0, -1):
             a, b = at[t], at[t + 1]
-            given[a:b] *= backward[a:b]
-            np.dot(given[a:b], back, out=backward[at[t - 1] : at[t - 1] + b - a])
+            now = given[a:b]
+            now *= backward[a:b]
+            np.dot(now, back, out=backward[at[t - 1] : at[t - 1] + b - a])
         width = int(active[0])
         given[:width] *= backward[:width]
-        previous = np.arange(width, at[-1]) - np.repeat(active[:-1], active[1:])
-        moved += seen.take(previous, axis=0).T @ given[width:]
         if entry is not None:
             moved += entry.T @ given[:width]
+        borders = [0, *(np.flatnonzero(np.diff(active)) + 1).tolist(), len(active)]
+        for i, j in zip(borders, borders[1:]):  # steps of as many pieces follow each other place by place
+            n = at[i + 1] - at[i]
+            if i:
+                moved += np.dot(seen[at[i - 1] : at[i - 1] + n].T, given[at[i] : at[i + 1]])
+            if j - i > 1:
+                moved += np.dot(seen[at[i] : at[j - 1]].T, given[at[i + 1] : at[j]])
         seen *= backward
         if entry is None:
             starts += seen[:width].sum(axis=0, dtype=float)
-        emitted += np.stack([np.bincount(symbols, seen[:, k], len(emit)) for k in range(states)], axis=1)
-        return given[:width]
+        met += np.bincount(symbols, minlength=len(emit))
+        for k in range(states):
+            emitted[:, k] += np.bincount(symbols, seen[:, k], len(emit))
+        firsts_given = given[:width].copy()
+        leave(room)
+        return firsts_given
 
     side, room = [t for t in texts if LONG_TEXT < len(t) <= HELD_TOKENS], HELD_TOKENS
     batch_of = np.cumsum([len(t) for t in side]) // HELD_TOKENS
     batches = [[t for t, n in zip(side, batch_of) if n == k] for k in np.unique(batch_of)]
     for pieces, entry, exits in (borders for batch in batches for borders in border_states(model, batch)):
         _, segment = forward_pass(pieces, entry)
-        _, _, at, _, seen, _ = segment
-        places = np.array([at[len(p) - 1] for p in pieces]) + np.arange(len(pieces))
+        _, _, _, _, seen, _, places, *_ = segment
         exits = exits / (seen[places] * exits).sum(axis=1, keepdims=True)
-        count(segment, entry, places, exits.astype(np.float32))
+        count(segment, entry, exits.astype(np.float32))
 
     texts = [t for t in texts if not LONG_TEXT < len(t) <= HELD_TOKENS]
     lengths = np.array([len(t) for t in texts])
@@ -294,15 +344,16 @@ def expected_counts(model: Hmm, texts: list[np.ndarray]) -> Counts:
         if len(segment[0]) <= room:
             room -= len(segment[0])
             held[first] = segment
+        else:
+            leave(segment[-1])
         del segment
     later: np.ndarray | None = None  # backward values that the next segment gives to this one's last step
     for first, entry in zip(reversed(firsts), reversed(before)):
         segment = held.pop(first) if first in held else forward_pass(pieces_of(first), entry)[1]
-        at = segment[2]
-        firsts_given = count(segment, entry, slice(at[-2], at[-2] + (0 if later is None else len(later))), later)
+        firsts_given = count(segment, entry, later)
         later = firsts_given @ back if entry is not None else None
         del segment
-    return Counts(starts, moved * model.move, emitted, log)
+    return Counts(starts, moved * model.move, emitted, log + float(met @ np.log10(peak)))
 
 
 def border_states(model: Hmm, texts: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], np.ndarray | None, np.ndarray]]:
@@ -375,12 +426,12 @@ def baum_welch_round(training: DataFrame, model: Hmm) -> Counts | None:
     shared = training.sparkSession.sparkContext.broadcast(model)  # states times symbols
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, waiting, n = None, [], 0
+        total, waiting, n, spare = None, [], 0, []
 
         def work() -> Counts | None:
             done = total
             for group in grouped([np.frombuffer(b, "<u2") for b in waiting], TRAIN_GROUP):
-                done = add(done, expected_counts(shared.value, group))
+                done = add(done, expected_counts(shared.value, group, spare))
             return done
 
         for batch in batches:

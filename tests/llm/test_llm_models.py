@@ -399,3 +399,58 @@ def test_segments_of_long_texts_do_not_wait_for_each_other(monkeypatch):
     rare = [np.tile(np.array([0, 1], dtype="<u2").repeat(8), 30)]
     found = hmm.expected_counts(sure, rare)
     assert found.log == pytest.approx(hmm.log10_likelihood(sure, rare)[0], rel=1e-5) and found.emit.sum() == pytest.approx(480, rel=1e-5)
+
+
+def test_training_scales_every_few_steps_and_uses_its_memory_again(monkeypatch):
+    """Fewer than three matrix products a step and piece; a second call lays its segments where the first had them."""
+    rng = np.random.default_rng(6)
+    model = hmm.blank(None, np.full(50, 1 / 50))
+    texts = [rng.integers(0, 50, n).astype("<u2") for n in (1, 2, 7, 40, 41, 300, 2 * hmm.SEGMENT + 3)]
+    plain, rows = np.dot, []
+    monkeypatch.setattr(hmm.np, "dot", lambda a, b, **kw: (len(b) == hmm.STATES and rows.append(len(a))) or plain(a, b, **kw))
+    spare = []
+    found = hmm.expected_counts(model, texts, spare)
+    assert sum(rows) < 2.5 * sum(map(len, texts))
+    kept = [id(room) for room in spare]
+    again = hmm.expected_counts(model, texts, spare)
+    assert kept and sorted(kept) == sorted(id(room) for room in spare)
+    assert found.log == again.log and np.array_equal(found.emit, again.emit) and np.array_equal(found.move, again.move)
+    monkeypatch.setattr(hmm, "UNSCALED", 1)
+    each = hmm.expected_counts(model, texts)
+    assert found.log == pytest.approx(each.log, rel=1e-6)
+    assert all(np.allclose(getattr(found, k), getattr(each, k), rtol=1e-3, atol=1e-6) for k in ("start", "move", "emit"))
+    assert found.log == pytest.approx(hmm.log10_likelihood(model, texts).sum(), rel=1e-6)
+
+
+def double_counts(model, texts):
+    """Moves, emissions and likelihood by the plain recursions, in double precision."""
+    move, emit, log = np.zeros_like(model.move), np.zeros_like(model.emit), 0.0
+    for t in texts:
+        forward, backward = [model.start * model.emit[t[0]]], [np.ones(len(model.start))]
+        for s in t[1:]:
+            log += np.log10(forward[-1].sum())
+            forward[-1] = forward[-1] / forward[-1].sum()
+            forward.append((forward[-1] @ model.move) * model.emit[s])
+        log += np.log10(forward[-1].sum())
+        for s in t[:0:-1]:
+            b = model.move @ (model.emit[s] * backward[0])
+            backward.insert(0, b / b.sum())
+        for k, s in enumerate(t):
+            own = forward[k] * backward[k]
+            emit[s] += own / own.sum()
+            if k:
+                pair = forward[k - 1][:, None] * model.move * (model.emit[s] * backward[k])[None]
+                move += pair / pair.sum()
+    return move, emit, log
+
+
+@pytest.mark.parametrize("size", [3, 4, 11, 700])
+def test_steps_that_nearly_vanish_are_all_scaled(size):
+    """Every step costs a factor of a billion or more, at a text's end too: unscaled, single precision would lose all states."""
+    rare = 1e-9
+    model = hmm.Hmm(np.array([1 - rare, rare]), np.array([[1 - rare, rare], [rare, 1 - rare]]), np.array([[1 - 1e-15, 1e-15], [1e-15, 1 - 1e-15]]))
+    texts = [np.array([0, 1] * size, dtype="<u2")[:size], np.array([0, 0, 1], dtype="<u2")]
+    found = hmm.expected_counts(model, texts)
+    move, emit, log = double_counts(model, texts)
+    assert found.log == pytest.approx(log, rel=1e-5)
+    assert np.allclose(found.emit, emit, rtol=1e-3, atol=1e-6) and np.allclose(found.move, move, rtol=1e-3, atol=1e-6)
