@@ -489,21 +489,26 @@ def train(training: DataFrame, vocab: Vocabulary, states: int = STATES) -> Hmm:
 
 
 def log10_likelihood(model: Hmm, texts: list[np.ndarray]) -> np.ndarray:
-    """Of each text, by the scaled forward recursion; texts run side by side, each to its end."""
+    """Of each text, by the forward recursion, scaled every ``UNSCALED`` steps and at the text's end; texts run side by side."""
     order = np.argsort([-len(t) for t in texts], kind="stable")
-    lengths = np.array([len(texts[i]) for i in order])
-    flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
-    offset = np.cumsum(lengths) - lengths
-    out = np.zeros(len(texts))
-    forward = model.start[None, :] * model.emit[flat[offset]]
-    n = len(texts)
-    for t in range(int(lengths[0])):
-        if t:
-            n = int(np.searchsorted(-lengths, -t, side="left"))  # longer than t
-            forward = (forward[:n] @ model.move) * model.emit[flat[offset[:n] + t]]
-        scale = forward.sum(axis=1)
-        forward /= scale[:, None]
-        out[:n] += np.log10(scale)
+    pieces = [texts[i] for i in order]
+    tokens = np.concatenate(pieces).astype(np.intp)
+    lengths = np.array([len(p) for p in pieces])
+    place = np.cumsum(lengths) - lengths
+    active = len(pieces) - np.cumsum(np.bincount(lengths))[:-1]
+    out, ones = np.zeros(len(texts)), np.ones(len(model.start))
+    forward = None
+    for t, n in enumerate(active.tolist()):
+        if forward is not None and n < len(forward):
+            out[n : len(forward)] += np.log10(forward[n:] @ ones)
+        given = model.emit.take(tokens.take(place[:n]), axis=0)
+        place[:n] += 1
+        forward = given * model.start if forward is None else np.dot(forward[:n], model.move) * given
+        if t % UNSCALED == UNSCALED - 1:
+            scale = forward @ ones
+            forward /= scale[:, None]
+            out[:n] += np.log10(scale)
+    out[: len(forward)] += np.log10(forward @ ones)
     result = np.empty(len(texts))
     result[order] = out
     return result

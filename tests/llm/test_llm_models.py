@@ -454,3 +454,16 @@ def test_steps_that_nearly_vanish_are_all_scaled(size):
     move, emit, log = double_counts(model, texts)
     assert found.log == pytest.approx(log, rel=1e-5)
     assert np.allclose(found.emit, emit, rtol=1e-3, atol=1e-6) and np.allclose(found.move, move, rtol=1e-3, atol=1e-6)
+
+
+def test_scoring_scales_every_few_steps(monkeypatch):
+    """A logarithm for every fourth step and each text's end, and the likelihood of the plain recursion."""
+    rng = np.random.default_rng(8)
+    model = hmm.blank(None, np.full(50, 1 / 50))
+    texts = [rng.integers(0, 50, n).astype("<u2") for n in (300, 1, 2, 7, 40, 41, 8, 4)]
+    plain, taken = np.log10, []
+    monkeypatch.setattr(hmm.np, "log10", lambda x: taken.append(np.size(x)) or plain(x))
+    found = hmm.log10_likelihood(model, texts)
+    assert sum(taken) <= sum(map(len, texts)) / 4 + len(texts)
+    monkeypatch.undo()
+    assert np.allclose(found, [double_counts(model, [t])[2] for t in texts], rtol=1e-12)
