@@ -19,8 +19,10 @@ from inciscope.sources import logs, tables
 
 CORRUPT = "_corrupt_record"
 FILE_KEY = "_file_key"
-#: Bytes of text that a landed Parquet file is made of, at most as many files as cores being smaller.
+#: Bytes of text that a landed Parquet file is made of, as they are stored, at most as many files as cores being smaller.
 LANDED_BYTES = 128 << 20
+#: Most rows of a compressed text file, which one task has to read whole.
+PACKED_ROWS = 500_000
 #: Files landed side by side, and files that become visible and are logged together.
 PARALLEL_FILES, BATCH_FILES = 8, 64
 LINEAGE = ["_source_file", "_source_path", "_ingest_ts", "_bronze_table"]
@@ -188,12 +190,14 @@ def ingest_files(
     return report
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Write with a header, keeping leading and trailing spaces."""
+def export_csv(df: DataFrame, path: str, packed: bool = False) -> None:
+    """Write with a header, keeping leading and trailing spaces; ``packed`` as gzip files of at most ``PACKED_ROWS`` rows."""
+    packing = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": PACKED_ROWS} if packed else {}
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .options(**packing)
         .csv(path)
     )

@@ -28,6 +28,8 @@ MANIFESTS, GENERATION, APART = "_manifests", "_gen", "_apart"
 KEPT = 1
 #: Appends after which older states are deleted.
 TIDY_EVERY = 16
+#: Stored tables stay, so they are packed more closely than what is read once.
+CODEC = "zstd"
 #: How often a writer starts again after another one was first.
 ATTEMPTS = 20
 
@@ -215,7 +217,7 @@ def stage(
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if apart is not None:
         observed, folders = observed.withColumn(APART, F.coalesce(apart, F.lit(False))), [APART]
-    observed.write.partitionBy(*folders).parquet(f"{path}/{GENERATION}={generation}")
+    observed.write.partitionBy(*folders).option("compression", CODEC).parquet(f"{path}/{GENERATION}={generation}")
     return Staged(generation, schema, tuple(partition_by), _rows(counted, int), token)
 
 

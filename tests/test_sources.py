@@ -230,3 +230,34 @@ def test_landed_files_do_not_follow_the_scan_splits(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_packed_export_holds_the_same_rows_in_small_files_of_bounded_rows(spark, tmp_path, rows, monkeypatch):
+    """Spaces, quotes, empty and missing text come back as from plain files; a file that only one task reads is bounded."""
+    monkeypatch.setattr(csv, "PACKED_ROWS", 400)
+    frame = spark.range(1000).select(
+        F.concat(F.lit(" a, "), F.col("id").cast("string"), F.lit('" ')).alias("t"),
+        F.when(F.col("id") % 3 > 0, F.lit("street")).alias("place"), F.lit("").alias("empty"),
+    )
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    csv.export_csv(frame.coalesce(1), plain)
+    csv.export_csv(frame.coalesce(1), packed, packed=True)
+    headers = {c: c for c in frame.columns}
+    read = {p: csv.land_csv(spark, p, headers, "bronze/x") for p in (plain, packed)}
+    assert rows(read[packed].select(*headers)) == rows(read[plain].select(*headers)) and read[packed].count() == 1000
+    files = [r["n"] for r in read[packed].groupBy("_source_path").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sorted(files) == [200, 400, 400]
+    assert csv.file_version(spark, packed)[0] < csv.file_version(spark, plain)[0] / 2
+
+
+def test_text_of_the_whole_runs_is_packed(spark, tmp_path, monkeypatch):
+    """The runs write their records as text once or twice; as plain text these would be most of their disk."""
+    from inciscope.bindings import runs
+
+    items = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    made = spark.range(50).selectExpr("id", "id % 7 as p", "id % 3 as s", "int(id % 4)", "'R'", "'O'", "timestamp '1996-03-04'")
+    made.toDF(*[c.split()[0] for c in items.split(", ")]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    runs._export(spark, str(tmp_path), [runs.ONE], str(tmp_path / "out"))
+    written = [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    assert written and all(name.endswith(".csv.gz") for name in written)
+    assert csv.read_raw_csv(spark, str(tmp_path / "out"), list(config.INCIDENT_HEADERS)).count() == 50
