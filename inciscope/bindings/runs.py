@@ -10,7 +10,7 @@ from inciscope.bindings import orders, raw, star
 from inciscope.operators import quality
 from inciscope.plans.gold import build_gold
 from inciscope.plans.silver import build_silver
-from inciscope.session import scratch_path
+from inciscope.session import remove, scratch_path
 from inciscope.sources import logs
 from inciscope.sources.csv import FileSpec, export_csv, ingest_files
 from inciscope.sources.tables import read_table
@@ -79,6 +79,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
         export_csv(rows(spark, sf_dir).withColumnsRenamed({v: k for k, v in headers.items()}), path)
         specs.append(FileSpec(path, target, headers))
     ingest_files(spark, specs, root, "bronze-1")
+    remove(spark, f"{root}/in")  # all of it has landed
     landings = {tag: f"{root}/bronze/incidents_{tag}" for tag in raw.SOURCES}
     gates = quality.incident_gates(F.lit(raw.NOW).cast("timestamp"), raw.YEARS)
     summary = build_silver(spark, root, landings, tuple(f"{root}/{t}" for t in BOUNDARIES), "silver-1", gates, purge=True)

@@ -158,7 +158,9 @@ def _build(spark, root, landings, dims, run_id, gates, purge, run) -> DataFrame:
         typed = read_table(spark, f"{root}/silver/crimes_typed")
 
     def conformed(rows: DataFrame) -> DataFrame:
-        kept = delete_where(rows, deleted_places())
+        """What settles ties only after all columns of the conformed records is not sorted and moved: rows that differ in
+        nothing else give the same record."""
+        kept = delete_where(rows, deleted_places()).drop("_raw_date", "_silver_step", "_transform_ts")
         newest = [F.desc("_ingest_ts"), F.desc("source_year_range")]
         return conform_incidents(latest_incidents(kept, newest), districts, wards, areas)
 

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from inciscope.session import shuffles_removed
+
 MANIFESTS, GENERATION, APART = "_manifests", "_gen", "_apart"
 #: Earlier states whose files are left for readers that still use them.
 KEPT = 1
@@ -217,7 +219,8 @@ def stage(
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if apart is not None:
         observed, folders = observed.withColumn(APART, F.coalesce(apart, F.lit(False))), [APART]
-    observed.write.partitionBy(*folders).option("compression", CODEC).parquet(f"{path}/{GENERATION}={generation}")
+    with shuffles_removed(df.sparkSession):
+        observed.write.partitionBy(*folders).option("compression", CODEC).parquet(f"{path}/{GENERATION}={generation}")
     return Staged(generation, schema, tuple(partition_by), _rows(counted, int), token)
 
 

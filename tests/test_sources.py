@@ -261,3 +261,35 @@ def test_text_of_the_whole_runs_is_packed(spark, tmp_path, monkeypatch):
     written = [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
     assert written and all(name.endswith(".csv.gz") for name in written)
     assert csv.read_raw_csv(spark, str(tmp_path / "out"), list(config.INCIDENT_HEADERS)).count() == 50
+
+
+def test_landed_text_goes_and_the_dedup_moves_only_what_the_conformed_records_need(spark, tmp_path, monkeypatch):
+    """What is typed but not conformed is neither sorted nor moved; ties are still settled by all columns before it."""
+    from inciscope.bindings import runs
+    from inciscope.plans import silver
+
+    moved, given = [], silver.latest_incidents
+
+    def watched(typed, order_by, *rest):
+        moved.append(typed.columns)
+        return given(typed, order_by, *rest)
+
+    monkeypatch.setattr(silver, "latest_incidents", watched)
+    items = "l_orderkey l_partkey l_suppkey l_linenumber l_returnflag l_linestatus l_shipdate"
+    twice = spark.range(120).selectExpr("id % 60", "5 + id % 60 + 60 * int(id / 60)", "id % 3", "int(1)", "'R'", "'O'", "timestamp '1996-03-04'")
+    twice.toDF(*items.split()).withColumns({c: F.col(c).cast("bigint") for c in items.split()[:3]}).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for name, key in (("nation", "n_nationkey bigint, n_name string"), ("region", "r_regionkey bigint, r_name string"),
+                      ("supplier", "s_suppkey bigint"), ("customer", "c_custkey bigint")):
+        one = [(1, "One")] if "name" in key else [(1,)]
+        spark.createDataFrame(one, key).write.parquet(str(tmp_path / f"{name}.parquet"))
+    with scratch(spark):
+        root, _ = runs._silver(spark, str(tmp_path))
+        assert len(moved) == 1 and not {"_raw_date", "_silver_step", "_transform_ts"} & set(moved[0])
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.text(f"{root}/in")
+        typed = tables.read_table(spark, f"{root}/silver/crimes_typed")
+        conformed = tables.read_table(spark, f"{root}/silver/crimes_conformed")
+        whole = given(typed, [F.desc("_ingest_ts"), F.desc("source_year_range")])
+        assert typed.count() > whole.count() > 0
+        columns = ["crime_id", "block", "iucr", "primary_type", "incident_datetime", "lat_final", "lon_final", "coord_source"]
+        assert sorted(map(str, conformed.select(columns).collect())) == sorted(map(str, whole.select(columns).collect()))

@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from inciscope.session import SHUFFLE_CLEANUP, side_by_side
 from inciscope.sources import csv, logs, tables
 
 HEADERS = {"ID": "id", "Primary Type": "primary_type"}
@@ -221,3 +222,23 @@ def test_rows_set_apart_are_deleted_without_rewriting(spark, tmp_path):
     assert ids(spark, path) == [i for i in kept if i != 1] + [50, 51]
     with pytest.raises(ValueError, match="partition"):
         tables.replace_table(frame, path, ["v"], apart=doomed)
+
+
+def test_stored_tables_are_packed_closely_and_leave_no_shuffle_files(spark, tmp_path):
+    """Shuffle files of a write go with it, also where writes run side by side, and the setting is as it was."""
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = manager.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP, "false")
+    frame = spark.range(1000).withColumn("p", F.col("id") % 3)
+    side_by_side(spark, [lambda n=n: tables.write_table(frame, str(tmp_path / n), ["p"]) for n in "abcd"])
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and spark.conf.get(SHUFFLE_CLEANUP, "false") == setting
+    again = tables.read_table(spark, str(tmp_path / "a"))
+    assert again.count() == 1000 and all(f.endswith(".zstd.parquet") for f in again.inputFiles())
