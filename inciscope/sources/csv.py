@@ -22,7 +22,7 @@ FILE_KEY = "_file_key"
 #: Bytes of text that a landed Parquet file is made of, as they are stored, at most as many files as cores being smaller.
 LANDED_BYTES = 128 << 20
 #: Most rows of a compressed text file, which one task has to read whole.
-PACKED_ROWS = 500_000
+PACKED_ROWS = 100_000
 #: Files landed side by side, and files that become visible and are logged together.
 PARALLEL_FILES, BATCH_FILES = 8, 64
 LINEAGE = ["_source_file", "_source_path", "_ingest_ts", "_bronze_table"]
